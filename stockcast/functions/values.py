@@ -27,18 +27,6 @@ def finite_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(floats) if floats else df
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A column as double; text that is no number, NaN and infinities become NULL."""
-    dtype, col = type_of(df, name), F.col(name)
-    if isinstance(dtype, FLOATS):
-        return finite(col.cast("double"))
-    if is_numeric(dtype):
-        return col.cast("double")
-    if isinstance(dtype, DATES):
-        raise TypeError(f"column {name!r} is a date; split it with date_parts first")
-    return finite(col.try_cast("double"))
-
-
 def clip_low(col: Column, low: float) -> Column:
     """Lower bound that keeps NULL (``greatest`` would turn NULL into the bound)."""
     return F.when(col < F.lit(low), F.lit(low)).otherwise(col)

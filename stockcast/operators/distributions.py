@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stockcast.defaults import TOP_K
-from stockcast.functions.scores import mean_of
-from stockcast.functions.values import as_number
+from stockcast.functions import sqltext as sql
 
 
 def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -17,56 +15,48 @@ def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     One scan with one wide aggregate; only the single result row is unpivoted.
     """
-    numbers = df.select(*[as_number(df, c).alias(c) for c in cols])
-    rows = F.count(F.lit(1))
+    numbers = df.selectExpr(*[f"{sql.number(df, c)} AS {sql.name(c)}" for c in cols])
     stats = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            rows.alias("n_rows"),
-            F.count(c).alias("n"),
-            (F.lit(1.0) - mean_of(F.count(c), rows)).alias("missing_rate"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.stddev_pop(c).alias("std_batch"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-        ).alias(f"__{i}")
-        for i, c in enumerate(cols)
+        sql.struct(
+            feature=sql.text(c),
+            n_rows="count(1)",
+            n=f"count({x})",
+            missing_rate=f"1.0D - count({x}) / nullif(count(1), 0)",
+            mean=f"avg({x})",
+            std=f"stddev_samp({x})",
+            std_batch=f"stddev_pop({x})",
+            min=f"min({x})",
+            max=f"max({x})",
+        )
+        for c, x in ((c, sql.name(c)) for c in cols)
     ]
-    wide = numbers.agg(*stats)
-    return wide.select(F.inline(F.array(*[F.col(f"__{i}") for i in range(len(cols))])))
-
-
-def bin_of(v: Column, cuts: Column, n_cuts: int, right_closed: bool) -> Column:
-    """Bin number of a value: how many inner cuts lie below it (right-closed) or at or below it."""
-    passed = [v > F.get(cuts, F.lit(i)) if right_closed else v >= F.get(cuts, F.lit(i)) for i in range(n_cuts)]
-    return reduce(lambda a, b: a + b, [F.coalesce(p.cast("int"), F.lit(0)) for p in passed], F.lit(0))
+    wide = numbers.agg(*[F.expr(s).alias(f"__{i}") for i, s in enumerate(stats)])
+    return wide.selectExpr(f"inline({sql.array(f'__{i}' for i in range(len(cols)))})")
 
 
 def bin_counts(df: DataFrame, edges: DataFrame, cols: Sequence[str], n_cuts: int, right_closed: bool) -> DataFrame:
     """Rows per (feature, bin); bin is NULL outside the optional bounds, NULL values are left out.
 
+    A value's bin is the number of inner cuts below it (right-closed) or at or below it.
     ``edges`` has one row per column (feature, cuts, lo, hi; NULL bounds are open), so it is
     broadcast; counts are combined on the map side before the only shuffle.
     """
-    numbers = F.array(*[F.struct(F.lit(c).alias("feature"), as_number(df, c).alias("v")) for c in cols])
-    v = F.col("v")
-    outside = F.coalesce(v < F.col("lo"), F.lit(False)) | F.coalesce(v > F.col("hi"), F.lit(False))
+    pairs = sql.array(sql.struct(feature=sql.text(c), v=sql.number(df, c)) for c in cols)
+    passed = ">" if right_closed else ">="
+    bins = " + ".join(f"IF(v {passed} get(cuts, {i}), 1, 0)" for i in range(n_cuts)) or "0"
     return (
-        df.select(F.inline(numbers)).where(v.isNotNull())
+        df.selectExpr(f"inline({pairs})").where("v IS NOT NULL")
         .join(F.broadcast(edges.select("feature", "cuts", "lo", "hi")), "feature")
-        .select("feature", F.when(~outside, bin_of(v, F.col("cuts"), n_cuts, right_closed)).alias("bin"))
+        .selectExpr("feature", f"IF(v < lo OR v > hi, NULL, {bins}) AS bin")
         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 
 def category_counts(df: DataFrame, cols: Sequence[str], missing: str) -> DataFrame:
     """Rows per (feature, key) with values as text; NULL counts under ``missing``."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("key"))
-        for c in cols
-    ])
-    return df.select(F.inline(pairs)).groupBy("feature", "key").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = sql.array(
+        sql.struct(feature=sql.text(c), key=f"coalesce(CAST({sql.name(c)} AS STRING), {sql.text(missing)})") for c in cols)
+    return df.selectExpr(f"inline({pairs})").groupBy("feature", "key").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def top_categories(df: DataFrame, cols: Sequence[str], missing: str, top_k: int = TOP_K) -> DataFrame:

@@ -26,14 +26,11 @@ def quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS) ->
     Equal quantiles merge. No value: one bin. One distinct value: cut at that value.
     """
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = exact_quantiles(df, cols, probs).select(
-        "feature",
-        F.array_sort(F.array_distinct(F.transform(
-            F.array_compact("quantiles"), lambda q: F.round(q, EDGE_DIGITS)))).alias("e"),
-    )
-    inner = F.expr("if(size(e) <= 1, e, slice(e, 2, size(e) - 2))")
-    nothing = F.lit(None).cast("double")
-    return pinned(edges.select("feature", inner.alias("cuts"), nothing.alias("lo"), nothing.alias("hi")), "edges")
+    distinct = f"array_sort(array_distinct(transform(array_compact(quantiles), q -> round(q, {EDGE_DIGITS}))))"
+    edges = exact_quantiles(df, cols, probs).selectExpr("feature", f"{distinct} AS e").selectExpr(
+        "feature", "IF(size(e) <= 1, e, slice(e, 2, size(e) - 2)) AS cuts",
+        "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi")
+    return pinned(edges, "edges")[0]
 
 
 def _shares(counts: DataFrame, prop: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockcast.defaults import N_BINS, TOP_K
+from stockcast.functions import sqltext as sql
 from stockcast.functions.scores import psi_term
 from stockcast.operators.distributions import bin_counts, category_counts, column_profile, top_categories
 
@@ -24,22 +25,19 @@ def width_edges(profile: DataFrame, n_bins: int = N_BINS) -> DataFrame:
     A constant v gets the range v -/+ 0.1% of |v| (-/+ 0.001 for 0), not lowered.
     Columns without values are left out.
     """
-    mn, mx = F.col("min"), F.col("max")
-    pad = F.when(mn != mx, F.lit(0.0)).when(mn == 0, F.lit(0.001)).otherwise(F.abs(mn) * 0.001)
-    ranged = profile.where(F.col("n") > 0).select(
-        "*", (mn - pad).alias("a"), (mx + pad).alias("b"), (mn != mx).alias("spread"))
-    step = (F.col("b") - F.col("a")) / n_bins
-    inner = F.array(*[F.col("a") + F.lit(float(i)) * step for i in range(1, n_bins)])
-    lowest = F.when(F.col("spread"), F.col("a") - (F.col("b") - F.col("a")) * 0.001).otherwise(F.col("a"))
-    return ranged.select(*profile.columns, inner.alias("cuts"), lowest.alias("lo"), F.col("b").alias("hi"))
+    ranged = profile.where("n > 0").selectExpr(
+        "*", "CASE WHEN min <> max THEN 0.0D WHEN min = 0 THEN 0.001D ELSE abs(min) * 0.001D END AS pad"
+    ).selectExpr("*", "min - pad AS a", "max + pad AS b", f"((max + pad) - (min - pad)) / {float(n_bins)}D AS step")
+    inner = sql.array(f"a + {float(i)}D * step" for i in range(1, n_bins))
+    return ranged.selectExpr(
+        *map(sql.name, profile.columns), f"{inner} AS cuts", "IF(min <> max, a - (b - a) * 0.001D, a) AS lo", "b AS hi")
 
 
 def _bins(edges: DataFrame, n_bins: int) -> DataFrame:
-    bounds = F.concat(F.array("lo"), F.col("cuts"), F.array("hi"))
-    each = F.array(*[
-        F.struct(F.lit(i).alias("bin"), bounds[i].alias("bin_lo"), bounds[i + 1].alias("bin_hi")) for i in range(n_bins)
-    ])
-    return edges.select("*", F.inline(each))
+    """One row per bin with its bounds ``bin_lo`` and ``bin_hi``."""
+    each = (f"transform(sequence(0, {n_bins - 1}), i -> named_struct('bin', i, "
+            f"'bin_lo', IF(i = 0, lo, get(cuts, i - 1)), 'bin_hi', IF(i = {n_bins - 1}, hi, get(cuts, i))))")
+    return edges.selectExpr("*", f"inline({each})")
 
 
 def _with_features(df: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str]) -> DataFrame:
@@ -51,12 +49,10 @@ def _with_features(df: DataFrame, feature_names: Sequence[str], cat_cols: Sequen
 
 
 def _missing_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    share = [
-        F.struct(F.lit(c).alias("feature"), F.avg(F.col(c).isNull().cast("double")).alias("missing_rate"),
-                 F.count(F.lit(1)).alias("n_rows")).alias(f"__{i}")
-        for i, c in enumerate(cols)
-    ]
-    return df.agg(*share).select(F.inline(F.array(*[F.col(f"__{i}") for i in range(len(cols))])))
+    rates = [
+        sql.struct(feature=sql.text(c), missing_rate=f"avg(IF({sql.name(c)} IS NULL, 1.0D, 0.0D))", n_rows="count(1)") for c in cols]
+    return df.agg(*[F.expr(r).alias(f"__{i}") for i, r in enumerate(rates)]).selectExpr(
+        f"inline({sql.array(f'__{i}' for i in range(len(cols)))})")
 
 
 def width_reference(
@@ -66,7 +62,7 @@ def width_reference(
     df = _with_features(df, feature_names, cat_cols)
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
-    positions = F.create_map(*[x for i, c in enumerate(feature_names) for x in (F.lit(c), F.lit(i))])
+    position = f"array_position({sql.array(map(sql.text, feature_names))}, feature) - 1"
     parts = []
     if nums:
         edges = width_edges(column_profile(df, nums), n_bins)
@@ -85,7 +81,7 @@ def width_reference(
             nothing.alias("lo"), nothing.alias("hi"), "key", "cnt", "share", "missing_rate",
             nothing.alias("mean"), nothing.alias("std"), nothing.alias("min"), nothing.alias("max"), "n_rows"))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.select(positions[F.col("feature")].alias("pos"), *rows.columns)
+    return rows.selectExpr(f"CAST({position} AS INT) AS pos", "*")
 
 
 def numeric_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str], n_bins: int = N_BINS) -> DataFrame:

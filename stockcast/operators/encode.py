@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockcast.defaults import TARGET
-from stockcast.functions.values import DATES, as_number, is_numeric, type_of
+from stockcast.functions import sqltext as sql
+from stockcast.functions.values import DATES, is_numeric, type_of
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS, is_small
 
 MISSING = "missing"
@@ -44,11 +45,9 @@ def category_columns(*frames: DataFrame) -> list[str]:
 
 def _labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct (feature, value) pairs; NULL counts as the missing label."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("value"))
-        for c in cols
-    ])
-    return df.select(F.inline(pairs)).distinct()
+    pairs = sql.array(
+        sql.struct(feature=sql.text(c), value=f"coalesce(CAST({sql.name(c)} AS STRING), '{MISSING}')") for c in cols)
+    return df.selectExpr(f"inline({pairs})").distinct()
 
 
 def category_dictionary(frames: Sequence[DataFrame], cols: Sequence[str], max_labels: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -113,7 +112,8 @@ def check_numeric_text(df: DataFrame, cols: Sequence[str]) -> None:
     texts = [c for c in cols if c in df.columns and not is_numeric(type_of(df, c))]
     if not texts:
         return
-    counts = df.agg(*[F.struct(F.count(c).alias("filled"), F.count(as_number(df, c)).alias("numbers")).alias(c) for c in texts]).first()
+    counts = df.agg(*[
+        F.expr(sql.struct(filled=f"count({sql.name(c)})", numbers=f"count({sql.number(df, c)})")).alias(c) for c in texts]).first()
     bad = [c for c in texts if counts[c]["filled"] > 0 and counts[c]["numbers"] == 0]
     if bad:
         raise ValueError(f"non-numeric values in columns that are not categorical: {', '.join(bad)}")
@@ -131,8 +131,7 @@ def model_matrix(
     for c in feature_names:
         if c in cat_labels:
             cols.append(apply_category(F.col(c) if c in df.columns else F.lit(None), cat_labels[c]).alias(c))
-        elif c in df.columns:
-            cols.append(F.coalesce(as_number(df, c), F.lit(0.0)).alias(c))
         else:
-            cols.append(F.lit(0.0).alias(c))
+            value = f"coalesce({sql.number(df, c)}, 0.0D)" if c in df.columns else "0.0D"
+            cols.append(F.expr(value).alias(c))
     return df.select(*keep, *cols)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from stockcast.functions.dates import order_position
 from stockcast.functions.values import type_of
@@ -25,12 +25,15 @@ def is_small(df: DataFrame, max_rows: int = MAX_LISTED) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def pinned(df: DataFrame, name: str, max_rows: int = MAX_LISTED) -> DataFrame:
-    """Evaluate a small table once and broadcast it; beyond the bound write it to the shared folder."""
+def pinned(df: DataFrame, name: str, max_rows: int = MAX_LISTED) -> tuple[DataFrame, list[Row] | None]:
+    """Evaluate a small table once: a broadcast copy and its rows.
+
+    Beyond the bound it is written to the shared folder instead, with no rows and no broadcast.
+    """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return write_stage(df, name)
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
+    return write_stage(df, name), None
 
 
 def row_hash(df: DataFrame) -> Column:

@@ -44,12 +44,15 @@ def fit_medians(df: DataFrame, cols: Sequence[str] = MACRO_COLS, group_col: str
     if not cols:
         return MedianFill(group_col, [])
     df = finite_columns(df.select(group_col, *cols))
-    fill = MedianFill(group_col, cols, pinned(medians_wide(df, cols, [group_col], MEDIAN), "medians"))
-    lacking = fill.by_group.agg(*[F.max(F.col(c + MEDIAN).isNull()).alias(c) for c in cols]).first()
-    if df.where(F.col(group_col).isNull()).limit(1).count():
-        open_cols = cols
-    else:
+    medians, rows = pinned(medians_wide(df, cols, [group_col], MEDIAN), "medians")
+    fill = MedianFill(group_col, cols, medians.where(F.col(group_col).isNotNull()))
+    # a column stays open where a whole group lacks it, or where the group itself is NULL
+    if rows is None:
+        lacking = medians.agg(*[
+            F.max(F.col(c + MEDIAN).isNull() | F.col(group_col).isNull()).alias(c) for c in cols]).first()
         open_cols = [c for c in cols if lacking[c]]
+    else:
+        open_cols = [c for c in cols if any(r[c + MEDIAN] is None or r[group_col] is None for r in rows)]
     if open_cols:
         overall = exact_quantiles(fill.apply(df), open_cols, [0.5]).collect()
         fill.overall = {r["feature"]: r["quantiles"][0] for r in overall}

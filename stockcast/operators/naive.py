@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.defaults import DATE, KEYS, SEASON_DAYS, TARGET
-from stockcast.functions.values import as_number
 from stockcast.operators.hot_groups import pinned
 from stockcast.operators.quantiles import exact_quantiles, medians_wide
 
@@ -51,20 +50,19 @@ def fill_with_medians(
     """
     keys = list(keys)
     open_rows = rows.where(F.col(seasonal_col).isNull()) if seasonal_col else rows
-    need = pinned(open_rows.select(*keys).distinct(), "open-series")
-    value = as_number(rows, seasonal_col) if seasonal_col else F.lit(None).cast("double")
-    if need.isEmpty():
+    need, need_rows = pinned(open_rows.select(*keys).distinct(), "open-series")
+    value = F.col(seasonal_col).cast("double") if seasonal_col else F.lit(None).cast("double")
+    if need_rows == []:
         return rows.withColumn(out_col, value)
-    target = train.select(*keys, as_number(train, target_col).alias(target_col))
-    medians = pinned(
-        medians_wide(target.join(need, keys, "left_semi"), [target_col], keys, "")
-        .withColumnRenamed(target_col, MEDIAN),
-        "series-medians",
-    )
-    overall = None
-    covered = medians.where(F.col(MEDIAN).isNotNull())
-    if not need.join(covered, keys, "left_anti").isEmpty():
-        overall = exact_quantiles(target, [target_col], [0.5]).first()["quantiles"][0]
+    target = train.select(*keys, F.col(target_col).alias(MEDIAN))
+    wanted = target.join(need, keys, "left_semi")
+    medians, median_rows = pinned(medians_wide(wanted, [MEDIAN], keys, "").where(F.col(MEDIAN).isNotNull()), "series-medians")
+    if need_rows is None or median_rows is None:
+        covered = need.join(medians, keys, "left_anti").isEmpty()
+    else:
+        found = {tuple(r[k] for k in keys) for r in median_rows}
+        covered = all(tuple(r[k] for k in keys) in found for r in need_rows)
+    overall = None if covered else exact_quantiles(target, [MEDIAN], [0.5]).first()["quantiles"][0]
     return (
         rows.join(medians, keys, "left")
         .withColumn(out_col, F.coalesce(value, F.col(MEDIAN), F.lit(overall).cast("double")))

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from stockcast.functions.values import as_number
-from stockcast.operators.hot_groups import is_small
+from stockcast.functions import sqltext as sql
+from stockcast.operators.hot_groups import MAX_LISTED, pinned
 
 
 def exact_quantiles(
@@ -20,72 +19,65 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles of each column, per group: (group..., feature, n, quantiles).
 
-    Two narrow scans. The first takes mergeable sketches, whose guaranteed rank error gives each
+    Two narrow scans. The first, run at once, takes mergeable sketches, whose guaranteed rank error gives each
     quantile a bracket of values it must lie in. The second counts rows per value inside the
     brackets and per gap between them, so only a few hundredths of a percent of a large group's
     values leave the map side, and a running count finds the order statistics exactly. Groups of
     at most ``accuracy`` rows use one bracket for everything. NULLs are left out; a group
-    without values has n = 0 and NULL quantiles. Groups with a NULL key are left out.
+    without values has n = 0 and NULL quantiles. NULL keys form a group of their own.
     """
     groups, cols, k = list(group_cols), list(cols), len(probs)
-    narrow = df.select(*groups, *[as_number(df, c).alias(f"__{i}") for i, c in enumerate(cols)])
-    for g in groups:
-        narrow = narrow.where(F.col(g).isNotNull())
+    quoted, ids = [sql.name(g) for g in groups], range(len(cols))
+    narrow = df.selectExpr(*quoted, *[f"{sql.number(df, c)} AS __{i}" for i, c in enumerate(cols)])
 
     margin = 3.0 / accuracy
-    shares = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
-    sketched = narrow.groupBy(*groups).agg(*[
-        F.struct(
-            F.lit(i).alias("__f"),
-            F.count(f"__{i}").alias("__n"),
-            F.percentile_approx(f"__{i}", shares, accuracy).alias("__b"),
-        ).alias(f"__s{i}")
-        for i in range(len(cols))
+    shares = sql.array(
+        [f"{max(0.0, p - margin)!r}D" for p in probs] + [f"{min(1.0, p + margin)!r}D" for p in probs])
+    sketches = narrow.groupBy(*groups).agg(*[
+        F.expr(sql.struct(
+            __id=str(i), __n=f"count(__{i})", __b=f"percentile_approx(__{i}, {shares}, {accuracy})")).alias(f"__s{i}")
+        for i in ids
     ])
-    everything = F.array(*[F.lit(float("-inf"))] * k, *[F.lit(float("inf"))] * k)
-    brackets = (
-        sketched.select(*groups, F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s"))
-        .select(*groups, "s.__f", F.when(F.col("s.__n") <= accuracy, everything).otherwise(F.col("s.__b")).alias("__b"))
-    )
-    # without groups there is one row per column; with groups their number is checked
-    if not groups or is_small(narrow.select(*groups).distinct()):
-        brackets = F.broadcast(brackets)
+    everything = f"concat(array_repeat(double('-infinity'), {k}), array_repeat(double('infinity'), {k}))"
+    group_ids = [f"__g{j}" for j in range(len(groups))]
+    brackets = sketches.selectExpr(
+        *[f"{g} AS {gid}" for g, gid in zip(quoted, group_ids)], f"inline({sql.array(f'__s{i}' for i in ids)})"
+    ).selectExpr(*group_ids, "__id", f"IF(__n <= {accuracy}, {everything}, __b) AS __b")
+    # one row per group and column: broadcast if few, else a written table joined by shuffle
+    brackets, _ = pinned(brackets, "brackets", MAX_LISTED // (2 * k))
 
-    values = narrow.select(*groups, F.posexplode(F.array(*[F.col(f"__{i}") for i in range(len(cols))])).alias("__f", "v"))
-    low = [F.get(F.col("__b"), F.lit(i)) for i in range(k)]
-    high = [F.get(F.col("__b"), F.lit(k + i)) for i in range(k)]
-    v = F.col("v")
-    inside = reduce(lambda a, b: a | b, [v.between(lo, hi) for lo, hi in zip(low, high)])
-    passed = [F.when(hi < v, hi) for hi in high]
-    below = F.greatest(*passed) if k > 1 else passed[0]
+    values = narrow.selectExpr(*quoted, f"posexplode({sql.array(f'__{i}' for i in ids)}) AS (__f, v)")
+    same = " AND ".join(["__f = __id", *[f"{g} <=> {gid}" for g, gid in zip(quoted, group_ids)]])
+    inside = " OR ".join(f"v BETWEEN get(__b, {i}) AND get(__b, {k + i})" for i in range(k))
+    passed = [f"IF(get(__b, {k + i}) < v, get(__b, {k + i}), NULL)" for i in range(k)]
+    below = f"greatest({', '.join(passed)})" if k > 1 else passed[0]
     counted = (
-        values.join(brackets, [*groups, "__f"])
-        .select(*groups, "__f", F.when(inside, v).otherwise(below).alias("slot"), (~inside).alias("gap"))
+        values.join(brackets, F.expr(same))
+        .selectExpr(*quoted, "__f", f"IF({inside}, v, {below}) AS slot", f"NOT ({inside}) AS gap")
         .groupBy(*groups, "__f", "slot", "gap")
         .agg(F.count(F.lit(1)).alias("w"))
-        .withColumn("w", F.when(F.col("gap").isNull(), 0).otherwise(F.col("w")))
+        .withColumn("w", F.expr("IF(gap IS NULL, 0, w)"))
     )
-    group = Window.partitionBy(*groups, "__f")
-    running = group.orderBy("slot", "gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("upto", F.sum("w").over(running)).withColumn("n", F.sum("w").over(group))
+    group = ", ".join([*quoted, "__f"])
+    ranked = counted.selectExpr(
+        "*",
+        f"sum(w) OVER (PARTITION BY {group} ORDER BY slot, gap ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
+        f"sum(w) OVER (PARTITION BY {group}) AS n")
 
-    aggs, results = [F.max("n").alias("n")], []
-    for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * (F.col("n") - 1)
-        for side, idx in (("a", F.floor(rank)), ("b", F.ceil(rank))):
-            hit = (F.col("upto") > idx) & (F.col("upto") - F.col("w") <= idx)
-            aggs.append(F.max(F.when(hit & ~F.col("gap"), F.col("slot"))).alias(f"{side}{i}"))
-        final_rank = F.lit(float(p)) * (F.col("n") - 1)
-        a, b = F.col(f"a{i}"), F.col(f"b{i}")
-        lost = (F.col("n") > 0) & (a.isNull() | b.isNull())
-        results.append(
-            F.when(lost, F.raise_error(F.lit("quantile outside its sketch bracket")).cast("double"))
-            .otherwise(a + (b - a) * (final_rank - F.floor(final_rank)))
-        )
-    names = F.array(*[F.lit(c) for c in cols])
-    return ranked.groupBy(*groups, "__f").agg(*aggs).select(
-        *groups, F.get(names, F.col("__f")).alias("feature"), "n", F.array(*results).alias("quantiles")
-    )
+    def at(rank: str) -> str:
+        return f"max(IF(upto > {rank} AND upto - w <= {rank} AND NOT gap, slot, NULL))"
+
+    ranks = [f"({float(p)!r}D * (n - 1))" for p in probs]
+    picked = ranked.groupBy(*groups, "__f").agg(F.max("n").alias("n"), *[
+        F.expr(at(f"{end}{r}")).alias(f"{end}_{i}") for i, r in enumerate(ranks) for end in ("floor", "ceil")
+    ])
+    lost = "CAST(raise_error('quantile outside its sketch bracket') AS DOUBLE)"
+    results = [
+        f"IF(n > 0 AND (floor_{i} IS NULL OR ceil_{i} IS NULL), {lost}, floor_{i} + (ceil_{i} - floor_{i}) * ({r} - floor{r}))"
+        for i, r in enumerate(ranks)
+    ]
+    names = sql.array(sql.text(c) for c in cols)
+    return picked.selectExpr(*quoted, f"get({names}, __f) AS feature", "n", f"{sql.array(results)} AS quantiles")
 
 
 def medians_wide(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], suffix: str) -> DataFrame:

@@ -32,6 +32,7 @@ GOLD_NUMBERS = ["MarkDown1", "MarkDown2", "CPI", "Unemployment", "Size", "IsHoli
 GOLD_FEATURES = ["Store", *GOLD_NUMBERS, "Type", "Dept"]
 GOLD_CATS = ["Type", "Dept"]
 EVENT_DAYS = 10
+WEEKLY = None  # no size check: the panel is grouped by series and week, so a series is as long as its weeks
 
 
 def sig(col: Column, digits: int = 9) -> Column:
@@ -65,7 +66,8 @@ def _exact_history(df: DataFrame) -> DataFrame:
 
 def _dataset(spark: SparkSession, folder: str) -> DataFrame:
     return _exact_history(jobs.build_dataset(
-        sales_panel(spark, folder, money=EXACT), store_features(spark, folder), store_dimension(spark, folder)))
+        sales_panel(spark, folder, money=EXACT), store_features(spark, folder), store_dimension(spark, folder),
+        max_series_rows=WEEKLY))
 
 
 def _gold(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,11 +101,11 @@ def q_model_date_parts(spark, folder):
 
 def q_lag_features(spark, folder):
     names = ["lag_1", "lag_2", "lag_3", "lag_4"]
-    return add_history(_sales(spark, folder), windows=(), lags=(1, 2, 3, 4)).select(*KEYS, DATE, TARGET, *names)
+    return add_history(_sales(spark, folder), windows=(), max_series_rows=WEEKLY).select(*KEYS, DATE, TARGET, *names)
 
 
 def q_rolling_features(spark, folder):
-    out = add_history(_sales(spark, folder, EXACT))
+    out = add_history(_sales(spark, folder, EXACT), max_series_rows=WEEKLY)
     return _exact_history(out).select(*KEYS, DATE, TARGET, *history_names((), (4, 8, 12)))
 
 
