@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from stockcast.defaults import DATE, KEYS, LAGS, TARGET, WINDOWS
 from stockcast.functions.dates import order_position
-from stockcast.functions.values import FLOATS, finite, type_of
+from stockcast.functions.values import finite_columns, type_of
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS, chunk_columns, cut_points, row_hash
 
 TIE = "__tie"
@@ -48,8 +48,7 @@ def add_history(
     ``max_series_rows=None`` when series are known to be short. A decimal target gives exact means.
     """
     keys, names = list(keys), history_names(lags, windows)
-    if isinstance(type_of(df, target_col), FLOATS):
-        df = df.withColumn(target_col, finite(F.col(target_col)))
+    df = finite_columns(df)
     out_cols = [c for c in df.columns if c not in names] + names
     depth = max([*lags, *windows])
     rows = df.drop(*names).withColumn(TIE, row_hash(df))

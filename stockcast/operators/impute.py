@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.defaults import MACRO_COLS, STORE, TARGET
-from stockcast.functions.values import clip_low, finite_columns
+from stockcast.functions.values import clip_low, finite, finite_columns
 from stockcast.operators.hot_groups import pinned
 from stockcast.operators.quantiles import exact_quantiles, medians_wide
 
@@ -29,7 +29,7 @@ class MedianFill:
             return df
         filled = df.join(self.by_group, self.group_col, "left")
         values = {
-            c: F.coalesce(F.col(c), F.col(c + MEDIAN), F.lit(self.overall.get(c)).cast("double"))
+            c: F.coalesce(finite(F.col(c).cast("double")), F.col(c + MEDIAN), F.lit(self.overall.get(c)).cast("double"))
             for c in self.cols
         }
         return filled.withColumns(values).select(*df.columns)
@@ -78,5 +78,5 @@ def finalize_features(
     training rows only, or the same rows without the history columns).
     """
     fill = fit_medians(df if fit_rows is None else fit_rows, macro_cols, group_col)
-    filled = fill.apply(finite_columns(df))
+    filled = fill.apply(df)
     return keep_full_history(filled).withColumn(target_col, clip_low(F.col(target_col), 0))

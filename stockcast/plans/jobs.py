@@ -18,7 +18,7 @@ from stockcast.operators.boosting import Forecaster, fit_forecaster, score
 from stockcast.operators.calendar import add_calendar, date_parts
 from stockcast.operators.drift_width import drift_report, width_reference
 from stockcast.operators.enrich import enrich_panel
-from stockcast.operators.history import add_history
+from stockcast.operators.history import add_history, history_names
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS
 from stockcast.operators.impute import finalize_features
 from stockcast.operators.naive import seasonal_naive
@@ -39,13 +39,19 @@ def build_dataset(
     macro_cols: Sequence[str] = MACRO_COLS,
     max_series_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Enrich, calendar, history, impute, keep full history, clip: in that order."""
+    """Enrich, calendar, history, impute, keep full history, clip.
+
+    Lags see unclipped targets, and medians all rows, also those without full history.
+    """
     enriched = enrich_panel(sales, features, stores, store_col, date_col)
-    dated = add_calendar(enriched, date_col)
     known = add_history(
-        dated, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows, sizes_from=sales)
+        enriched, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows, sizes_from=sales)
+    # calendar columns need no history; added after the series shuffle they do not travel through it
+    dated = add_calendar(known, date_col)
+    history = history_names(lags, windows)
+    dated = dated.select(*[c for c in dated.columns if c not in history], *history)
     # medians need neither calendar nor history, so they are fitted on the joined rows alone
-    return finalize_features(known, store_col, target_col, macro_cols, fit_rows=enriched)
+    return finalize_features(dated, store_col, target_col, macro_cols, fit_rows=enriched)
 
 
 @dataclass(frozen=True)
