@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -11,7 +12,7 @@ from stockcast.functions.dates import order_position
 from stockcast.functions.values import finite_columns, type_of
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS, chunk_columns, cut_points, row_hash
 
-TIE = "__tie"
+TIE, SPREAD = "__tie", "__spread"
 
 
 def history_names(lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS) -> list[str]:
@@ -48,12 +49,17 @@ def add_history(
     ``max_series_rows=None`` when series are known to be short. A decimal target gives exact means.
     """
     keys, names = list(keys), history_names(lags, windows)
+    no_series = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     df = finite_columns(df)
     out_cols = [c for c in df.columns if c not in names] + names
     depth = max([*lags, *windows])
-    rows = df.drop(*names).withColumn(TIE, row_hash(df))
+    # rows with a NULL key belong to no series: no history, and spread out instead of sorted together
+    rows = df.drop(*names).withColumn(TIE, row_hash(df)).withColumn(SPREAD, F.when(no_series, F.col(TIE)))
     order = [date_col, *tie_cols, TIE]
-    exprs = _history(F.col(target_col), Window.partitionBy(*keys).orderBy(*order), lags, windows)
+    series = Window.partitionBy(*keys, SPREAD).orderBy(*order)
+    exprs = {
+        name: F.when(~no_series, expr) for name, expr in _history(F.col(target_col), series, lags, windows).items()
+    }
 
     cuts = None
     if max_series_rows is not None:

@@ -26,13 +26,13 @@ def exact_quantiles(
     at most ``accuracy`` rows use one bracket for everything. NULLs are left out; a group
     without values has n = 0 and NULL quantiles. NULL keys form a group of their own.
     """
-    groups, cols, k = list(group_cols), list(cols), len(probs)
+    groups, cols, probs, k = list(group_cols), list(cols), list(probs), len(probs)
     quoted, ids = [sql.name(g) for g in groups], range(len(cols))
     narrow = df.selectExpr(*quoted, *[f"{sql.number(df, c)} AS __{i}" for i, c in enumerate(cols)])
 
     margin = 3.0 / accuracy
     shares = sql.array(
-        [f"{max(0.0, p - margin)!r}D" for p in probs] + [f"{min(1.0, p + margin)!r}D" for p in probs])
+        [f"{max(0.0, p - margin)!r}D" for p in sorted(probs)] + [f"{min(1.0, p + margin)!r}D" for p in sorted(probs)])
     sketches = narrow.groupBy(*groups).agg(*[
         F.expr(sql.struct(
             __id=str(i), __n=f"count(__{i})", __b=f"percentile_approx(__{i}, {shares}, {accuracy})")).alias(f"__s{i}")
@@ -48,12 +48,16 @@ def exact_quantiles(
 
     values = narrow.selectExpr(*quoted, f"posexplode({sql.array(f'__{i}' for i in ids)}) AS (__f, v)")
     same = " AND ".join(["__f = __id", *[f"{g} <=> {gid}" for g, gid in zip(quoted, group_ids)]])
-    inside = " OR ".join(f"v BETWEEN get(__b, {i}) AND get(__b, {k + i})" for i in range(k))
-    passed = [f"IF(get(__b, {k + i}) < v, get(__b, {k + i}), NULL)" for i in range(k)]
-    below = f"greatest({', '.join(passed)})" if k > 1 else passed[0]
+    # brackets may overlap: a value is inside one if more of them have started than ended
+    started = " + ".join(f"IF(v >= get(__b, {i}), 1, 0)" for i in range(k))
+    ended = " + ".join(f"IF(v > get(__b, {k + i}), 1, 0)" for i in range(k))
     counted = (
         values.join(brackets, F.expr(same))
-        .selectExpr(*quoted, "__f", f"IF({inside}, v, {below}) AS slot", f"NOT ({inside}) AS gap")
+        .selectExpr(*quoted, "__f", "v", "__b", f"{started} AS started", f"{ended} AS ended")
+        .selectExpr(
+            *quoted, "__f",
+            f"IF(started > ended, v, IF(ended = 0, NULL, get(__b, {k - 1} + ended))) AS slot",
+            "IF(v IS NULL, NULL, started = ended) AS gap")
         .groupBy(*groups, "__f", "slot", "gap")
         .agg(F.count(F.lit(1)).alias("w"))
         .withColumn("w", F.expr("IF(gap IS NULL, 0, w)"))

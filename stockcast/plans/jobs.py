@@ -44,8 +44,10 @@ def build_dataset(
     Lags see unclipped targets, and medians all rows, also those without full history.
     """
     enriched = enrich_panel(sales, features, stores, store_col, date_col)
+    # rows without a series key get no history and would be dropped below: leave them out of the shuffle
+    keyed = enriched.dropna(subset=list(keys)) if (lags or windows) else enriched
     known = add_history(
-        enriched, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows, sizes_from=sales)
+        keyed, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows, sizes_from=sales)
     # calendar columns need no history; added after the series shuffle they do not travel through it
     dated = add_calendar(known, date_col)
     history = history_names(lags, windows)

@@ -101,3 +101,14 @@ def test_few_hot_keys_are_found_from_separate_sizes(spark):
     df = panel(spark, series)
     assert cut_points(df, ["Store", "Dept"], "Date", 100) is None
     assert [r["Store"] for r in cut_points(df, ["Store", "Dept"], "Date", 20).collect()] == [1]
+
+
+@pytest.mark.parametrize("max_rows", [None, 20])
+def test_rows_without_a_key_have_no_history(spark, max_rows):
+    series = {1: [(i, float(i)) for i in range(60)]}
+    lost = spark.createDataFrame([(None, 1, START, 5.0), (None, 1, START + timedelta(days=1), 6.0), (1, None, START, 7.0)],
+                                 "Store int, Dept int, Date date, Weekly_Sales double")
+    out = add_history(panel(spark, series).unionByName(lost), max_series_rows=max_rows)
+    assert_rows(out.where("Store IS NOT NULL AND Dept IS NOT NULL"), series)
+    rest = out.where("Store IS NULL OR Dept IS NULL").collect()
+    assert len(rest) == 3 and all(r[c] is None for r in rest for c in history_names())
