@@ -14,19 +14,21 @@ from stockcast.operators.hot_groups import pinned
 from stockcast.operators.quantiles import exact_quantiles
 
 OTHER = "__other__"
-EDGE_DIGITS = 9  # removes interpolation dust before equal edges are merged
 REFERENCE_SCHEMA = (
     "pos int, feature string, kind string, bin int, lo double, hi double, key string, ref_prop double, n_ref bigint"
 )
 
 
-def quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS) -> DataFrame:
+def quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS, edge_digits: int | None = None) -> DataFrame:
     """Inner cut points per column: (feature, cuts, lo, hi). The outer bins are open.
 
     Equal quantiles merge. No value: one bin. One distinct value: cut at that value.
+    ``edge_digits`` rounds edges to significant digits first, which removes interpolation noise
+    from data with few digits.
     """
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    distinct = f"array_sort(array_distinct(transform(array_compact(quantiles), q -> round(q, {EDGE_DIGITS}))))"
+    probs = [i * (1.0 / n_bins) for i in range(n_bins)] + [1.0]
+    edge = "q" if edge_digits is None else f"CAST(format_string('%.{edge_digits - 1}e', q) AS DOUBLE)"
+    distinct = f"array_sort(array_distinct(transform(array_compact(quantiles), q -> {edge})))"
     edges = exact_quantiles(df, cols, probs).selectExpr("feature", f"{distinct} AS e").selectExpr(
         "feature", "IF(size(e) <= 1, e, slice(e, 2, size(e) - 2)) AS cuts",
         "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi")
@@ -45,7 +47,12 @@ def _positions(df: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[s
 
 
 def quantile_reference(
-    df: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str], n_bins: int = N_BINS, top_k: int = TOP_K
+    df: DataFrame,
+    feature_names: Sequence[str],
+    cat_cols: Sequence[str],
+    n_bins: int = N_BINS,
+    top_k: int = TOP_K,
+    edge_digits: int | None = None,
 ) -> DataFrame:
     """Reference table over all features: one row per numeric bin or category key."""
     nums = [c for c in feature_names if c not in cat_cols]
@@ -54,7 +61,7 @@ def quantile_reference(
     n_ref = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     parts = []
     if nums:
-        edges = quantile_edges(df, nums, n_bins)
+        edges = quantile_edges(df, nums, n_bins, edge_digits)
         shares = _shares(bin_counts(df, edges, nums, n_bins, right_closed=False), "share")
         bins = edges.select("feature", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("bin"))
         parts.append(bins.join(shares, ["feature", "bin"], "left").select(

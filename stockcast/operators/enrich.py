@@ -18,8 +18,9 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe:
     shared = [c for c in right.columns if c in left.columns and c not in on]
     left = left.withColumnsRenamed({c: f"{c}_x" for c in shared})
     right = right.withColumnsRenamed({c: f"{c}_y" for c in shared})
+    added = [c for c in right.columns if c not in on]
     if not null_safe:
-        return left.join(right, list(on), "left")
+        return left.join(right, list(on), "left").select(*left.columns, *added)
     right = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
     same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
     return left.join(right, same, "left").drop(*[f"__r_{c}" for c in on])

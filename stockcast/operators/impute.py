@@ -54,7 +54,7 @@ def fit_medians(df: DataFrame, cols: Sequence[str] = MACRO_COLS, group_col: str
     else:
         open_cols = [c for c in cols if any(r[c + MEDIAN] is None or r[group_col] is None for r in rows)]
     if open_cols:
-        overall = exact_quantiles(fill.apply(df), open_cols, [0.5]).collect()
+        overall = exact_quantiles(fill.apply(df), open_cols, [0.5], median_rule=True).collect()
         fill.overall = {r["feature"]: r["quantiles"][0] for r in overall}
     return fill
 

@@ -62,7 +62,7 @@ def fill_with_medians(
     else:
         found = {tuple(r[k] for k in keys) for r in median_rows}
         covered = all(tuple(r[k] for k in keys) in found for r in need_rows)
-    overall = None if covered else exact_quantiles(target, [MEDIAN], [0.5]).first()["quantiles"][0]
+    overall = None if covered else exact_quantiles(target, [MEDIAN], [0.5], median_rule=True).first()["quantiles"][0]
     return (
         rows.join(medians, keys, "left")
         .withColumn(out_col, F.coalesce(value, F.col(MEDIAN), F.lit(overall).cast("double")))

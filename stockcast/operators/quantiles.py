@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.functions import sqltext as sql
-from stockcast.operators.hot_groups import MAX_LISTED, pinned
+from stockcast.operators.hot_groups import MAX_GROUP_ROWS, MAX_LISTED, pinned
+
+CELLS = 1_000  # cells per bracket of a very large group
 
 
 def exact_quantiles(
@@ -16,14 +18,19 @@ def exact_quantiles(
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
     accuracy: int = 10_000,
+    max_rows: int = MAX_GROUP_ROWS,
+    median_rule: bool = False,
 ) -> DataFrame:
     """Linear-interpolation quantiles of each column, per group: (group..., feature, n, quantiles).
 
     Two narrow scans. The first, run at once, takes mergeable sketches, whose guaranteed rank error gives each
     quantile a bracket of values it must lie in. The second counts rows per value inside the
     brackets and per gap between them, so only a few hundredths of a percent of a large group's
-    values leave the map side, and a running count finds the order statistics exactly. Groups of
-    at most ``accuracy`` rows use one bracket for everything. NULLs are left out; a group
+    values leave the map side, and a running count finds the order statistics exactly. Where even
+    a bracket may hold more than ``max_rows`` values, it is cut into cells, and only the cells
+    that hold a wanted rank are sorted. Groups of at most ``accuracy`` rows use one bracket for
+    everything. A value between two others is interpolated from the nearer one; with
+    ``median_rule`` a halfway value is their mean. NULLs are left out; a group
     without values has n = 0 and NULL quantiles. NULL keys form a group of their own.
     """
     groups, cols, probs, k = list(group_cols), list(cols), list(probs), len(probs)
@@ -42,51 +49,73 @@ def exact_quantiles(
     group_ids = [f"__g{j}" for j in range(len(groups))]
     brackets = sketches.selectExpr(
         *[f"{g} AS {gid}" for g, gid in zip(quoted, group_ids)], f"inline({sql.array(f'__s{i}' for i in ids)})"
-    ).selectExpr(*group_ids, "__id", f"IF(__n <= {accuracy}, {everything}, __b) AS __b")
+    ).selectExpr(*group_ids, "__id", "__n", f"IF(__n <= {accuracy}, {everything}, __b) AS __b")
     # one row per group and column: broadcast if few, else a written table joined by shuffle
-    brackets, _ = pinned(brackets, "brackets", MAX_LISTED // (2 * k))
+    brackets, listed = pinned(brackets, "brackets", MAX_LISTED // (2 * k))
+    largest = max((r["__n"] for r in listed), default=0) if listed is not None else brackets.agg(F.max("__n")).first()[0]
+    brackets = brackets.drop("__n")
 
     values = narrow.selectExpr(*quoted, f"posexplode({sql.array(f'__{i}' for i in ids)}) AS (__f, v)")
     same = " AND ".join(["__f = __id", *[f"{g} <=> {gid}" for g, gid in zip(quoted, group_ids)]])
     # brackets may overlap: a value is inside one if more of them have started than ended
     started = " + ".join(f"IF(v >= get(__b, {i}), 1, 0)" for i in range(k))
     ended = " + ".join(f"IF(v > get(__b, {k + i}), 1, 0)" for i in range(k))
+    cell = "0"
+    if 6.0 * k * largest / accuracy > max_rows:
+        # ordered like the values: per bracket first the gap before it, then equal-width cells
+        low, high = "get(__b, ended)", f"get(__b, {k} + ended)"
+        part = f"least(floor((v - {low}) / ({high} - {low}) * {CELLS}), {CELLS - 1})"
+        cell = (f"CAST(ended * {CELLS + 1} + IF(started > ended, 1 + IF({low} = double('-infinity') OR {low} = {high}, 0, "
+                f"{part}), 0) AS INT)")
     counted = (
         values.join(brackets, F.expr(same))
         .selectExpr(*quoted, "__f", "v", "__b", f"{started} AS started", f"{ended} AS ended")
         .selectExpr(
-            *quoted, "__f",
+            *quoted, "__f", f"{cell} AS cell",
             f"IF(started > ended, v, IF(ended = 0, NULL, get(__b, {k - 1} + ended))) AS slot",
             "IF(v IS NULL, NULL, started = ended) AS gap")
-        .groupBy(*groups, "__f", "slot", "gap")
+        .groupBy(*groups, "__f", "cell", "slot", "gap")
         .agg(F.count(F.lit(1)).alias("w"))
         .withColumn("w", F.expr("IF(gap IS NULL, 0, w)"))
     )
     group = ", ".join([*quoted, "__f"])
-    ranked = counted.selectExpr(
-        "*",
-        f"sum(w) OVER (PARTITION BY {group} ORDER BY slot, gap ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
-        f"sum(w) OVER (PARTITION BY {group}) AS n")
+    ranks = [f"({float(p)!r}D * (n - 1))" for p in probs]
+    running = "ORDER BY slot, gap ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    if cell == "0":
+        ranked = counted.selectExpr(
+            "*", f"sum(w) OVER (PARTITION BY {group} {running}) AS upto", f"sum(w) OVER (PARTITION BY {group}) AS n")
+    else:
+        earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        cells = counted.groupBy(*groups, "__f", "cell").agg(F.sum("w").alias("c")).selectExpr(
+            *[f"{g} AS {gid}" for g, gid in zip(quoted, group_ids)], "__f AS __id", "cell AS __cell", "c",
+            f"coalesce(sum(c) OVER (PARTITION BY {group} ORDER BY cell {earlier}), 0) AS before",
+            f"sum(c) OVER (PARTITION BY {group}) AS n")
+        hit = " OR ".join(f"({end}{r} >= before AND {end}{r} < before + c)" for r in ranks for end in ("floor", "ceil"))
+        ranked = counted.join(cells.where(f"n = 0 OR {hit}"), F.expr(f"{same} AND cell = __cell")).selectExpr(
+            *quoted, "__f", "slot", "gap", "w", "n",
+            f"before + sum(w) OVER (PARTITION BY {group}, cell {running}) AS upto")
 
     def at(rank: str) -> str:
         return f"max(IF(upto > {rank} AND upto - w <= {rank} AND NOT gap, slot, NULL))"
 
-    ranks = [f"({float(p)!r}D * (n - 1))" for p in probs]
     picked = ranked.groupBy(*groups, "__f").agg(F.max("n").alias("n"), *[
         F.expr(at(f"{end}{r}")).alias(f"{end}_{i}") for i, r in enumerate(ranks) for end in ("floor", "ceil")
     ])
     lost = "CAST(raise_error('quantile outside its sketch bracket') AS DOUBLE)"
-    results = [
-        f"IF(n > 0 AND (floor_{i} IS NULL OR ceil_{i} IS NULL), {lost}, floor_{i} + (ceil_{i} - floor_{i}) * ({r} - floor{r}))"
-        for i, r in enumerate(ranks)
-    ]
+    results = []
+    for i, r in enumerate(ranks):
+        a, b, t = f"floor_{i}", f"ceil_{i}", f"({r} - floor{r})"
+        value = f"IF({t} < 0.5D, {a} + ({b} - {a}) * {t}, {b} - ({b} - {a}) * (1.0D - {t}))"
+        if median_rule:
+            value = f"IF({t} = 0.5D, ({a} + {b}) / 2.0D, {value})"
+        results.append(f"IF(n > 0 AND ({a} IS NULL OR {b} IS NULL), {lost}, {value})")
     names = sql.array(sql.text(c) for c in cols)
     return picked.selectExpr(*quoted, f"get({names}, __f) AS feature", "n", f"{sql.array(results)} AS quantiles")
 
 
 def medians_wide(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], suffix: str) -> DataFrame:
     """Exact medians as one row per group with a ``<col><suffix>`` column each."""
-    long = exact_quantiles(df, cols, [0.5], group_cols)
+    long = exact_quantiles(df, cols, [0.5], group_cols, median_rule=True)
     return long.groupBy(*group_cols).agg(*[
         F.max(F.when(F.col("feature") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in cols
     ])

@@ -34,8 +34,11 @@ MACRO = ("MarkDown1", "MarkDown2", "CPI", "Unemployment")
 
 
 def sig(x: str, digits: int = 9) -> str:
-    scale = f"pow(10.0, floor(log10(abs(CAST({x} AS DOUBLE)))))"
-    return f"CASE WHEN CAST({x} AS DOUBLE) = 0 THEN 0.0 ELSE round(CAST({x} AS DOUBLE) / {scale}, {digits}) * {scale} END"
+    x = f"CAST({x} AS DOUBLE)"
+    e = f"floor(log10(abs({x})))"
+    scale = f"pow(10.0, abs({e}))"
+    return (f"CASE WHEN {x} = 0 THEN 0.0 WHEN {e} < 0 THEN round({x} * {scale}, {digits}) / {scale} "
+            f"ELSE round({x} / {scale}, {digits}) * {scale} END")
 
 
 def _calendar(d: str) -> str:
@@ -67,7 +70,7 @@ def _rolling(windows: Sequence[int], std: str) -> str:
 def _gold() -> str:
     medians = ", ".join(f"median({c}) AS m_{c}" for c in MACRO)
     fill1 = ", ".join(f"COALESCE(k.{c}, m.m_{c}) AS {c}" for c in MACRO)
-    fill2 = ", ".join(f"COALESCE({c}, m_{c}) AS {c}" for c in MACRO)
+    fill2 = ", ".join(f"round(COALESCE({c}, m_{c}), 3) AS {c}" for c in MACRO)
     lags = ", ".join(f"lag(Weekly_Sales, {k}) OVER w AS lag_{k}" for k in (1, 2, 3, 4))
     history = ["lag_1", "lag_2", "lag_3", "lag_4", *[f"roll_{s}_{k}" for k in (4, 8, 12) for s in ("mean", "std")]]
     full = " AND ".join(f"{c} IS NOT NULL" for c in history)
@@ -113,8 +116,8 @@ def _metrics(src: str, by: Sequence[str] = ()) -> str:
     mape = "SUM(CAST(abs(y - p) AS DOUBLE) / greatest(abs(CAST(y AS DOUBLE)), 1e-8)) / COUNT(*)"
     cost = "CAST(SUM(greatest(y - p, 0)) AS DOUBLE) * 6.0 + CAST(SUM(greatest(p - y, 0)) AS DOUBLE) * 1.5"
     return (
-        f"SELECT {keys}COUNT(*) AS n, CAST(0 AS BIGINT) AS n_null, {sig(mae)} AS mae, {sig(rmse)} AS rmse, {sig(mape)} AS mape, "
-        f"{sig(cost)} AS cost_total FROM (SELECT *, CAST(Weekly_Sales AS DECIMAL(18,4)) AS y, CAST(pred AS DECIMAL(18,4)) AS p FROM {src}){group}"
+        f"SELECT {keys}COUNT(*) AS n, CAST(0 AS BIGINT) AS n_null, {mae} AS mae, {rmse} AS rmse, {sig(mape)} AS mape, "
+        f"{cost} AS cost_total FROM (SELECT *, CAST(Weekly_Sales AS DECIMAL(18,4)) AS y, CAST(pred AS DECIMAL(18,4)) AS p FROM {src}){group}"
     )
 
 
@@ -166,7 +169,7 @@ def _quantile_bins(cols: Sequence[str]) -> str:
     """CTEs over ref, ending in qbins (feature, bin, lo, hi, prop)."""
     probs = ", ".join(str(i / 10) for i in range(11))
     return f"""rl AS ({_long('ref', cols)}),
-qe AS (SELECT feature, list_sort(list_distinct([round(x, 9) for x in quantile_cont(v, [{probs}])])) AS e FROM rl WHERE v IS NOT NULL GROUP BY 1),
+qe AS (SELECT feature, list_sort(list_distinct([CAST(format('{{:.11e}}', x) AS DOUBLE) for x in quantile_cont(v, [{probs}])])) AS e FROM rl WHERE v IS NOT NULL GROUP BY 1),
 qc AS (SELECT feature, CASE WHEN len(e) <= 1 THEN e ELSE e[2:len(e) - 1] END AS cuts FROM qe),
 qg AS (SELECT feature, CAST(i AS INTEGER) AS bin, CASE WHEN i > 0 THEN cuts[i] END AS lo, CASE WHEN i < len(cuts) THEN cuts[i + 1] END AS hi
  FROM (SELECT feature, cuts, unnest(range(len(cuts) + 1)) AS i FROM qc)),
@@ -230,7 +233,7 @@ def oracle_sql() -> dict[str, str]:
     event_keys = ("event_type", "user_id")
     line_cols = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     macro1 = ", ".join(f"COALESCE(e.{c}, m.m_{c}) AS {c}" for c in MACRO)
-    macro2 = ", ".join(f"COALESCE({c}, m_{c}) AS {c}" for c in MACRO)
+    macro2 = ", ".join(f"round(COALESCE({c}, m_{c}), 3) AS {c}" for c in MACRO)
     medians = ", ".join(f"median({c}) AS m_{c}" for c in MACRO)
     naive = _naive(SALES)
     return {
@@ -262,7 +265,7 @@ SELECT CASE WHEN o_orderdate <= c THEN 'train' ELSE 'valid' END AS part, COUNT(*
         "cost_scenarios": f"""WITH {naive},
 u AS (SELECT Store, Dept, CAST(SUM(greatest(y - p, 0)) AS DOUBLE) AS short, CAST(SUM(greatest(p - y, 0)) AS DOUBLE) AS over_
  FROM (SELECT *, CAST(Weekly_Sales AS DECIMAL(18,4)) AS y, CAST(pred AS DECIMAL(18,4)) AS p FROM naive) GROUP BY 1, 2)
-SELECT Store, Dept, scenario, cost_under, cost_over, {sig('short * cost_under + over_ * cost_over')} AS cost_total
+SELECT Store, Dept, scenario, cost_under, cost_over, short * cost_under + over_ * cost_over AS cost_total
 FROM u CROSS JOIN (VALUES {scenarios}) t(scenario, cost_under, cost_over)""",
         "segment_keys": f"WITH {SALES} SELECT DISTINCT Store, Dept FROM sales",
         "promotion_decision": f"""WITH {naive},
@@ -295,13 +298,13 @@ SELECT feature, COUNT(*) AS n_rows, COUNT(v) AS n, 1.0 - CAST(COUNT(v) AS DOUBLE
 q AS (SELECT l_returnflag, feature, COUNT(v) AS n, quantile_cont(v, [{quantiles}]) AS qs FROM rl GROUP BY 1, 2)
 SELECT l_returnflag, feature, n, CAST(i AS INTEGER) AS decile, round(qs[i + 1], 5) AS q FROM q, range(11) r(i)""",
         "drift_width_reference": f"""WITH {GOLD_SPLIT}, {_width_reference(GOLD_NUMBERS)}
-SELECT pos, p.feature, bin, {sig('b.lo')} AS lo, {sig('b.hi')} AS hi, cnt, {sig('CAST(cnt AS DOUBLE) / n')} AS share, {sig('missing_rate')} AS missing_rate,
- {sig('mean')} AS mean, {sig('std')} AS std, {sig('mn')} AS min, {sig('mx')} AS max, n_rows FROM bins b JOIN prof p USING (feature) JOIN pos USING (feature)""",
+SELECT pos, p.feature, bin, b.lo AS lo, b.hi AS hi, cnt, CAST(cnt AS DOUBLE) / n AS share, missing_rate,
+ {sig('mean')} AS mean, {sig('std')} AS std, mn AS min, mx AS max, n_rows FROM bins b JOIN prof p USING (feature) JOIN pos USING (feature)""",
         "drift_width_report": f"WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)} SELECT * FROM report",
         "drift_width_events": f"WITH {EVENT_SPLIT}, {_width_report(('value',))} SELECT * EXCLUDE (pos) FROM report",
         "drift_category_topk": f"""WITH {EVENT_SPLIT}, rk AS ({_keys('ref', event_keys, '__MISSING__')}),
 rc AS (SELECT feature, key, COUNT(*) AS cnt, row_number() OVER (PARTITION BY feature ORDER BY COUNT(*) DESC, key) AS nr FROM rk GROUP BY 1, 2)
-SELECT feature, key, cnt, {sig('CAST(cnt AS DOUBLE) / (SELECT COUNT(*) FROM ref)')} AS share FROM rc WHERE nr <= 30""",
+SELECT feature, key, cnt, CAST(cnt AS DOUBLE) / (SELECT COUNT(*) FROM ref) AS share FROM rc WHERE nr <= 30""",
         "drift_category_delta": f"""WITH {EVENT_SPLIT}, rk AS ({_keys('ref', event_keys, '__MISSING__')}), ck AS ({_keys('cur', event_keys, '__MISSING__')}),
 rc AS (SELECT feature, key, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ref) AS share,
  row_number() OVER (PARTITION BY feature ORDER BY COUNT(*) DESC, key) AS nr FROM rk GROUP BY 1, 2),
@@ -310,7 +313,7 @@ SELECT feature, rc.key AS value, round(CAST(COALESCE(cnt, 0) AS DOUBLE) / (SELEC
  CAST(0 AS DOUBLE) AS missing_rate, (SELECT COUNT(*) FROM cur) AS n_batch_rows
 FROM rc LEFT JOIN cc USING (feature, key) WHERE nr <= 30""",
         "drift_quantile_reference": f"""WITH {GOLD_SPLIT}, {_positions(GOLD_NUMBERS)}, {_quantile_bins(GOLD_NUMBERS)}
-SELECT pos, feature, bin, {sig('lo')} AS lo, {sig('hi')} AS hi, {sig('prop')} AS ref_prop, (SELECT COUNT(*) FROM ref) AS n_ref FROM qbins JOIN pos USING (feature)""",
+SELECT pos, feature, bin, lo, hi, prop AS ref_prop, (SELECT COUNT(*) FROM ref) AS n_ref FROM qbins JOIN pos USING (feature)""",
         "drift_quantile_psi": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi",
         "drift_top_features": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM (SELECT * FROM psi ORDER BY psi DESC, pos LIMIT 10)",
         "drift_quantile_summary": f"""{GOLD_PSI} SELECT COALESCE(MAX(psi) >= 0.2, false) AS drift_detected, CAST(0.2 AS DOUBLE) AS drift_threshold,

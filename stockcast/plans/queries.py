@@ -38,8 +38,10 @@ WEEKLY = None  # no size check: the panel is grouped by series and week, so a se
 def sig(col: Column, digits: int = 9) -> Column:
     """Round to significant digits, so that sums in another order compare equal."""
     x = col.cast("double")
-    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / scale, digits) * scale)
+    e = F.floor(F.log10(F.abs(x)))
+    scale = F.pow(F.lit(10.0), F.abs(e))
+    small = F.round(x * scale, digits) / scale
+    return F.when(x == 0, F.lit(0.0)).when(e < 0, small).otherwise(F.round(x / scale, digits) * scale)
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -64,10 +66,15 @@ def _exact_history(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 2) for c in df.columns if c.startswith("roll_std_")})
 
 
+def _exact_macro(df: DataFrame) -> DataFrame:
+    """Medians of cents have at most three decimals."""
+    return df.withColumns({c: F.round(c, 3) for c in ("MarkDown1", "MarkDown2", "CPI", "Unemployment")})
+
+
 def _dataset(spark: SparkSession, folder: str) -> DataFrame:
-    return _exact_history(jobs.build_dataset(
+    return _exact_macro(_exact_history(jobs.build_dataset(
         sales_panel(spark, folder, money=EXACT), store_features(spark, folder), store_dimension(spark, folder),
-        max_series_rows=WEEKLY))
+        max_series_rows=WEEKLY)))
 
 
 def _gold(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +133,7 @@ def q_event_history(spark, folder):
 
 def q_impute_macro(spark, folder):
     panel = write_stage(enrich_panel(*panel_tables(spark, folder)), "panel")
-    return fit_medians(panel).apply(panel)
+    return _exact_macro(fit_medians(panel).apply(panel))
 
 
 def q_build_dataset(spark, folder):
@@ -165,12 +172,12 @@ def q_seasonal_naive(spark, folder):
 
 
 def q_eval_baseline(spark, folder):
-    return rounded(scoring.forecast_metrics(_exact_pair(_naive(spark, folder)[2]), pred_col="pred"), "mae", "rmse", "mape", "cost_total")
+    return rounded(scoring.forecast_metrics(_exact_pair(_naive(spark, folder)[2]), pred_col="pred"), "mape")
 
 
 def q_segment_report(spark, folder):
     report = scoring.forecast_metrics(_exact_pair(_naive(spark, folder)[2]), pred_col="pred", by=KEYS)
-    return rounded(report, "mae", "rmse", "mape", "cost_total")
+    return rounded(report, "mape")
 
 
 def q_segment_series(spark, folder):
@@ -178,7 +185,7 @@ def q_segment_series(spark, folder):
 
 
 def q_cost_scenarios(spark, folder):
-    return rounded(scoring.cost_scenarios(_exact_pair(_naive(spark, folder)[2]), SCENARIOS, pred_col="pred"), "cost_total")
+    return scoring.cost_scenarios(_exact_pair(_naive(spark, folder)[2]), SCENARIOS, pred_col="pred")
 
 
 def q_segment_keys(spark, folder):
@@ -193,7 +200,7 @@ def q_promotion_decision(spark, folder):
         scoring.forecast_metrics(_exact_pair(df), pred_col="pred", by=["Store"]).withColumn("candidate", F.lit(name))
         for name, df in (("seasonal", naive), ("median", median))
     ]
-    return rounded(scoring.promotion(rows[0].unionByName(rows[1]), "seasonal", "median", by=["Store"]), "baseline_cost", "model_cost")
+    return scoring.promotion(rows[0].unionByName(rows[1]), "seasonal", "median", by=["Store"])
 
 
 def q_supplier_brand_costs(spark, folder):
@@ -202,7 +209,7 @@ def q_supplier_brand_costs(spark, folder):
     panel = write_stage(panel.withColumn(TARGET, clip_low(F.col(TARGET), 0)), "fine-sales")
     train, valid, _ = temporal_split(panel)
     scored = _exact_pair(seasonal_naive(train, valid))
-    return rounded(scoring.forecast_metrics(scored, pred_col="pred", by=["Store"]), "mae", "rmse", "mape", "cost_total")
+    return rounded(scoring.forecast_metrics(scored, pred_col="pred", by=["Store"]), "mape")
 
 
 def q_supplier_brand_history(spark, folder):
@@ -271,7 +278,7 @@ def q_drift_width_reference(spark, folder):
     train, _ = _gold_split(spark, folder)
     ref = dw.width_reference(train, GOLD_NUMBERS, [])
     return rounded(ref.select("pos", "feature", "bin", "lo", "hi", "cnt", "share", "missing_rate", "mean", "std", "min", "max", "n_rows"),
-                   "lo", "hi", "share", "missing_rate", "mean", "std", "min", "max")
+                   "mean", "std")
 
 
 def q_drift_width_report(spark, folder):
@@ -292,7 +299,7 @@ def q_drift_width_events(spark, folder):
 
 def q_drift_category_topk(spark, folder):
     before, _ = _events_split(spark, folder)
-    return rounded(top_categories(before, ["event_type", "user_id"], dw.MISSING), "share")
+    return top_categories(before, ["event_type", "user_id"], dw.MISSING)
 
 
 def q_drift_category_delta(spark, folder):
@@ -304,13 +311,13 @@ def q_drift_category_delta(spark, folder):
 
 def q_drift_quantile_reference(spark, folder):
     train, _ = _gold_split(spark, folder)
-    ref = dq.quantile_reference(train, GOLD_NUMBERS, [])
-    return rounded(ref.select("pos", "feature", "bin", "lo", "hi", "ref_prop", "n_ref"), "lo", "hi", "ref_prop")
+    ref = dq.quantile_reference(train, GOLD_NUMBERS, [], edge_digits=12)
+    return ref.select("pos", "feature", "bin", "lo", "hi", "ref_prop", "n_ref")
 
 
 def _quantile_psi(spark, folder):
     train, valid = _gold_split(spark, folder)
-    ref = write_stage(dq.quantile_reference(train, GOLD_FEATURES[1:], GOLD_CATS), "reference")
+    ref = write_stage(dq.quantile_reference(train, GOLD_FEATURES[1:], GOLD_CATS, edge_digits=12), "reference")
     return dq.quantile_psi(valid, ref, GOLD_FEATURES[1:], GOLD_CATS)
 
 
@@ -339,7 +346,7 @@ def q_drift_quantile_lineitem(spark, folder):
     lines = table(spark, folder, "lineitem").select(*cols, "l_shipdate", "l_returnflag")
     before, after, _ = temporal_split(lines, "l_shipdate", 365)
     names = [*cols, "l_returnflag"]
-    ref = write_stage(dq.quantile_reference(before, names, ["l_returnflag"]), "reference")
+    ref = write_stage(dq.quantile_reference(before, names, ["l_returnflag"], edge_digits=12), "reference")
     return rounded(dq.quantile_psi(after, ref, names, ["l_returnflag"]), "psi")
 
 

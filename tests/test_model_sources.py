@@ -8,7 +8,7 @@ from stockcast.operators.boosting import Preprocess, fit_forecaster, fit_preproc
 from stockcast.operators.drift_quantile import quantile_reference
 from stockcast.operators.drift_width import width_reference
 from stockcast.operators.temporal import temporal_split
-from stockcast.plans.jobs import run_batch, run_training, segment_report
+from stockcast.plans.jobs import batch_job, run_batch, run_training, segment_report, training_job
 from stockcast.session import shared_dir, write_stage
 from stockcast.sources import artifacts
 from stockcast.sources.files import SCHEMAS, read_csv, read_parquet, read_raw, write_parquet
@@ -102,6 +102,26 @@ def test_early_stopping_doubles_until_patience(spark, dataset):
     assert 1 <= model.getNumTrees <= 6
 
 
+def test_jobs_from_raw_files(spark, tmp_path):
+    start, raw, out = date(2010, 2, 5), tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    weeks = [(start + timedelta(weeks=w)).isoformat() for w in range(60)]
+    (raw / "stores.csv").write_text("Store,Type,Size\n1,A,10\n2,B,20\n")
+    header = "Store,Date,Temperature,Fuel_Price,MarkDown1,MarkDown2,MarkDown3,MarkDown4,MarkDown5,CPI,Unemployment,IsHoliday\n"
+    (raw / "features.csv").write_text(header + "".join(
+        f"{s},{d},{40 + i % 9},2.5,NA,NA,{i},NA,1,{200 + i},7,{'TRUE' if i % 13 == 0 else 'FALSE'}\n" for s in (1, 2) for i, d in enumerate(weeks)))
+    (raw / "train.csv").write_text("Store,Dept,Date,Weekly_Sales,IsHoliday\n" + "".join(
+        f"{s},{k},{d},{100 * s + 10 * k + i % 7 - (500 if i == 30 else 0)},FALSE\n" for s in (1, 2) for k in (1, 2) for i, d in enumerate(weeks)))
+    decision = training_job(spark, str(raw), out, num_boost_round=4, early_stopping_rounds=None, max_depth=3, min_rows_per_leaf=2).first()
+    assert decision["promote"] == (decision["model_cost"] < decision["baseline_cost"])
+    dataset = read_parquet(spark, f"{out}/dataset")
+    assert dataset.count() == 4 * 48 and dataset.agg(F.min("Weekly_Sales")).first()[0] == 0.0
+    assert dataset.agg(F.min("lag_1")).first()[0] < 0 and dataset.where("MarkDown1 IS NOT NULL").count() == 0
+    assert dataset.columns[:5] == ["Store", "Dept", "Date", "Weekly_Sales", "Temperature"]
+    report = batch_job(spark, out)
+    assert read_parquet(spark, f"{out}/batch_predictions").count() == 16 and report.where("psi IS NOT NULL").count() > 10
+
+
 # files
 
 def test_csv_missing_spellings_and_carriage_returns(spark, tmp_path):
