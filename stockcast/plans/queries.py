@@ -214,8 +214,8 @@ def q_supplier_brand_costs(spark, folder):
 
 def q_supplier_brand_history(spark, folder):
     """History features summed up per supplier over the finest panel."""
-    panel = write_stage(sales_panel(spark, folder, store="l_suppkey", dept="p_brand", money=EXACT), "fine-history")
-    known = add_history(panel)
+    panel = sales_panel(spark, folder, store="l_suppkey", dept="p_brand", money=EXACT)
+    known = add_history(panel, max_series_rows=WEEKLY)
     return known.groupBy("Store").agg(
         F.count("lag_4").alias("n_lag_4"), F.count("roll_mean_12").alias("n_roll_12"),
         F.sum("lag_1").cast("double").alias("sum_lag_1"),
