@@ -10,7 +10,7 @@ from stockcast.defaults import DATE, KEYS, PREDICTION, TARGET
 from stockcast.functions.dates import parse_date
 from stockcast.functions.values import clip_low
 from stockcast.operators import drift_quantile as dq, drift_width as dw
-from stockcast.operators.boosting import fit_forecaster, score
+from stockcast.operators.boosting import fit_forecaster, fit_preprocess, score
 from stockcast.operators.calendar import add_calendar, date_parts
 from stockcast.operators.distributions import column_profile, top_categories
 from stockcast.operators.encode import apply_dictionary, category_dictionary, model_matrix
@@ -246,10 +246,10 @@ def q_category_apply(spark, folder):
 
 def q_feature_matrix(spark, folder):
     gold = _gold(spark, folder).withColumn("Size", F.col("Size").cast("string"))
-    depts = [r["Dept"] for r in gold.select("Dept").distinct().limit(1000).collect()]
+    depts = fit_preprocess(gold.select("Dept"), gold.select("Dept")).cat_mapping["Dept"]
     names = ["Size", "MarkDown1", "MarkDown5", "Type", "Dept", "lag_1", "roll_mean_4", "Date_year", "Date_dayofyear", "Date_ts"]
     keep = ["Store", "Date_week"]
-    return model_matrix(date_parts(gold.drop(TARGET)), names, {"Type": ["ASIA", "EUROPE", "missing"], "Dept": sorted([*depts, "missing"])}, keep=keep)
+    return model_matrix(date_parts(gold.drop(TARGET)), names, {"Type": ["ASIA", "EUROPE", "missing"], "Dept": depts}, keep=keep)
 
 
 # distributions and drift
