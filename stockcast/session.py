@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []  # folders of this driver's stages
+
 
 def build_session(app: str = "stockcast", master: str | None = None, **conf: object) -> SparkSession:
     """Session with UTC dates, ANSI casts and adaptive execution (skew joins included).
@@ -27,10 +32,20 @@ def build_session(app: str = "stockcast", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and executors are one process, so a temporary folder is seen by all of them."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only when none is configured (tests)."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Only a local master may go without one (tests): it then gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="stockcast-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -41,7 +56,28 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
 
     Used where several jobs read one result. Unlike a checkpointed RDD the table keeps
     column pruning, filter pushdown and a size Spark can plan with, and it outlives executors.
+    ``remove_stages`` deletes what this session has written.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_stages(spark: SparkSession, since: int = 0) -> None:
+    """Delete the stages written after the first ``since`` ones; call it once their results are saved."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written[since:]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    del _written[since:]
+
+
+@contextmanager
+def own_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at the end; results must be saved or collected before."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        remove_stages(spark, since)
