@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_ROWS = 50_000  # rows a bucket aims at
+BUCKET_ROWS = 4_096  # rows a bucket aims at
 
 
 def bucket_bits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.llm import mixing, sharding
+from stockcast.llm import mixing, packing, quality, sharding, simhash, tokens
 from stockcast.sources.panel import table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Eight shards of ``documents`` by proportional stratified interleaving (law: row counts)."""
     dealt = sharding.shard_documents(table(spark, folder, "documents"))
@@ -18,6 +25,29 @@ def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all ``documents`` under the piece model."""
+    return tokens.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op6_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of all ``documents`` and the verdict of the robust distance per language and source."""
+    return quality.score(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
+def op8_binary_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """All ``documents`` cut into pieces of binary lengths, each a sequence of its own."""
+    packed = packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op9_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash of all ``documents`` and the near-duplicate group each belongs to."""
+    groups = simhash.near_duplicates(table(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mixture of ``documents`` takes from each document, by pivotal rounding."""
     copies = mixing.copies_per_document(mixing.sized_rows(table(spark, folder, "documents")))
@@ -25,7 +55,10 @@ def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = (op4_interleaved_shards, op10_pivotal_mixture)
+QUERIES = (
+    op2_two_tier_token_counts, op4_interleaved_shards, op6_mcd_outliers, op8_binary_pieces, op9_simhash_groups,
+    op10_pivotal_mixture,
+)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
