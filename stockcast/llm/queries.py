@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.llm import mixing, packing, quality, sharding, simhash, tokens
+from stockcast.llm import ann, mixing, packing, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
+from stockcast.session import shared_dir
 from stockcast.sources.panel import table
 
 
@@ -17,6 +19,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_boosted_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all ``documents``, learned from ``labels`` outside the held-out fold."""
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Eight shards of ``documents`` by proportional stratified interleaving (law: row counts)."""
     dealt = sharding.shard_documents(table(spark, folder, "documents"))
@@ -25,17 +32,36 @@ def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op1_warc_capture_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Archive all ``pages``, index the captures and read every record back through the index."""
+    pages = table(spark, folder, "pages")
+    place = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    index = warc.build_index(warc.write_archives(pages, place), place)
+    return warc.read_back(index, pages)
+
+
 def op2_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all ``documents`` under the piece model."""
     return tokens.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_multiprobe_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all ``embeddings``."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op6_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts of all ``documents`` and the verdict of the robust distance per language and source."""
     return quality.score(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op7_induced_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of all ``documents`` once strings of 50 bytes seen in earlier documents are cut out."""
+    return suffix_dedup.removal_report(table(spark, folder, "documents"))
+
+
 def op8_binary_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """All ``documents`` cut into pieces of binary lengths, each a sequence of its own."""
     packed = packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
@@ -56,7 +82,8 @@ def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = (
-    op2_two_tier_token_counts, op4_interleaved_shards, op6_mcd_outliers, op8_binary_pieces, op9_simhash_groups,
+    op1_warc_capture_index, op2_two_tier_token_counts, op3_boosted_toxicity, op4_interleaved_shards,
+    op5_multiprobe_neighbours, op6_mcd_outliers, op7_induced_suffix_dedup, op8_binary_pieces, op9_simhash_groups,
     op10_pivotal_mixture,
 )
 
