@@ -7,6 +7,7 @@ Sequences of one length are numbered together in a seeded shuffle, ready to be b
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,12 +23,13 @@ from stockcast.session import write_stage
 MAX_LENGTH = 2048
 END_ID = 1
 SEED = 42
-CACHE_SIZE = 300_000   # units a worker keeps before it starts anew
+CACHE_SIZE = 400_000   # units a worker keeps, and as many that it has not used of late
+JOINED = 500           # new units that are encoded as one text
 CACHED_CHARS = 64      # longer units are encoded each time
 TEXTS_AT_ONCE = 256
 #: White space as the byte-level tokenizer's own pattern sees it: fixed values.
-WHITE = "\t-\r \x85\xa0  -     　"
-RARE = re.compile("[\t\x0b-\r\x85\xa0  -     　]")
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+RARE = re.compile("[" + WHITE.replace(" ", "").replace("\n", "") + "]")
 UNITS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
@@ -39,9 +41,13 @@ class UnitCache:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ids, self.started = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.ids, self.old, self.started = Tokenizer.from_file(path), {}, {}, {}
+        ids = range(self.tokenizer.get_vocab_size())
+        # a token that begins with a space or a line break begins a unit
+        self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in "ĠĊ" for i in ids])
 
     def units(self, text: str) -> list[str]:
         """Keys of all units; the first is the beginning as it stands (empty if the text begins with white space)."""
@@ -49,26 +55,37 @@ class UnitCache:
                 pair in text for pair in ("  ", "\n ", " \n", "\n\n")) and not RARE.search(text):
             return text.replace("\n", " \n").split(" ")
         units = UNITS.findall(text)
-        keys = [u[1:] if u[0] == " " and len(u) > 1 and u[1:] == u.lstrip() else u for u in units]
-        return [units[0], *keys[1:]] if units[0] == units[0].lstrip() else ["", *keys]
+        keys = [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in WHITE else u for u in units]
+        return ["", *keys] if units[0][0] in WHITE else [units[0], *keys[1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as little-endian unsigned 32-bit numbers."""
         keys = [self.units(t) if t else [""] for t in texts]
-        known = self.ids
-        if len(known) > CACHE_SIZE:
-            known.clear()
+        if len(self.ids) > CACHE_SIZE:
+            self.old, self.ids = self.ids, {}
         if len(self.started) > CACHE_SIZE // 4:
             self.started.clear()
+        known, old = self.ids, self.old
         new = set(chain.from_iterable(k[1:] for k in keys)).difference(known)
+        known.update({k: old[k] for k in new.intersection(old)})
+        new.difference_update(known)
         first = {k[0] for k in keys}.difference(self.started, ("",))
-        self._add(known, [(k, k if UNITS.match(k)[0][0] in " \n" or k != k.lstrip() else " " + k) for k in new])
+        plain, odd = [], []
+        for k in new:
+            if k[0] not in WHITE:
+                plain.append((k, " " + k))
+            elif k[0] == "\n" and len(k) > 1 and k[1] not in WHITE:
+                plain.append((k, k))
+            else:
+                odd.append((k, k))
+        self._add_joined(known, plain)
+        self._add(known, odd)
         self._add(self.started, [(k, k) for k in first])
         self.started[""] = b""
         out = [self.started[k[0]] + b"".join(map(known.__getitem__, k[1:])) for k in keys]
-        for long in (k for k in new if len(k) > CACHED_CHARS):
+        for long in [k for k in new if len(k) > CACHED_CHARS]:
             del known[long]
-        for long in (k for k in first if len(k) > CACHED_CHARS):
+        for long in [k for k in first if len(k) > CACHED_CHARS]:
             del self.started[long]
         return out
 
@@ -76,6 +93,18 @@ class UnitCache:
         found = self.tokenizer.encode_batch_fast([text for _, text in items], add_special_tokens=False) if items else []
         known.update((key, np.array(e.ids, dtype="<u4").tobytes()) for (key, _), e in zip(items, found))
 
+    def _add_joined(self, known: dict[str, bytes], items: list[tuple[str, str]]) -> None:
+        """Units of one white-space character and a word; joined, they are a text whose units they are."""
+        parts = [items[low:low + JOINED] for low in range(0, len(items), JOINED)]
+        texts = ["".join(t for _, t in part) for part in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
+            ids = np.array(found.ids, dtype="<u4")
+            borders = (4 * np.append(np.flatnonzero(self.begins[ids]), len(ids))).tolist()
+            raw = ids.tobytes()
+            if len(borders) != len(part) + 1:
+                raise ValueError("the tokenizer does not begin a token at white space")
+            known.update((key, raw[a:b]) for (key, _), a, b in zip(part, borders, borders[1:]))
+
 
 _caches: dict[str, UnitCache] = {}  # one per worker and tokenizer; outlives a task
 
