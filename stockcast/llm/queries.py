@@ -37,7 +37,7 @@ def op1_warc_capture_index(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     place = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     index = warc.build_index(warc.write_archives(pages, place), place)
-    return warc.read_back(index, pages)
+    return warc.read_back(index, pages).drop("url_key")
 
 
 def op2_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,9 +88,33 @@ QUERIES = (
 )
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline over all ``documents``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+OP1_SQL = """
+WITH p AS (
+    SELECT page_id, COALESCE(html, '') AS body, sha1(COALESCE(html, '')) AS h,
+           MAX(page_id) OVER (PARTITION BY COALESCE(html, '')) AS response
+    FROM pages)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+       array_to_string([
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)
+           FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM p
+"""
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in (*QUERIES, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the result; the others are tested against brute force in tests/llm."""
+    return {"op1_warc_capture_index": OP1_SQL}
