@@ -64,13 +64,23 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_stages(spark: SparkSession, since: int = 0) -> None:
-    """Delete the stages written after the first ``since`` ones; call it once their results are saved."""
+def note_stage(path: str) -> None:
+    """Let ``remove_stages`` delete a folder that was written in another way."""
+    _written.append(path)
+
+
+def stage_count() -> int:
+    """Number of stages that this driver has written and not removed."""
+    return len(_written)
+
+
+def remove_stages(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete the stages numbered ``since`` to ``until``; call it once their results are saved."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written[since:]:
+    for path in _written[since:until]:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
-    del _written[since:]
+    del _written[since:until]
 
 
 @contextmanager

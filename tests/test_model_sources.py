@@ -4,7 +4,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stockcast.operators.boosting import Preprocess, fit_forecaster, fit_preprocess, score, stop_round
+from stockcast.operators.boosting import Preprocess, fit_forecaster, score, stop_round
 from stockcast.operators.drift_quantile import quantile_reference
 from stockcast.operators.drift_width import width_reference
 from stockcast.operators.temporal import temporal_split
@@ -74,10 +74,25 @@ def test_preprocess_save_keeps_order_and_absent_path_raises(spark, tmp_path):
         artifacts.load_preprocess(spark, str(tmp_path / "none"))
 
 
-def test_too_many_labels_is_an_error(spark, dataset):
+def test_any_number_of_labels(spark):
+    rows = spark.range(40_000).select(
+        F.format_string("c%05d", F.col("id") % 20_000).alias("c"), ((F.col("id") % 20_000) / 100.0).alias("Weekly_Sales"), F.col("id").alias("i"))
+    train, valid = rows.where("i < 30000"), rows.where("i >= 30000").withColumn("c", F.when(F.col("i") % 10 > 0, F.col("c")).otherwise("unseen"))
+    forecaster = fit_forecaster(train, valid, num_boost_round=8, early_stopping_rounds=None, max_depth=4, step_size=0.5, min_rows_per_leaf=5)
+    assert len(forecaster.preprocess.cat_mapping["c"]) == 20_002
+    known = score(forecaster, valid).where("c <> 'unseen'")
+    assert known.agg(F.corr("Weekly_Sales", "y_pred")).first()[0] > 0.9
+
+
+def test_early_stopping_keeps_the_first_trees(spark, dataset):
     train, valid, _ = temporal_split(dataset)
-    with pytest.raises(ValueError, match="labels"):
-        fit_preprocess(train, valid, max_labels=2)
+    options = dict(max_depth=3, step_size=0.5, early_stopping_rounds=2)
+    short = fit_forecaster(train, valid, num_boost_round=64, **options)
+    n = short.pipeline.stages[-1].getNumTrees
+    assert n < 64
+    again = fit_forecaster(train, valid, num_boost_round=n, max_depth=3, step_size=0.5, early_stopping_rounds=None)
+    a, b = (sorted(r["y_pred"] for r in score(f, valid).collect()) for f in (short, again))
+    assert a == pytest.approx(b)
 
 
 def test_reference_round_trip(spark, dataset, tmp_path):
@@ -156,3 +171,38 @@ def test_stage_is_written_to_the_shared_folder(spark):
     staged = write_stage(spark.range(3).toDF("id"), "t")
     assert staged.count() == 3
     assert shared_dir(spark).rstrip("/").split(":")[-1] in staged.inputFiles()[0]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from stockcast import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Conf:
+        @staticmethod
+        def get(name, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session)
+    assert not session.is_local(Session) and session.is_local(spark)
+
+
+def test_own_stages_are_removed(spark):
+    from stockcast.session import own_stages
+
+    with own_stages(spark):
+        staged = write_stage(spark.range(3).toDF("id"), "gone")
+        place = staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        import os
+
+        assert os.path.isdir(place)
+    assert not os.path.exists(place)
