@@ -26,6 +26,10 @@ def number(df: DataFrame, col: str) -> str:
     return f"IF(isnan({value}) OR abs({value}) = double('infinity'), NULL, {value})"
 
 
+def double(value: float) -> str:
+    return f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
 def struct(**fields: str) -> str:
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 

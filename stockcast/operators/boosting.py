@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.defaults import PREDICTION, TARGET
@@ -35,25 +36,25 @@ class Forecaster:
 
 
 def fit_preprocess(
-    train: DataFrame, valid: DataFrame, target_col: str = TARGET, model_name: str = "forecaster", max_labels: int = 10_000
+    train: DataFrame, valid: DataFrame, target_col: str = TARGET, model_name: str = "forecaster"
 ) -> Preprocess:
-    """Feature order from the training columns, label lists from both sides.
-
-    Trees split on label sets, so a column with more than ``max_labels`` labels is an error.
-    """
+    """Feature order from the training columns, label lists (of any length) from both sides."""
     left, right = align_pair(date_parts(train.drop(target_col)), date_parts(valid.drop(target_col)))
     cats = category_columns(left, right)
     mapping: dict[str, list[str]] = {c: [] for c in cats}
     if cats:
-        limit = max_labels * len(cats)
-        rows = category_dictionary([left, right], cats).limit(limit + 1).collect()
-        for r in sorted(rows, key=lambda r: (r["feature"], r["code"])):
+        for r in sorted(category_dictionary([left, right], cats).collect(), key=lambda r: (r["feature"], r["code"])):
             mapping[r["feature"]].append(r["value"])
-        if len(rows) > limit or any(len(v) > max_labels for v in mapping.values()):
-            raise ValueError(f"a categorical column has more than {max_labels} labels")
     return Preprocess(model_name, left.columns, cats, mapping)
 
 
+def _by_target(rows: DataFrame, col: str, labels: Sequence[str]) -> list[str]:
+    """Labels in the order of their mean target in the training rows; labels without rows come in the middle."""
+    means = {r[0]: r[1] for r in rows.groupBy(col).agg(F.avg("__y")).collect()}
+    middle = sum(means.values()) / max(1, len(means))
+    return sorted(labels, key=lambda x: (means.get(x, middle), x))
+
+
 def stop_round(errors: Mapping[str, Sequence[float]], patience: int) -> tuple[int, bool]:
     """Best number of rounds, and whether patience ran out.
 
@@ -89,8 +90,8 @@ def fit_forecaster(
     """Squared-error boosting; depth 6 stands for 64 leaves.
 
     Early stopping watches squared and absolute error on ``valid``. Rounds are doubled until
-    patience runs out or ``num_boost_round`` is reached, then the model is refitted at the best
-    round; seeds depend on the round only, so the kept trees are those of the longer run.
+    patience runs out or ``num_boost_round`` is reached; seeds depend on the round only, so a longer run
+    begins with the same trees. The model keeps the trees up to the best round, without another fit.
     """
     shared_dir(train.sparkSession)  # tree fitting checkpoints its row-to-node lineage there
     prep = fit_preprocess(train, valid, target_col, model_name)
@@ -99,11 +100,16 @@ def fit_forecaster(
         inputs = date_parts(df.withColumn("__y", F.col(target_col).cast("double")).drop(target_col))
         return model_matrix(inputs, prep.feature_names, prep.cat_mapping, keep=["__y"]).where(F.col("__y").isNotNull())
 
-    coded = {c: f"__code_{c}" for c in prep.cat_cols}
-    stages = [
-        StringIndexerModel.from_labels(prep.cat_mapping[c], inputCol=c, outputCol=coded[c], handleInvalid="error")
-        for c in prep.cat_cols
-    ]
+    coded = {c: f"__code_{i}" for i, c in enumerate(prep.cat_cols)}
+    stages = []
+    for c, code in coded.items():
+        labels = prep.cat_mapping[c]
+        if len(labels) > max_bins:
+            # too many labels for splits on label sets: numbered by their mean target, split like a number
+            stages.append(StringIndexerModel.from_labels(_by_target(matrix(train), c, labels), inputCol=c, outputCol=f"{code}_n"))
+            stages.append(SQLTransformer(statement=f"SELECT *, `{code}_n` + 0.0D AS `{code}` FROM __THIS__"))
+        else:
+            stages.append(StringIndexerModel.from_labels(labels, inputCol=c, outputCol=code, handleInvalid="error"))
     stages.append(VectorAssembler(inputCols=[coded.get(c, c) for c in prep.feature_names], outputCol="__features"))
     assemble = Pipeline(stages=stages).fit(matrix(train))
     rows, held_out = assemble.transform(matrix(train)), assemble.transform(matrix(valid))
@@ -111,7 +117,7 @@ def fit_forecaster(
         featuresCol="__features", labelCol="__y", predictionCol=RAW, lossType="squared", stepSize=step_size,
         maxDepth=max_depth, minInstancesPerNode=min_rows_per_leaf, featureSubsetStrategy=str(feature_share),
         subsamplingRate=row_share, seed=seed, checkpointInterval=10,
-        maxBins=max([max_bins, *map(len, prep.cat_mapping.values())]),
+        maxBins=max_bins,
     )
     if early_stopping_rounds is None:
         return Forecaster(prep, PipelineModel([*assemble.stages, booster.setMaxIter(num_boost_round).fit(rows)]))
@@ -123,9 +129,22 @@ def fit_forecaster(
         if stopped or rounds >= num_boost_round:
             break
         rounds = min(2 * rounds, num_boost_round)
-    if best < rounds:
-        model = booster.setMaxIter(best).fit(rows)
-    return Forecaster(prep, PipelineModel([*assemble.stages, model]))
+    return Forecaster(prep, PipelineModel([*assemble.stages, _first_trees(model, best)]))
+
+
+def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The fitted ensemble cut to its first ``n`` trees."""
+    java = model._java_obj
+    trees, weights = java.trees(), java.treeWeights()
+    if n >= len(trees):
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    shares = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        kept[i], shares[i] = trees[i], weights[i]
+    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), kept, shares, java.numFeatures())
+    return GBTRegressionModel(java.copyValues(cut, java.extractParamMap()))
 
 
 def score(forecaster: Forecaster, df: DataFrame, target_col: str = TARGET, out_col: str = PREDICTION) -> DataFrame:

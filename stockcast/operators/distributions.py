@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from stockcast.defaults import TOP_K
 from stockcast.functions import sqltext as sql
@@ -34,22 +34,35 @@ def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"inline({sql.array(f'__{i}' for i in range(len(cols)))})")
 
 
-def bin_counts(df: DataFrame, edges: DataFrame, cols: Sequence[str], n_cuts: int, right_closed: bool) -> DataFrame:
+def bin_counts(df: DataFrame, edges: Iterable[Row], cols: Sequence[str], right_closed: bool) -> DataFrame:
     """Rows per (feature, bin); bin is NULL outside the optional bounds, NULL values are left out.
 
-    A value's bin is the number of inner cuts below it (right-closed) or at or below it.
-    ``edges`` has one row per column (feature, cuts, lo, hi; NULL bounds are open), so it is
-    broadcast; counts are combined on the map side before the only shuffle.
+    A value's bin is the number of inner cuts below it (right-closed) or at or below it. ``edges`` has
+    one row per column (feature, cuts, lo, hi; NULL bounds are open), each with cuts of its own number;
+    they become literals, so a row turns into small numbers only, which are counted on the map side.
+    The counts, at most one row per column and bin, are evaluated once.
     """
-    pairs = sql.array(sql.struct(feature=sql.text(c), v=sql.number(df, c)) for c in cols)
-    passed = ">" if right_closed else ">="
-    bins = " + ".join(f"IF(v {passed} get(cuts, {i}), 1, 0)" for i in range(n_cuts)) or "0"
-    return (
-        df.selectExpr(f"inline({pairs})").where("v IS NOT NULL")
-        .join(F.broadcast(edges.select("feature", "cuts", "lo", "hi")), "feature")
-        .selectExpr("feature", f"IF(v < lo OR v > hi, NULL, {bins}) AS bin")
-        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    passed, numbers, codes, names = (">" if right_closed else ">="), [], [], []
+    known = {r["feature"]: r for r in edges}
+    for c in cols:
+        if c not in known:
+            continue
+        x, r = f"x{len(names)}", known[c]
+        numbers.append(f"{sql.number(df, c)} AS {x}")
+        steps = " + ".join(f"IF({x} {passed} {sql.double(v)}, 1, 0)" for v in r["cuts"]) or "0"
+        outside = [f"{x} < {sql.double(r['lo'])}"] if r["lo"] is not None else []
+        outside += [f"{x} > {sql.double(r['hi'])}"] if r["hi"] is not None else []
+        inside = f"IF({' OR '.join(outside)}, -1, {steps})" if outside else steps
+        codes.append(sql.struct(f=str(len(names)), bin=f"IF({x} IS NULL, NULL, {inside})"))
+        names.append(c)
+    schema = "feature string, bin int, cnt bigint"
+    if not codes:
+        return df.sparkSession.createDataFrame([], schema)
+    counted = (
+        df.selectExpr(*numbers).selectExpr(f"inline({sql.array(codes)})").where("bin IS NOT NULL")
+        .groupBy("f", "bin").agg(F.count(F.lit(1)).alias("cnt")))
+    rows = [(names[r["f"]], None if r["bin"] < 0 else r["bin"], r["cnt"]) for r in counted.collect()]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
 def category_counts(df: DataFrame, cols: Sequence[str], missing: str) -> DataFrame:

@@ -14,9 +14,6 @@ from stockcast.operators.hot_groups import pinned
 from stockcast.operators.quantiles import exact_quantiles
 
 OTHER = "__other__"
-REFERENCE_SCHEMA = (
-    "pos int, feature string, kind string, bin int, lo double, hi double, key string, ref_prop double, n_ref bigint"
-)
 
 
 def quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS, edge_digits: int | None = None) -> DataFrame:
@@ -62,7 +59,7 @@ def quantile_reference(
     parts = []
     if nums:
         edges = quantile_edges(df, nums, n_bins, edge_digits)
-        shares = _shares(bin_counts(df, edges, nums, n_bins, right_closed=False), "share")
+        shares = _shares(bin_counts(df, edges.collect(), nums, right_closed=False), "share")
         bins = edges.select("feature", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("bin"))
         parts.append(bins.join(shares, ["feature", "bin"], "left").select(
             "feature", "bin",
@@ -90,11 +87,11 @@ def reference_edges(reference: DataFrame) -> DataFrame:
 
 
 def quantile_psi(
-    df: DataFrame, reference: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str], n_bins: int = N_BINS
+    df: DataFrame, reference: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str]
 ) -> DataFrame:
     """PSI of current rows against a reference: (pos, feature, kind, psi).
 
-    Numeric features without a reference are left out; categorical ones get 0.
+    The reference says how many bins a feature has. Numeric features without a reference are left out; categorical ones get 0.
     """
     absent = [c for c in feature_names if c not in df.columns]
     if absent:
@@ -103,7 +100,7 @@ def quantile_psi(
     cats = [c for c in feature_names if c in cat_cols]
     terms = []
     if nums:
-        shares = _shares(bin_counts(df, reference_edges(reference), nums, n_bins, right_closed=False), "cur_prop")
+        shares = _shares(bin_counts(df, reference_edges(reference).collect(), nums, right_closed=False), "cur_prop")
         terms.append(reference.where(F.col("kind") == "numeric").join(shares, ["feature", "bin"], "left")
                      .select("feature", "ref_prop", "cur_prop"))
     if cats:

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stockcast.defaults import N_BINS, TOP_K
 from stockcast.functions import sqltext as sql
 from stockcast.functions.scores import psi_term
+from stockcast.functions.values import type_of
 from stockcast.operators.distributions import bin_counts, category_counts, column_profile, top_categories
+from stockcast.operators.hot_groups import pinned
 
 MISSING = "__MISSING__"
 ZERO_SHARE = 1e-8
-REFERENCE_SCHEMA = (
-    "pos int, feature string, kind string, bin int, lo double, hi double, key string, cnt bigint, share double, "
-    "missing_rate double, mean double, std double, min double, max double, n_rows bigint"
-)
 
 
 def width_edges(profile: DataFrame, n_bins: int = N_BINS) -> DataFrame:
@@ -48,9 +46,15 @@ def _with_features(df: DataFrame, feature_names: Sequence[str], cat_cols: Sequen
     return df.select(*[F.col(c) if c in df.columns else absent(c) for c in feature_names])
 
 
+def _absent(df: DataFrame, c: str) -> str:
+    """SQL: the value is NULL or NaN, as in the column profile."""
+    floating = isinstance(type_of(df, c), (T.FloatType, T.DoubleType))
+    return f"{sql.name(c)} IS NULL" + f" OR isnan({sql.name(c)})" * floating
+
+
 def _missing_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rates = [
-        sql.struct(feature=sql.text(c), missing_rate=f"avg(IF({sql.name(c)} IS NULL, 1.0D, 0.0D))", n_rows="count(1)") for c in cols]
+        sql.struct(feature=sql.text(c), missing_rate=f"avg(IF({_absent(df, c)}, 1.0D, 0.0D))", n_rows="count(1)") for c in cols]
     return df.agg(*[F.expr(r).alias(f"__{i}") for i, r in enumerate(rates)]).selectExpr(
         f"inline({sql.array(f'__{i}' for i in range(len(cols)))})")
 
@@ -65,8 +69,8 @@ def width_reference(
     position = f"array_position({sql.array(map(sql.text, feature_names))}, feature) - 1"
     parts = []
     if nums:
-        edges = width_edges(column_profile(df, nums), n_bins)
-        counts = bin_counts(df, edges, nums, n_bins - 1, right_closed=True)
+        edges = pinned(width_edges(column_profile(df, nums), n_bins), "width-edges")[0]
+        counts = bin_counts(df, edges.collect(), nums, right_closed=True)
         bins = _bins(edges, n_bins).join(counts, ["feature", "bin"], "left")
         cnt = F.coalesce("cnt", F.lit(0))
         parts.append(bins.select(
@@ -84,16 +88,17 @@ def width_reference(
     return rows.selectExpr(f"CAST({position} AS INT) AS pos", "*")
 
 
-def numeric_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str], n_bins: int = N_BINS) -> DataFrame:
+def numeric_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
     """PSI, mean, population std and out-of-range rate of each numeric reference feature.
 
-    Batch rows outside the reference range are in no bin; if all are, PSI is NULL.
+    The reference says how many bins a feature has. Batch rows outside its range are in no bin; if
+    all are, PSI is NULL.
     """
     ref = reference.where((F.col("kind") == "numeric") & F.col("feature").isin(list(cols)))
     edges = ref.groupBy("feature").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.array_sort(F.collect_list(F.when(F.col("bin") > 0, F.col("lo")))).alias("cuts"))
-    counts = bin_counts(batch, edges, cols, n_bins - 1, right_closed=True)
+    counts = bin_counts(batch, edges.collect(), cols, right_closed=True)
     seen = counts.groupBy("feature").agg(
         F.sum("cnt").alias("n_all"), F.sum(F.when(F.col("bin").isNotNull(), F.col("cnt"))).alias("n_in"))
     cur = counts.where(F.col("bin").isNotNull()).withColumnRenamed("cnt", "cur_cnt")
@@ -120,17 +125,17 @@ def category_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str])
     ref = reference.where((F.col("kind") == "categorical") & F.col("feature").isin(list(cols)))
     rates = F.broadcast(_missing_rates(batch, cols).withColumnsRenamed({"missing_rate": "rate", "n_rows": "n"}))
     cur = category_counts(batch, cols, MISSING).withColumnRenamed("cnt", "cur_cnt")
-    listed = F.broadcast(ref.select("feature", "key", F.col("share"), "pos", "kind"))
+    listed = ref.select("feature", "key", F.col("share"), "pos", "kind")
     # only listed keys matter: the small reference filters the counts before they are joined back
     cur = cur.join(F.broadcast(ref.select("feature", "key")), ["feature", "key"], "left_semi")
-    return listed.join(cur, ["feature", "key"], "left").join(rates, "feature").select(
+    return listed.join(F.broadcast(cur), ["feature", "key"], "left").join(rates, "feature").select(
         "pos", "feature", "kind", F.col("key").alias("value"),
         F.when(F.col("n") > 0, F.coalesce("cur_cnt", F.lit(0)) / F.nullif(F.col("n"), F.lit(0)) - F.col("share")).alias("delta"),
         F.col("rate").alias("missing_rate"))
 
 
 def drift_report(
-    batch: DataFrame, reference: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str], n_bins: int = N_BINS
+    batch: DataFrame, reference: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str]
 ) -> DataFrame:
     """Long report over all reference features; columns absent from the batch count as all NULL."""
     batch = _with_features(batch, feature_names, cat_cols)
@@ -139,7 +144,7 @@ def drift_report(
     cats = [c for c in feature_names if c in cat_cols]
     parts = []
     if nums:
-        parts.append(numeric_drift(batch, reference, nums, n_bins).select(
+        parts.append(numeric_drift(batch, reference, nums).select(
             "pos", "feature", "kind", "psi", "mean_batch", "std_batch", "out_of_range_rate",
             F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("delta"),
             F.lit(None).cast("double").alias("missing_rate")))

@@ -7,19 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stockcast.defaults import TARGET
 from stockcast.functions import sqltext as sql
 from stockcast.functions.values import DATES, is_numeric, type_of
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS, is_small
+from stockcast.session import write_stage
 
 MISSING = "missing"
 
 
-def split_target(df: DataFrame, target_col: str = TARGET) -> tuple[DataFrame, DataFrame]:
-    """Inputs without the target, and the target alone."""
-    return df.drop(target_col), df.select(target_col)
-
-
 def align_pair(train: DataFrame, valid: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with the union of columns in training order; absent columns are 0."""
     names = train.columns + [c for c in valid.columns if c not in train.columns]
@@ -59,15 +54,18 @@ def category_dictionary(frames: Sequence[DataFrame], cols: Sequence[str], max_la
     spark = frames[0].sparkSession
     always = spark.createDataFrame([(c, MISSING) for c in cols], "feature string, value string")
     found = reduce(DataFrame.unionByName, [_labels(df, cols) for df in frames], always).distinct()
+    found = write_stage(found, "labels")  # read by the count and the numbering
     order = Window.partitionBy("feature").orderBy("value")
     sizes = found.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.agg(F.max("n")).first()[0]
     if most <= max_labels:
         return found.withColumn("code", F.row_number().over(order) - 1)
-    # pieces between sampled labels; the sample only balances the pieces
-    share = min(1.0, 1000.0 * max(1, most // max_labels) / most)
-    sample = found.sample(share, seed=7).limit(100_000).groupBy("feature").agg(F.array_sort(F.collect_set("value")).alias("cuts"))
-    cuts = spark.createDataFrame(sample.collect(), sample.schema)
+    # one cut per piece, taken from a sorted sample, which only balances the pieces
+    n_pieces = -(-most // max_labels)
+    sample = found.sample(min(1.0, 100.0 * n_pieces / most), seed=7).groupBy("feature").agg(
+        F.array_sort(F.collect_set("value")).alias("s"))
+    cuts = sample.select("feature", F.expr(
+        f"array_distinct(transform(sequence(1, {max(1, n_pieces - 1)}), i -> s[CAST(i * size(s) DIV {n_pieces} AS INT)]))").alias("cuts"))
     pieces = found.join(F.broadcast(cuts), "feature", "left").select(
         "feature", "value",
         F.size(F.filter(F.coalesce("cuts", F.array().cast("array<string>")), lambda c: c <= F.col("value"))).alias("piece"),

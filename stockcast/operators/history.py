@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from stockcast.defaults import DATE, KEYS, LAGS, TARGET, WINDOWS
 from stockcast.functions.dates import order_position
@@ -44,7 +44,9 @@ def add_history(
 
     Ordinary series cost one shuffle on ``keys``. A series with more than ``max_series_rows``
     rows is cut into chunks along its order, so no task sorts it whole; rows near a chunk's
-    start get their history from a second small window over the chunk edges. Sizes are counted
+    start get their history from a second small window over the chunk edges. A single date that
+    fills chunks by itself is cut along the first of ``tie_cols`` (unless that is text), or along the
+    row hash without any. Sizes are counted
     in ``sizes_from`` (default: the input), which needs ``keys`` and ``date_col`` only; pass
     ``max_series_rows=None`` when series are known to be short. A decimal target gives exact means.
     """
@@ -63,18 +65,24 @@ def add_history(
 
     cuts = None
     if max_series_rows is not None:
-        cuts = cut_points(sizes_from if sizes_from is not None else df, keys, date_col, max_series_rows)
+        counted = sizes_from if sizes_from is not None else df
+        tie_col = tie_cols[0] if tie_cols and tie_cols[0] in counted.columns else None
+        cuts = cut_points(counted, keys, date_col, max_series_rows, tie_col)
     if cuts is None:
         return rows.withColumns(exprs).select(*out_cols)
 
-    whole = rows.join(F.broadcast(cuts), keys, "left_anti").withColumns(exprs)
+    whole = rows.join(cuts, keys, "left_anti").withColumns(exprs)
     position = order_position(F.col(date_col), type_of(df, date_col))
+    inner_order = None
+    if tie_cols:
+        kind = type_of(df, tie_cols[0])
+        inner_order = F.lit(0).cast("bigint") if isinstance(kind, T.StringType) else order_position(F.col(tie_cols[0]), kind)
     chunk = ["__part", "__slice"]
     piece = Window.partitionBy(*keys, *chunk)
     in_order = piece.orderBy(*order)
     cut = (
-        rows.join(F.broadcast(cuts), keys)
-        .select(*rows.columns, *chunk_columns(position, None if tie_cols else F.col(TIE)))
+        rows.join(cuts, keys)
+        .select(*rows.columns, *chunk_columns(position, None if tie_cols else F.col(TIE), inner_order))
         .withColumn("__nr", F.row_number().over(in_order))
     )
     inner = (

@@ -16,8 +16,7 @@ from stockcast.session import write_stage
 
 MAX_GROUP_ROWS = 10_000_000  # a sorted group up to this size is one task's work
 MAX_LISTED = 100_000         # rows a driver-side list or a broadcast may hold
-MAX_CUTS = 1_000             # chunks per hot group
-CUTS, WAYS = "__cuts", "__ways"
+CUTS, WAYS, TIES = "__cuts", "__ways", "__ties"
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_LISTED) -> bool:
@@ -43,48 +42,55 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def cut_points(
-    df: DataFrame, keys: list[str], order_col: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], order_col: str, max_rows: int = MAX_GROUP_ROWS, tie_col: str | None = None
 ) -> DataFrame | None:
     """Cut points of every group with more than ``max_rows`` rows, or None without such groups.
 
-    One row per hot group: the keys, ascending order positions where chunks start, and for each
-    position that alone fills several chunks the number of chunks. There are at most
-    rows / max_rows hot groups; should even those exceed the list bound, the size that counts as
-    hot is raised, so that the remaining groups stay whole (larger, but spillable) tasks.
+    One row per hot group, however many there are: the keys, ascending order positions where chunks
+    start, for each position that alone fills several chunks the number of chunks, and for those the
+    positions of ``tie_col`` where they start. Evaluated once: a broadcast copy, or a written table
+    beyond the list bound.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    limit = MAX_LISTED // MAX_CUTS * 10
-    while True:
-        hot = sizes.where(F.col("__rows") > max_rows).limit(limit + 1).collect()
-        if len(hot) <= limit:
-            break
-        max_rows *= 4
-    if not hot:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
+    largest = sizes.agg(F.max("__rows")).first()[0]
+    if largest is None:
         return None
-    n_cuts = min(MAX_CUTS, max(math.ceil(r["__rows"] / max_rows) for r in hot))
-    shares = [i / n_cuts for i in range(1, n_cuts)]
-    spark = df.sparkSession
-    hot_keys = spark.createDataFrame(hot, sizes.schema).drop("__rows")
+    n_cuts = math.ceil(largest / max_rows)
+    shares, accuracy = [i / n_cuts for i in range(1, n_cuts)], max(10_000, 10 * n_cuts)
+    hot_keys, _ = pinned(sizes.drop("__rows"), "hot-keys")
     position = order_position(F.col(order_col), type_of(df, order_col))
+    rows = df.join(hot_keys, keys, "left_semi")
     cuts = (
-        df.join(F.broadcast(hot_keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(position, shares, 10_000).alias(CUTS))
+        rows.groupBy(*keys)
+        .agg(F.percentile_approx(position, shares, accuracy).alias(CUTS))
         .withColumn(WAYS, F.expr(
             f"map_from_entries(transform(filter(array_distinct({CUTS}), "
             f"c -> size(filter({CUTS}, d -> d = c)) > 1), "
             f"c -> struct(c, size(filter({CUTS}, d -> d = c)))))"))
         .withColumn(CUTS, F.array_distinct(CUTS))
     )
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
-
-
-def chunk_columns(position: Column, tie: Column | None) -> list[Column]:
+    if tie_col is not None and not isinstance(type_of(df, tie_col), T.StringType):
+        cuts, _ = pinned(cuts, "hot-cuts", MAX_LISTED // n_cuts)
+        tie = order_position(F.col(tie_col), type_of(df, tie_col))
+        full = rows.join(cuts, keys).withColumn("__at", position).where(F.map_contains_key(WAYS, F.col("__at")))
+        inner = full.groupBy(*keys, "__at").agg(F.array_distinct(F.percentile_approx(tie, shares, accuracy)).alias("__c"))
+        inner = inner.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__at", "__c"))).alias(TIES))
+        cuts = cuts.join(inner, keys, "left")
+    else:
+        cuts = cuts.withColumn(TIES, F.lit(None).cast("map<bigint,array<bigint>>"))
+    return pinned(cuts, "hot-cuts", max(1, MAX_LISTED // n_cuts))[0]
+
+
+def chunk_columns(position: Column, tie: Column | None, tie_position: Column | None = None) -> list[Column]:
     """Chunk of a row joined with its cut points; chunks are contiguous in (position, tie) order.
 
-    A position that fills several chunks by itself is cut further along the tie hash.
+    A position that fills several chunks by itself is cut further: along ``tie_position``, by its own
+    cut points, or along the tie hash.
     """
     part = F.size(F.filter(F.col(CUTS), lambda c: c <= position)).alias("__part")
+    if tie_position is not None:
+        inner = F.try_element_at(F.col(TIES), position)
+        return [part, F.coalesce(F.size(F.filter(inner, lambda c: c <= tie_position)), F.lit(-1)).alias("__slice")]
     if tie is None:
         return [part, F.lit(-1).alias("__slice")]
     ways = F.try_element_at(F.col(WAYS), position)

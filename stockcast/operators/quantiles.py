@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from stockcast.functions import sqltext as sql
 from stockcast.operators.hot_groups import MAX_GROUP_ROWS, MAX_LISTED, pinned
 
-CELLS = 1_000  # cells per bracket of a very large group
+CELLS = 1_000          # cells per bracket of a very large group
+SMALL_GROUP = 100_000  # values that one aggregation buffer may hold
 
 
 def exact_quantiles(
@@ -114,7 +115,14 @@ def exact_quantiles(
 
 
 def medians_wide(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], suffix: str) -> DataFrame:
-    """Exact medians as one row per group with a ``<col><suffix>`` column each."""
+    """Exact medians as one row per group with a ``<col><suffix>`` column each.
+
+    If no group is larger than ``SMALL_GROUP`` rows, one plain aggregation finds them.
+    """
+    if group_cols:
+        largest = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (largest or 0) <= SMALL_GROUP:
+            return df.groupBy(*group_cols).agg(*[F.median(F.expr(sql.number(df, c))).alias(f"{c}{suffix}") for c in cols])
     long = exact_quantiles(df, cols, [0.5], group_cols, median_rule=True)
     return long.groupBy(*group_cols).agg(*[
         F.max(F.when(F.col("feature") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in cols

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stockcast.defaults import DATE, HORIZON_DAYS
+from stockcast.functions.dates import parse_date
 from stockcast.functions.values import type_of
 
 
+def moment(df: DataFrame, date_col: str) -> Column:
+    """The date column; text is parsed as a date, what is no date is NULL."""
+    return parse_date(F.col(date_col), strict=False) if isinstance(type_of(df, date_col), T.StringType) else F.col(date_col)
+
+
 def cutoff_date(df: DataFrame, date_col: str = DATE, horizon_days: int = HORIZON_DAYS) -> Column:
-    """Last date minus the horizon, as a scalar subquery: it reaches the scan as a pushed filter."""
-    last = F.max(date_col)
-    if isinstance(type_of(df, date_col), T.DateType):
-        back = F.date_sub(last, horizon_days)
-    else:
-        back = last - F.make_dt_interval(F.lit(horizon_days))
-    return df.agg(back.alias("cutoff")).scalar()
+    """Last date minus the horizon, fetched once: a literal, so later scans push it down and prune by it."""
+    at = moment(df, date_col)
+    kind = T.DateType() if isinstance(type_of(df, date_col), T.StringType) else type_of(df, date_col)
+    last = F.max(at)
+    back = F.date_sub(last, horizon_days) if isinstance(kind, T.DateType) else last - F.make_dt_interval(F.lit(horizon_days))
+    value = df.agg(back.cast("string").alias("cutoff")).first()["cutoff"]
+    return F.lit(value).cast(kind)
 
 
 def temporal_split(
@@ -23,14 +29,14 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame, Column]:
     """Training rows up to the cutoff, validation rows after it, and the cutoff; NULL dates in neither."""
     cutoff = cutoff_date(df, date_col, horizon_days)
-    return df.where(F.col(date_col) <= cutoff), df.where(F.col(date_col) > cutoff), cutoff
+    return df.where(moment(df, date_col) <= cutoff), df.where(moment(df, date_col) > cutoff), cutoff
 
 
 def latest_batch(df: DataFrame, date_col: str = DATE, horizon_days: int = HORIZON_DAYS) -> DataFrame:
     """Rows of the last ``horizon_days`` days."""
-    return df.where(F.col(date_col) > cutoff_date(df, date_col, horizon_days))
+    return df.where(moment(df, date_col) > cutoff_date(df, date_col, horizon_days))
 
 
-def reference_rows(df: DataFrame, cutoff, date_col: str = DATE) -> DataFrame:
-    """Rows up to a cutoff, for a drift reference."""
+def reference_rows(df: DataFrame, cutoff: Column, date_col: str = DATE) -> DataFrame:
+    """Rows up to a cutoff, for a drift reference; what is no date counts for nothing."""
     return df.where(F.col(date_col).try_cast("date") <= cutoff)

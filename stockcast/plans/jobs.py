@@ -23,8 +23,9 @@ from stockcast.operators.hot_groups import MAX_GROUP_ROWS
 from stockcast.operators.impute import finalize_features
 from stockcast.operators.naive import seasonal_naive
 from stockcast.operators.scoring import cost_scenarios, forecast_metrics, promotion
-from stockcast.operators.temporal import latest_batch, temporal_split
+from stockcast.operators.temporal import latest_batch, reference_rows, temporal_split
 from stockcast.sources.artifacts import load_forecaster, load_reference, save_forecaster, save_reference
+from stockcast.session import write_stage
 from stockcast.sources.files import read_parquet, read_raw, write_parquet
 
 
@@ -45,11 +46,12 @@ def build_dataset(
 
     Lags see unclipped targets, and medians all rows, also those without full history.
     """
-    enriched = enrich_panel(sales, features, stores, store_col, date_col)
+    # several steps read the joined rows: join once
+    enriched = write_stage(enrich_panel(sales, features, stores, store_col, date_col), "enriched")
     # rows without a series key get no history and would be dropped below: leave them out of the shuffle
     keyed = enriched.dropna(subset=list(keys)) if (lags or windows) else enriched
     known = add_history(
-        keyed, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows, sizes_from=sales)
+        keyed, keys, target_col, date_col, lags, windows, max_series_rows=max_series_rows)
     # calendar columns need no history; added after the series shuffle they do not travel through it
     dated = add_calendar(known, date_col)
     history = history_names(lags, windows)
@@ -99,14 +101,15 @@ def run_training(
 
     ``dataset`` should be a written table, as it is read several times.
     """
-    train, valid, _ = temporal_split(dataset, date_col, horizon_days)
+    train, valid, cutoff = temporal_split(dataset, date_col, horizon_days)
     baseline = seasonal_naive(train, valid, keys, date_col, target_col)
     forecaster = fit_forecaster(train, valid, target_col, **fit_options)
     predictions = score(forecaster, valid, target_col)
     metrics = evaluate_candidates(
         {"baseline": (baseline, "pred"), "model": (predictions, PREDICTION)}, target_col, cost_under, cost_over)
     prep = forecaster.preprocess
-    reference = width_reference(date_parts(train.drop(target_col)), prep.feature_names, prep.cat_cols)
+    watched = reference_rows(dataset, cutoff, date_col)
+    reference = width_reference(date_parts(watched.drop(target_col)), prep.feature_names, prep.cat_cols)
     return TrainingResult(forecaster, predictions, metrics, promotion(metrics, "baseline", "model"), reference)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from stockcast.plans.queries import EVENT_DAYS, GOLD_CATS, GOLD_FEATURES, GOLD_NUMBERS, SCENARIOS
+from stockcast.plans.queries import EVENT_DAYS, GOLD_CATS, GOLD_FEATURES, GOLD_NUMBERS, LINE_NUMBERS, SCENARIOS
 
 SALES = """sales AS (
  SELECT CAST(n.n_regionkey AS INT) AS Store, p.p_type AS Dept, CAST(date_trunc('week', l.l_shipdate) AS DATE) AS Date,
@@ -96,6 +96,10 @@ ref AS (SELECT value, event_type, CAST(user_id AS VARCHAR) AS user_id FROM event
 cur AS (SELECT value, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events, cut WHERE ts > c)"""
 
 
+LINE_SPLIT = """cut AS (SELECT max(l_shipdate) - INTERVAL 365 DAY AS c FROM lineitem),
+ref AS (SELECT l.* FROM lineitem l, cut WHERE l_shipdate <= c), cur AS (SELECT l.* FROM lineitem l, cut WHERE l_shipdate > c)"""
+
+
 def _naive(panel: str, extra: str = "") -> str:
     """CTEs ending in ``naive``: validation rows with pred, from a panel CTE named sales."""
     return f"""{panel},
@@ -134,7 +138,7 @@ def _positions(names: Sequence[str]) -> str:
     return "pos AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(names)) + ") t(pos, feature))"
 
 
-def _width_reference(cols: Sequence[str]) -> str:
+def _width_reference(cols: Sequence[str], n: int = 10) -> str:
     """CTEs over ref: prof (one row per feature), bins (feature, bin, lo, hi, cnt)."""
     return f"""{_positions(cols)},
 rl AS ({_long('ref', cols)}),
@@ -143,15 +147,15 @@ prof AS (SELECT feature, COUNT(*) AS n_rows, COUNT(v) AS n, 1.0 - CAST(COUNT(v)
 rng AS (SELECT *, CASE WHEN mn <> mx THEN mn WHEN mn = 0 THEN -0.001 ELSE mn - abs(mn) * 0.001 END AS a,
  CASE WHEN mn <> mx THEN mx WHEN mn = 0 THEN 0.001 ELSE mx + abs(mn) * 0.001 END AS b FROM prof),
 grid AS (SELECT rng.*, CAST(i AS INTEGER) AS bin,
- CASE WHEN i = 0 THEN CASE WHEN mn <> mx THEN a - (b - a) * 0.001 ELSE a END ELSE a + CAST(i AS DOUBLE) * ((b - a) / 10) END AS lo,
- CASE WHEN i = 9 THEN b ELSE a + CAST(i + 1 AS DOUBLE) * ((b - a) / 10) END AS hi FROM rng, range(10) r(i)),
+ CASE WHEN i = 0 THEN CASE WHEN mn <> mx THEN a - (b - a) * 0.001 ELSE a END ELSE a + CAST(i AS DOUBLE) * ((b - a) / {n}) END AS lo,
+ CASE WHEN i = {n - 1} THEN b ELSE a + CAST(i + 1 AS DOUBLE) * ((b - a) / {n}) END AS hi FROM rng, range({n}) r(i)),
 bins AS (SELECT g.feature, g.bin, ANY_VALUE(g.lo) AS lo, ANY_VALUE(g.hi) AS hi, COUNT(rl.v) AS cnt FROM grid g
  LEFT JOIN rl ON rl.feature = g.feature AND rl.v > g.lo AND rl.v <= g.hi GROUP BY 1, 2)"""
 
 
-def _width_report(cols: Sequence[str]) -> str:
+def _width_report(cols: Sequence[str], n: int = 10) -> str:
     """CTEs over ref and cur, ending in report (one row per numeric feature)."""
-    return f"""{_width_reference(cols)},
+    return f"""{_width_reference(cols, n)},
 cl AS ({_long('cur', cols)}),
 cb AS (SELECT b.feature, b.bin, b.cnt, COUNT(cl.v) AS cur FROM bins b
  LEFT JOIN cl ON cl.feature = b.feature AND (cl.v > b.lo OR (b.bin = 0 AND cl.v = b.lo)) AND cl.v <= b.hi GROUP BY 1, 2, 3),
@@ -165,9 +169,9 @@ report AS (SELECT p.pos, p.feature, {sig('psi.psi')} AS psi, {sig('mean_batch')}
  FROM pos p JOIN psi USING (feature) JOIN st USING (feature) JOIN tot USING (feature))"""
 
 
-def _quantile_bins(cols: Sequence[str]) -> str:
+def _quantile_bins(cols: Sequence[str], n: int = 10) -> str:
     """CTEs over ref, ending in qbins (feature, bin, lo, hi, prop)."""
-    probs = ", ".join(str(i / 10) for i in range(11))
+    probs = ", ".join([*(repr(i * (1.0 / n)) for i in range(n)), "1.0"])
     return f"""rl AS ({_long('ref', cols)}),
 qe AS (SELECT feature, list_sort(list_distinct([CAST(format('{{:.11e}}', x) AS DOUBLE) for x in quantile_cont(v, [{probs}])])) AS e FROM rl WHERE v IS NOT NULL GROUP BY 1),
 qc AS (SELECT feature, CASE WHEN len(e) <= 1 THEN e ELSE e[2:len(e) - 1] END AS cuts FROM qe),
@@ -178,8 +182,8 @@ qcnt AS (SELECT g.feature, g.bin, ANY_VALUE(g.lo) AS lo, ANY_VALUE(g.hi) AS hi,
 qbins AS (SELECT *, CAST(cnt AS DOUBLE) / CAST(SUM(cnt) OVER (PARTITION BY feature) AS DOUBLE) AS prop FROM qcnt)"""
 
 
-def _psi_numeric(cols: Sequence[str]) -> str:
-    return f"""{_quantile_bins(cols)},
+def _psi_numeric(cols: Sequence[str], n: int = 10) -> str:
+    return f"""{_quantile_bins(cols, n)},
 cl AS ({_long('cur', cols)}),
 ccnt AS (SELECT q.feature, q.bin, q.prop AS r, COUNT(cl.v) AS cnt FROM qbins q
  LEFT JOIN cl ON cl.feature = q.feature AND (q.lo IS NULL OR cl.v >= q.lo) AND (q.hi IS NULL OR cl.v < q.hi) GROUP BY 1, 2, 3),
@@ -210,7 +214,7 @@ psi AS (SELECT pos, feature, {kind} AS kind, psi FROM pos JOIN
 
 GOLD_PSI = (
     f"WITH {GOLD_SPLIT}, {_psi_numeric(GOLD_NUMBERS)}, {_psi_category(GOLD_CATS)}, "
-    f"{_psi_result(GOLD_FEATURES[1:], GOLD_CATS, ('nterm', 'cterm'))}"
+    f"{_psi_result(GOLD_FEATURES, GOLD_CATS, ('nterm', 'cterm'))}"
 )
 FINE = """sales AS (
  SELECT CAST(l.l_suppkey AS INT) AS Store, p.p_brand AS Dept, CAST(date_trunc('week', l.l_shipdate) AS DATE) AS Date,
@@ -250,6 +254,10 @@ def oracle_sql() -> dict[str, str]:
         "event_history": f"""SELECT event_id, event_type, value, lag(value, 1) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2,
  {_rolling((4, 8), sig('{x}', 6))}
 FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS y FROM events) WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+        "event_history_ties": f"""SELECT event_id, event_type, value, lag(value, 1) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2,
+ {_rolling((4, 8), sig('{x}', 6))}
+FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS y FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY date_trunc('day', ts), event_id)""",
         "impute_macro": f"""WITH {PANEL}, med1 AS (SELECT Store, {medians} FROM enriched GROUP BY Store),
 fill1 AS (SELECT e.* REPLACE ({macro1}) FROM enriched e LEFT JOIN med1 m ON e.Store=m.Store), med2 AS (SELECT {medians} FROM fill1)
 SELECT fill1.* REPLACE ({macro2}) FROM fill1, med2""",
@@ -315,13 +323,37 @@ FROM rc LEFT JOIN cc USING (feature, key) WHERE nr <= 30""",
         "drift_quantile_reference": f"""WITH {GOLD_SPLIT}, {_positions(GOLD_NUMBERS)}, {_quantile_bins(GOLD_NUMBERS)}
 SELECT pos, feature, bin, lo, hi, prop AS ref_prop, (SELECT COUNT(*) FROM ref) AS n_ref FROM qbins JOIN pos USING (feature)""",
         "drift_quantile_psi": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi",
-        "drift_top_features": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM (SELECT * FROM psi ORDER BY psi DESC, pos LIMIT 10)",
-        "drift_quantile_summary": f"""{GOLD_PSI} SELECT COALESCE(MAX(psi) >= 0.2, false) AS drift_detected, CAST(0.2 AS DOUBLE) AS drift_threshold,
- {sig('MAX(psi)')} AS max_psi, COUNT(*) FILTER (psi >= 0.2) AS n_features_over_threshold FROM psi""",
+        "drift_top_features": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi ORDER BY 4 DESC, pos LIMIT 10",
+        "drift_quantile_summary": f"""{GOLD_PSI}, exact AS (SELECT pos, feature, {sig('psi')} AS psi FROM psi) SELECT COALESCE(MAX(psi) >= 0.2, false) AS drift_detected, CAST(0.2 AS DOUBLE) AS drift_threshold,
+ MAX(psi) AS max_psi, COUNT(*) FILTER (psi >= 0.2) AS n_features_over_threshold,
+ (SELECT string_agg(feature, ',' ORDER BY psi DESC, pos) FROM (SELECT * FROM exact ORDER BY psi DESC, pos LIMIT 10)) AS top_features FROM exact""",
         "drift_category_psi": f"WITH {EVENT_SPLIT}, {_psi_category(event_keys)}, {_psi_result(event_keys, event_keys, ('cterm',))} "
                               f"SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi",
-        "drift_quantile_lineitem": f"""WITH cut AS (SELECT max(l_shipdate) - INTERVAL 365 DAY AS c FROM lineitem),
-ref AS (SELECT l.* FROM lineitem l, cut WHERE l_shipdate <= c), cur AS (SELECT l.* FROM lineitem l, cut WHERE l_shipdate > c),
+        "drift_report_mixed": f"""WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)}, rk AS ({_keys('ref', GOLD_CATS, '__MISSING__')}),
+ck AS ({_keys('cur', GOLD_CATS, '__MISSING__')}),
+rc AS (SELECT feature, key, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ref) AS share,
+ row_number() OVER (PARTITION BY feature ORDER BY COUNT(*) DESC, key) AS nr FROM rk GROUP BY 1, 2),
+cc AS (SELECT feature, key, COUNT(*) AS cnt FROM ck GROUP BY 1, 2)
+SELECT pos, feature, 'numeric' AS kind, psi, mean_batch, std_batch, out_of_range_rate, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS DOUBLE) AS delta,
+ CAST(NULL AS DOUBLE) AS missing_rate, n_batch_rows FROM report UNION ALL
+SELECT {len(GOLD_NUMBERS)} + CASE feature WHEN '{GOLD_CATS[0]}' THEN 0 ELSE 1 END, feature, 'categorical', NULL, NULL, NULL, NULL, rc.key,
+ round(CAST(COALESCE(cnt, 0) AS DOUBLE) / (SELECT COUNT(*) FROM cur) - share, 9), CAST(0 AS DOUBLE), (SELECT COUNT(*) FROM cur)
+FROM rc LEFT JOIN cc USING (feature, key) WHERE nr <= 30""",
+        "drift_width_bins20": f"WITH {LINE_SPLIT}, {_width_report(LINE_NUMBERS, 20)} SELECT * EXCLUDE (pos) FROM report",
+        "drift_quantile_bins20": f"""WITH {LINE_SPLIT}, {_psi_numeric(LINE_NUMBERS, 20)}, {_psi_result(LINE_NUMBERS, (), ('nterm',))}
+SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi""",
+        "train_score_gbt": f"WITH {GOLD_SPLIT} SELECT Store, COUNT(*) AS n_scored, COUNT(*) AS n_finite, true AS beats_mean FROM cur GROUP BY 1",
+        "train_compare": f"""WITH {GOLD_SPLIT}, gm AS (SELECT Store, Dept, median(Weekly_Sales) AS m FROM ref GROUP BY 1, 2),
+om AS (SELECT median(Weekly_Sales) AS m FROM ref),
+scored AS (SELECT v.Store, v.Weekly_Sales, COALESCE(t.Weekly_Sales, gm.m, om.m) AS pred FROM cur v
+ LEFT JOIN ref t ON t.Store=v.Store AND t.Dept=v.Dept AND t.Date + 364 = v.Date
+ LEFT JOIN gm ON gm.Store=v.Store AND gm.Dept=v.Dept CROSS JOIN om),
+m AS ({_metrics('scored')})
+SELECT 'baseline' AS candidate, n, n_null, {sig('mae')} AS mae, {sig('rmse')} AS rmse, {sig('mape')} AS mape, {sig('cost_total')} AS cost_total, true AS sound FROM m
+UNION ALL SELECT 'model', n, n_null, NULL, NULL, NULL, NULL, true FROM m""",
+        "batch_job": f"""WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)}
+SELECT Store, COUNT(*) AS n_scored, (SELECT COUNT(*) FROM report WHERE psi >= 0.2) AS n_drifting, {len(GOLD_FEATURES)} AS n_features FROM cur GROUP BY 1""",
+        "drift_quantile_lineitem": f"""WITH {LINE_SPLIT},
 {_psi_numeric(line_cols)}, {_psi_category(('l_returnflag',))}, {_psi_result((*line_cols, 'l_returnflag'), ('l_returnflag',), ('nterm', 'cterm'))}
 SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi""",
     }

@@ -16,7 +16,6 @@ from stockcast.operators.distributions import column_profile, top_categories
 from stockcast.operators.encode import apply_dictionary, category_dictionary, model_matrix
 from stockcast.operators.enrich import enrich_panel
 from stockcast.operators.history import add_history, history_names
-from stockcast.operators.hot_groups import MAX_GROUP_ROWS
 from stockcast.operators.impute import fit_medians
 from stockcast.operators.naive import fill_with_medians, seasonal_naive
 from stockcast.operators.quantiles import exact_quantiles
@@ -28,10 +27,17 @@ from stockcast.sources.panel import panel_tables, sales_panel, store_dimension,
 
 EXACT = "decimal(18,2)"
 SCENARIOS = (("default", 6.0, 1.5), ("balanced", 1.0, 1.0), ("overstock", 1.5, 6.0))
-GOLD_NUMBERS = ["MarkDown1", "MarkDown2", "CPI", "Unemployment", "Size", "IsHoliday", "month", "lag_1", "roll_mean_4", "Date_ts"]
-GOLD_FEATURES = ["Store", *GOLD_NUMBERS, "Type", "Dept"]
+GOLD_NUMBERS = [
+    "Store", "MarkDown1", "MarkDown2", "CPI", "Unemployment", "Size", "IsHoliday", "year", "month", "weekofyear", "dayofweek",
+    "is_month_start", "is_month_end", *history_names(),
+    *[f"Date_{part}" for part in ("year", "month", "week", "day", "dow", "dayofyear", "ts")]]
+GOLD_FEATURES = [*GOLD_NUMBERS, "Type", "Dept"]
 GOLD_CATS = ["Type", "Dept"]
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+#: Few enough rounds for a query, but patience ends the fit, not the bound on rounds.
+FIT = dict(num_boost_round=2_000, early_stopping_rounds=4, step_size=0.4, max_depth=4)
 EVENT_DAYS = 10
+EVENT_CHUNK = 1_000  # rows of an event series that are handled together, at every scale
 WEEKLY = None  # no size check: the panel is grouped by series and week, so a series is as long as its weeks
 
 
@@ -125,8 +131,18 @@ def q_rolling_features_split(spark, folder):
 def q_event_history(spark, folder):
     """Lags and means over five series that hold all events; cut into chunks already on small tables."""
     events = table(spark, folder, "events").select("event_type", "ts", "event_id", F.col("value").cast("decimal(18,4)").alias("value"))
-    sizes = min(MAX_GROUP_ROWS, max(500, events.count() // 100))
-    out = add_history(events, ["event_type"], "value", "ts", lags=(1, 2), windows=(4, 8), tie_cols=["event_id"], max_series_rows=sizes)
+    return _event_history(write_stage(events, "events"), EVENT_CHUNK)
+
+
+def q_event_history_ties(spark, folder):
+    """The same over days: all events of a type and day tie, and are ordered and cut by their ids."""
+    day = F.date_trunc("day", "ts").alias("ts")
+    events = table(spark, folder, "events").select("event_type", day, "event_id", F.col("value").cast("decimal(18,4)").alias("value"))
+    return _event_history(write_stage(events, "events"), 25)
+
+
+def _event_history(events: DataFrame, chunk: int) -> DataFrame:
+    out = add_history(events, ["event_type"], "value", "ts", lags=(1, 2), windows=(4, 8), tie_cols=["event_id"], max_series_rows=chunk)
     return _doubles(out, ["value", "lag_1", "lag_2"]).withColumns({c: sig(F.col(c), 6) for c in ("roll_std_4", "roll_std_8")}).select(
         "event_id", "event_type", "value", "lag_1", "lag_2", "roll_mean_4", "roll_mean_8", "roll_std_4", "roll_std_8")
 
@@ -289,6 +305,37 @@ def q_drift_width_report(spark, folder):
                    "psi", "mean_batch", "std_batch", "out_of_range_rate")
 
 
+def _mixed_report(spark, folder):
+    train, valid = _gold_split(spark, folder)
+    ref = write_stage(dw.width_reference(train, GOLD_FEATURES, GOLD_CATS), "reference")
+    return dw.drift_report(valid, ref, GOLD_FEATURES, GOLD_CATS)
+
+
+def q_drift_report_mixed(spark, folder):
+    """One report over all features, numbers and categories together."""
+    return rounded(_mixed_report(spark, folder), "psi", "mean_batch", "std_batch", "out_of_range_rate").withColumn("delta", F.round("delta", 9))
+
+
+def _line_split(spark, folder):
+    lines = table(spark, folder, "lineitem").select(*LINE_NUMBERS, "l_shipdate", "l_returnflag")
+    return temporal_split(lines, "l_shipdate", 365)[:2]
+
+
+def q_drift_width_bins20(spark, folder):
+    """Order lines against a reference of 20 bins, which the report reads from the reference."""
+    before, after = _line_split(spark, folder)
+    ref = write_stage(dw.width_reference(before, LINE_NUMBERS, [], n_bins=20), "reference")
+    report = dw.drift_report(after, ref, LINE_NUMBERS, [])
+    return rounded(report.select("feature", "psi", "mean_batch", "std_batch", "out_of_range_rate", "n_batch_rows"),
+                   "psi", "mean_batch", "std_batch", "out_of_range_rate")
+
+
+def q_drift_quantile_bins20(spark, folder):
+    before, after = _line_split(spark, folder)
+    ref = write_stage(dq.quantile_reference(before, LINE_NUMBERS, [], n_bins=20, edge_digits=12), "reference")
+    return rounded(dq.quantile_psi(after, ref, LINE_NUMBERS, []), "psi")
+
+
 def q_drift_width_events(spark, folder):
     before, after = _events_split(spark, folder)
     ref = write_stage(dw.width_reference(before, ["value"], []), "reference")
@@ -317,8 +364,8 @@ def q_drift_quantile_reference(spark, folder):
 
 def _quantile_psi(spark, folder):
     train, valid = _gold_split(spark, folder)
-    ref = write_stage(dq.quantile_reference(train, GOLD_FEATURES[1:], GOLD_CATS, edge_digits=12), "reference")
-    return dq.quantile_psi(valid, ref, GOLD_FEATURES[1:], GOLD_CATS)
+    ref = write_stage(dq.quantile_reference(train, GOLD_FEATURES, GOLD_CATS, edge_digits=12), "reference")
+    return dq.quantile_psi(valid, ref, GOLD_FEATURES, GOLD_CATS)
 
 
 def q_drift_quantile_psi(spark, folder):
@@ -326,11 +373,12 @@ def q_drift_quantile_psi(spark, folder):
 
 
 def q_drift_top_features(spark, folder):
-    return rounded(dq.top_drifting(_quantile_psi(spark, folder)), "psi")
+    return dq.top_drifting(rounded(_quantile_psi(spark, folder), "psi"))
 
 
 def q_drift_quantile_summary(spark, folder):
-    return rounded(dq.drift_summary(_quantile_psi(spark, folder)).drop("top_features"), "max_psi")
+    summary = dq.drift_summary(rounded(_quantile_psi(spark, folder), "psi"))
+    return summary.withColumn("top_features", F.array_join(F.transform("top_features", lambda t: t["feature"]), ","))
 
 
 def q_drift_category_psi(spark, folder):
@@ -342,10 +390,8 @@ def q_drift_category_psi(spark, folder):
 
 def q_drift_quantile_lineitem(spark, folder):
     """Quantile-bin drift of order lines: the last year of shipping dates against everything before."""
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    lines = table(spark, folder, "lineitem").select(*cols, "l_shipdate", "l_returnflag")
-    before, after, _ = temporal_split(lines, "l_shipdate", 365)
-    names = [*cols, "l_returnflag"]
+    before, after = _line_split(spark, folder)
+    names = [*LINE_NUMBERS, "l_returnflag"]
     ref = write_stage(dq.quantile_reference(before, names, ["l_returnflag"], edge_digits=12), "reference")
     return rounded(dq.quantile_psi(after, ref, names, ["l_returnflag"]), "psi")
 
@@ -353,27 +399,39 @@ def q_drift_quantile_lineitem(spark, folder):
 # model jobs
 
 def q_train_score_gbt(spark, folder):
+    """What is exact about a fitted model: rows scored per store, forecasts finite, and closer to its training rows than their mean."""
     gold = _gold(spark, folder)
     train, valid, _ = temporal_split(gold)
-    return score(fit_forecaster(train, valid, num_boost_round=10, early_stopping_rounds=None, max_depth=5), valid)
+    forecaster = fit_forecaster(train, valid, **FIT)
+    scored = score(forecaster, valid)
+    mean = train.agg(F.avg(TARGET)).first()[0]
+    error = lambda x: F.sum((F.col(TARGET) - x) * (F.col(TARGET) - x))
+    fitted = score(forecaster, train)
+    better = fitted.agg((error(F.col(PREDICTION)) < error(F.lit(mean))).alias("b")).first()["b"]
+    finite = F.count_if(F.col(PREDICTION).isNotNull() & (F.abs(PREDICTION) < float("inf")))
+    return scored.groupBy("Store").agg(F.count(F.lit(1)).alias("n_scored"), finite.alias("n_finite")).withColumn("beats_mean", F.lit(better))
 
 
 def q_train_compare(spark, folder):
-    result = jobs.run_training(_gold(spark, folder), num_boost_round=10, early_stopping_rounds=5, max_depth=4)
-    return result.metrics
+    """Metrics of the seasonal baseline over the dataset, and the model's row counts beside it."""
+    metrics = jobs.run_training(_gold(spark, folder), **FIT).metrics
+    exact = ["mae", "rmse", "mape", "cost_total"]
+    shown = {c: F.when(F.col("candidate") == "baseline", sig(F.col(c))) for c in exact}
+    usable = F.col("mae").isNotNull() & ~F.isnan("mae") & (F.col("rmse") >= F.col("mae"))
+    return metrics.withColumn("sound", usable).withColumns(shown).select("candidate", "n", "n_null", *exact, "sound")
 
 
 def q_batch_job(spark, folder):
+    """Rows scored per store, and how many features of the whole drift report have moved."""
     gold = _gold(spark, folder)
     train, valid, _ = temporal_split(gold)
-    forecaster = fit_forecaster(train, valid, num_boost_round=5, early_stopping_rounds=None, max_depth=4)
+    forecaster = fit_forecaster(train, valid, **FIT)
     prep = forecaster.preprocess
     ref = write_stage(dw.width_reference(date_parts(train.drop(TARGET)), prep.feature_names, prep.cat_cols), "reference")
     predictions, report = jobs.run_batch(gold, forecaster, ref)
-    rows = predictions.groupBy("Store").agg(
-        F.count(PREDICTION).alias("n_scored"), F.avg(PREDICTION).alias("mean_forecast"))
-    drifted = report.agg(F.count_if(F.col("psi") >= 0.2)).scalar()
-    return rows.withColumn("n_drifting", drifted)
+    rows = predictions.groupBy("Store").agg(F.count(PREDICTION).alias("n_scored"))
+    drifted = report.agg(F.count_if(F.col("psi") >= 0.2)).first()[0]
+    return rows.withColumn("n_drifting", F.lit(drifted)).withColumn("n_features", F.lit(len(prep.feature_names)))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

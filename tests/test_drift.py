@@ -182,6 +182,6 @@ def test_bin_closure_is_a_parameter(spark):
     df = numbers(spark, [0.5, 1.0, 1.5, 2.0, 3.0])
 
     def count(right):
-        return {r["bin"]: r["cnt"] for r in bin_counts(df, edges, ["x"], 2, right).collect()}
+        return {r["bin"]: r["cnt"] for r in bin_counts(df, edges.collect(), ["x"], right).collect()}
 
     assert count(False) == {0: 1, 1: 2, 2: 2} and count(True) == {0: 2, 1: 2, 2: 1}

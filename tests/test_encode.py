@@ -2,14 +2,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockcast.operators.encode import (
-    align_pair, align_to, apply_category, apply_dictionary, category_columns, category_dictionary, model_matrix, split_target,
+    align_pair, align_to, apply_category, apply_dictionary, category_columns, category_dictionary, model_matrix,
 )
 
 
-def test_split_and_align(spark):
+def test_align(spark):
     a = spark.createDataFrame([(1, 2.0, "x")], "a int, Weekly_Sales double, c string")
-    inputs, target = split_target(a)
-    assert (inputs.columns, target.columns) == (["a", "c"], ["Weekly_Sales"])
+    inputs = a.drop("Weekly_Sales")
     b = spark.createDataFrame([(5, 7)], "d int, a int")
     left, right = align_pair(inputs, b)
     assert left.columns == right.columns == ["a", "c", "d"]

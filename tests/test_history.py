@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockcast.operators.history import add_history, history_names
-from stockcast.operators.hot_groups import cut_points
+from stockcast.functions.dates import order_position
+from stockcast.operators.hot_groups import chunk_columns, cut_points
 
 START = date(2020, 1, 3)
 
@@ -112,3 +113,23 @@ def test_rows_without_a_key_have_no_history(spark, max_rows):
     assert_rows(out.where("Store IS NOT NULL AND Dept IS NOT NULL"), series)
     rest = out.where("Store IS NULL OR Dept IS NULL").collect()
     assert len(rest) == 3 and all(r[c] is None for r in rest for c in history_names())
+
+
+def test_every_hot_group_is_cut_however_many_there_are(spark):
+    df = spark.range(1_100 * 12).select(
+        (F.col("id") % 1_100).cast("int").alias("Store"), F.lit(1).alias("Dept"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 1_100).cast("int")).alias("Date"), F.lit(1.0).alias("Weekly_Sales"))
+    cuts = cut_points(df, ["Store", "Dept"], "Date", 5).collect()
+    assert len(cuts) == 1_100 and all(len(r["__cuts"]) >= 2 for r in cuts)
+
+
+def test_tied_rows_are_cut_along_the_tie_column(spark):
+    df = spark.range(4_000).select(
+        F.lit(1).alias("Store"), F.lit(1).alias("Dept"), F.lit("2020-03-01").cast("date").alias("Date"),
+        F.col("id").alias("nr"), (F.col("id") % 17).cast("double").alias("Weekly_Sales"))
+    whole = add_history(df, tie_cols=["nr"], max_series_rows=None).orderBy("nr").collect()
+    assert add_history(df, tie_cols=["nr"], max_series_rows=100).orderBy("nr").collect() == whole
+    cuts = cut_points(df, ["Store", "Dept"], "Date", 100, "nr")
+    position = order_position(F.col("Date"), df.schema["Date"].dataType)
+    chunks = df.join(cuts, ["Store", "Dept"]).select(*chunk_columns(position, None, F.col("nr"))).groupBy("__part", "__slice").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 110
