@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from stockcast.operators.hot_groups import pinned
 from stockcast.session import write_stage
@@ -84,20 +84,21 @@ def probe_buckets(queries: np.ndarray, a: np.ndarray, b: np.ndarray, cell: float
     return _bucket_keys(cells)
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    """Binary float64 vectors of one length as a matrix."""
-    raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1) if raw else np.zeros((0, 0))
+def _matrix(raw: list[bytes], code: str) -> np.ndarray:
+    """Packed vectors of one length as a matrix in double precision."""
+    return np.frombuffer(b"".join(raw), code).reshape(len(raw), -1).astype(np.float64) if raw else np.zeros((0, 0))
 
 
-def _hashed(rows: DataFrame, largest: float, probes: int, tables: int, hashes: int, cell: float, seed: int) -> DataFrame:
+def _hashed(
+    rows: DataFrame, code: str, largest: float, probes: int, tables: int, hashes: int, cell: float, seed: int
+) -> DataFrame:
     """Rows (cls, dim, vec) as (dim, tab, bucket, cls, vec): one per table, or one per table and probe."""
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                x = _vectors(part.column("vec"))
+                x = _matrix(part.column("vec").to_pylist(), code)
                 norm = np.sqrt((x * x).sum(axis=1))
                 if probes:
                     lifted = np.concatenate([x / norm[:, None], np.zeros((len(x), 1))], axis=1)
@@ -113,7 +114,7 @@ def _hashed(rows: DataFrame, largest: float, probes: int, tables: int, hashes: i
                         [taken.column("dim"), pa.array(np.full(len(which), tab, np.int32)), pa.array(keys.ravel()),
                          taken.column("cls"), taken.column("vec")], ["dim", "tab", "bucket", "cls", "vec"])
 
-    return rows.select("cls", "dim", "vec").mapInArrow(hash_rows, "dim int, tab int, bucket long, cls long, vec binary").distinct()
+    return rows.select("cls", "dim", "vec").mapInArrow(hash_rows, "dim int, tab int, bucket long, cls long, vec binary")
 
 
 def _block_best(q: np.ndarray, q_cls: np.ndarray, x: np.ndarray, x_cls: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,7 +129,7 @@ def _block_best(q: np.ndarray, q_cls: np.ndarray, x: np.ndarray, x_cls: np.ndarr
     return q_cls[i], x_cls[j], np.sum(q[i] * x[j], axis=1)
 
 
-def _candidates(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+def _candidates(index: DataFrame, probes: DataFrame, code: str, k: int) -> DataFrame:
     """Best candidates (query, cls, score) of every visit of a query to a chunk of a bucket."""
     keys = ["dim", "tab", "bucket"]
 
@@ -154,7 +155,7 @@ def _candidates(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
 
         def result() -> Iterator[pa.RecordBatch]:
             if held[0] and held[2]:
-                x, q = (np.frombuffer(b"".join(v), "<f8").reshape(len(v), -1) for v in (held[0], held[2]))
+                x, q = _matrix(held[0], code), _matrix(held[2], code)
                 found = _block_best(q, np.array(held[3], np.int64), x, np.array(held[1], np.int64), k)
                 yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["query", "cls", "score"])
 
@@ -193,16 +194,17 @@ def nearest(
     first_ids = Window.partitionBy("v").orderBy("id")
     ranked = usable(vectors).withColumn("r", F.row_number().over(first_ids)).where(F.col("r") <= k + 1)
     classes = ranked.groupBy("v").agg(F.min("id").alias("cls"), F.sort_array(F.collect_list("id")).alias("members"))
-    packed = _packed(classes.select("cls", F.size("v").alias("dim"), "v", "members"))
+    code = _code(vectors, queries)
+    packed = _packed(classes.select("cls", F.size("v").alias("dim"), "v", "members"), code)
     classes = write_stage(packed, "ann-classes")
-    asked = write_stage(_packed(usable(queries).select(F.col("id").alias("cls"), F.size("v").alias("dim"), "v")), "ann-queries")
+    asked = write_stage(_packed(usable(queries).select(F.col("id").alias("cls"), F.size("v").alias("dim"), "v"), code), "ann-queries")
     largest = classes.agg(F.max("norm")).first()[0] or 1.0
     # queries with one vector ask once, under the smallest of their ids
     askers = asked.groupBy("vec").agg(F.min("cls").alias("cls"), F.first("dim").alias("dim"))
     askers = write_stage(askers, "ann-askers")
-    index = write_stage(_hashed(classes, largest, 0, tables, hashes, cell, seed), "ann-index")
-    visits = write_stage(_hashed(askers, largest, probes, tables, hashes, cell, seed), "ann-probes")
-    pairs = _candidates(index, visits, k + 1).groupBy("query", "cls").agg(F.max("score").alias("score"))
+    index = write_stage(_hashed(classes, code, largest, 0, tables, hashes, cell, seed), "ann-index")
+    visits = write_stage(_hashed(askers, code, largest, probes, tables, hashes, cell, seed), "ann-probes")
+    pairs = _candidates(index, visits, code, k + 1).groupBy("query", "cls").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "cls")
     top = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
     rows = top.join(classes.select("cls", "members"), "cls").select("query", "score", F.explode("members").alias("vec_id"))
@@ -217,11 +219,17 @@ def nearest(
         "query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", "x.score")
 
 
-def _packed(rows: DataFrame) -> DataFrame:
+def _code(*frames: DataFrame) -> str:
+    """Components travel in single precision if that is how they are given, else in double."""
+    single = all(isinstance(df.schema["embedding"].dataType.elementType, T.FloatType) for df in frames)
+    return "<f4" if single else "<f8"
+
+
+def _packed(rows: DataFrame, code: str) -> DataFrame:
     """Column v (array of doubles) as ``vec`` (little-endian bytes) with its ``norm``."""
     @F.arrow_udf("binary")
     def pack(v: pa.Array) -> pa.Array:
-        return pa.array([np.asarray(x, "<f8").tobytes() for x in v.to_pylist()], pa.binary())
+        return pa.array([np.asarray(x, code).tobytes() for x in v.to_pylist()], pa.binary())
 
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     return rows.withColumn("norm", norm).withColumn("vec", pack(F.col("v"))).drop("v")
