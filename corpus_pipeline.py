@@ -4,25 +4,47 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockcast.llm import mixing, packing, simhash, suffix_dedup, toxicity
 from stockcast.llm.queries import vocabulary
-from stockcast.session import shared_dir
+from stockcast.session import remove_stages, shared_dir, stage_count
 from stockcast.sources.panel import table
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[tuple[int, int]] = []  # numbers of the working tables that the last stage has written
+
+
+def stage(made: Stage) -> Stage:
+    """A stage that first removes the working tables of the stage before it, whose result is written by then."""
+    @wraps(made)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left:
+            remove_stages(spark, *_left.pop())
+        since = stage_count()
+        out = made(spark, docs, sf_dir)
+        _left.append((since, stage_count()))
+        return out
+
+    return run_stage
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that boosted trees, learned from ``labels``, do not call toxic."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id."""
     return simhash.one_per_group(docs)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 50 bytes that an earlier one has; ``n_chars`` follows the text."""
     cut = suffix_dedup.without_repeats(docs)
@@ -31,17 +53,19 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target takes them."""
     return mixing.mix_documents(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents in sequences of binary lengths."""
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_duplicates),
     ("suffix_array_dedup", cut_repeats),
@@ -57,8 +81,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        made = stage(spark, docs, sf_dir)
+    for name, function in STAGES:
+        made = function(spark, docs, sf_dir)
         made.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(made.schema).parquet(f"{folder}/{name}")
     return docs

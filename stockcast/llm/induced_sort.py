@@ -298,6 +298,8 @@ def sorted_lms(text: np.ndarray, kinds: np.ndarray, sigma: int, cap: int, memory
     lms = np.concatenate([
         np.flatnonzero(kinds[low + 1:low + 1 + memory] & ~kinds[low:low + memory][:len(kinds[low + 1:low + 1 + memory])]) + low + 1
         for low in range(0, n, memory)] or [np.zeros(0, np.int64)])
+    if n < 1 << 31:
+        lms = lms.astype(np.int32)
     if len(lms) <= 1:
         return lms
     seeds = lms[np.argsort(text[lms], kind="stable")]

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.llm.order import bucket_bits, hash_bucket, with_positions
+from stockcast.llm.worker import keep
 from stockcast.session import write_stage
 
 MAX_LENGTH = 2048
@@ -106,9 +107,6 @@ class UnitCache:
             known.update((key, raw[a:b]) for (key, _), a, b in zip(part, borders, borders[1:]))
 
 
-_caches: dict[str, UnitCache] = {}  # one per worker and tokenizer; outlives a task
-
-
 def cuts(n: int, longest: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens: ``longest`` as often as it fits, then the bits of the rest."""
     out = [(i * longest, longest) for i in range(n // longest)]
@@ -133,7 +131,7 @@ def pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _caches.get(tokenizer_path) or _caches.setdefault(tokenizer_path, UnitCache(tokenizer_path))
+        cache = keep(("units", tokenizer_path), lambda: UnitCache(tokenizer_path))
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(at, TEXTS_AT_ONCE)

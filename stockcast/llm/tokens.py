@@ -11,6 +11,7 @@ speed alone; counts are exact whatever it holds.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -20,6 +21,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from stockcast.llm.worker import keep
+
 TABLE_SIZE = 16_384    # pre-tokens in the broadcast table, and in a summary
 CACHE_SIZE = 400_000   # pre-tokens a worker adds to it before it starts anew
 CACHED_CHARS = 64      # longer pre-tokens are encoded each time
@@ -61,17 +64,13 @@ class PieceLengths(dict):
         return sum(map(self.__getitem__, keys_of(text))) if text else 0
 
 
-_lengths: dict[tuple[str, int], PieceLengths] = {}  # one per worker; outlives a task
-
-
-def worker_lengths(model_path: str, ticket: int, packed: tuple[bytes, bytes]) -> PieceLengths:
-    """This worker's lookup for the broadcast table number ``ticket``."""
-    if (model_path, ticket) not in _lengths:
+def worker_lengths(model_path: str, ticket: str, packed: tuple[bytes, bytes]) -> PieceLengths:
+    """This worker's lookup for the broadcast table named ``ticket``."""
+    def make() -> PieceLengths:
         words = packed[0].decode().split(" ") if packed[0] else []
-        table = dict(zip(words, np.frombuffer(packed[1], "<u2").tolist()))
-        _lengths.clear()
-        _lengths[model_path, ticket] = PieceLengths(model_path, table)
-    return _lengths[model_path, ticket]
+        return PieceLengths(model_path, dict(zip(words, np.frombuffer(packed[1], "<u2").tolist())))
+
+    return keep(("pieces", model_path, ticket), make)
 
 
 def trim(counts: Counter, size: int) -> Counter:
@@ -138,7 +137,7 @@ def count_tokens(docs: DataFrame, model_path: str, table_size: int = TABLE_SIZE,
     table = {k: lengths[k] for k in frequent_keys(docs, table_size)}
     packed = " ".join(table).encode(), np.array(list(table.values()), dtype="<u2").tobytes()
     shared = spark.sparkContext.broadcast(packed)
-    ticket = shared._jbroadcast.id() if hasattr(shared, "_jbroadcast") and shared._jbroadcast is not None else id(shared)
+    ticket = uuid.uuid4().hex
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = worker_lengths(model_path, ticket, shared.value)

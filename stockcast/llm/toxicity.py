@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stockcast.llm.worker import keep
 from stockcast.session import write_stage
 
 MAX_TRAIN_ROWS = 20_000  # labelled rows that lexicon, trees and calibration are fitted on, by hash order
@@ -34,7 +36,8 @@ MIN_DOCS = 8             # toxic texts that a lexicon entry must occur in
 MIN_ODDS = 2.5           # log odds that a lexicon entry must reach
 BEGINNINGS = (4, 5, 6)   # lengths of word beginnings that may enter the lexicon
 NEAR = 5                 # words between a lexicon word and a second-person word
-CACHE_SIZE = 300_000
+CACHE_SIZE = 100_000
+TEXTS_AT_ONCE = 500      # texts whose terms are counted together before they are shuffled
 #: Second-person words of English, German, French and Spanish: fixed values.
 SECOND_PERSON = frozenset((
     "you your yours yourself u ur du dich dir dein deine deiner deinen ihr euch euer eure "
@@ -147,7 +150,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
 def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, min_docs: int = MIN_DOCS) -> dict[str, float]:
     """Weights (smoothed log odds) of the words and beginnings that mark toxic texts best."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, TEXTS_AT_ONCE)):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 seen[toxic > 0].update({t for w in set(text.split()) for t in terms(plain(w))})
@@ -176,12 +179,11 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None = None
 
     def _vector(self, text: Column) -> Column:
-        lexicon = self.lexicon
-        state: dict[str, WordCodes] = {}
+        lexicon, ticket = self.lexicon, uuid.uuid4().hex
 
         @F.arrow_udf("array<double>")
         def vectors(texts: pa.Array) -> pa.Array:
-            codes = state.setdefault("codes", WordCodes(lexicon))
+            codes = keep(("words", ticket), lambda: WordCodes(lexicon))
             return pa.array([features(t.as_py() or "", codes) for t in texts], pa.list_(pa.float64()))
 
         return array_to_vector(vectors(text))
