@@ -25,12 +25,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.llm.induced_sort import MEMORY, suffixes
-from stockcast.session import shared_dir, write_stage
+from stockcast.session import note_stage, shared_dir, write_stage
 
 WINDOW = 50
 GRAM = 16
-BATCH_BYTES = 8 << 20    # text of a batch file
-SHARD_BYTES = 8 << 20    # text per shard of values (its repeated segments are a part of that)
+BATCH_BYTES = 4 << 20    # text of a batch file
+SHARD_BYTES = 4 << 20    # text per shard of values (its repeated segments are a part of that)
 LAST_ID = (1 << 63) - 1  # documents without id come last
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -72,7 +72,7 @@ class Batch:
         """(value, document, start in the batch, windows) of every segment."""
         values = least_grams(np.frombuffer(self.raw, np.uint8))
         windows = np.maximum(self.lengths - WINDOW + 1, 0)
-        doc = np.repeat(np.arange(len(windows)), windows)
+        doc = np.repeat(np.arange(len(windows), dtype=np.int32), windows)
         pos = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(self.starts, windows)
         value = values[pos]
         fresh = np.append(True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])) if len(value) else np.zeros(0, bool)
@@ -219,6 +219,7 @@ def _write_batches(docs: DataFrame, folder: str) -> DataFrame:
 
     store, root = pafs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
+    note_stage(folder)
     return write_stage(docs.mapInArrow(write, "batch string, bytes long"), "batches")
 
 
@@ -275,12 +276,16 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                 continue
             batch = _open(folder, name, text_at, id_at)
             value, doc, start, windows = batch.segments()
-            for shard, own, _ in shard_values(value, doc, n_shards):
-                if shard not in marks:
-                    continue
-                kept = own[np.unpackbits(np.frombuffer(marks[shard], np.uint8), count=len(own)).astype(bool)]
-                at = np.searchsorted(kept, value)
-                at = np.flatnonzero(kept[np.minimum(at, len(kept) - 1)] == value)
+            kept = np.sort(np.concatenate([
+                own[np.unpackbits(np.frombuffer(marks[shard], np.uint8), count=len(own)).astype(bool)]
+                for shard, own, _ in shard_values(value, doc, n_shards) if shard in marks]))
+            at = np.flatnonzero(kept[np.minimum(np.searchsorted(kept, value), len(kept) - 1)] == value)
+            own_shard = (value[at] % np.uint64(n_shards)).astype(np.int64)
+            by_own = np.argsort(own_shard, kind="stable")
+            every, own_shard = at[by_own], own_shard[by_own]
+            bounds = np.flatnonzero(np.diff(own_shard, prepend=-1, append=n_shards))
+            for low, high in zip(bounds, bounds[1:]):
+                shard, at = int(own_shard[low]), every[low:high]
                 index: dict[bytes, int] = {}
                 place = [index.setdefault(batch.raw[a:a + w + WINDOW - 1], len(index)) for a, w in zip(start[at].tolist(), windows[at].tolist())]
                 owner = np.full(len(index), LAST_ID, np.int64)
