@@ -6,6 +6,11 @@ occurs in a single document cannot match across documents; segments of all other
 shard of their value, where an induced sort (``induced_sort``) orders their suffixes with common-prefix
 lengths. Suffixes that agree in 50 bytes are one class, and its smallest document keeps the string.
 
+A passage that many documents share has other bytes around it in each of them, so its first and last
+values can have as many distinct segments as there are documents. Values with more bytes of distinct
+segments than a task should get are split: their windows go by the hash of the whole window instead.
+Equal windows still meet, and windows of one document only are dropped like other values.
+
 Documents are written once, where they are read, in batch files in the shared folder. Between the
 steps only value lists, bitmaps, distinct segments of a batch and verdicts move; a passage that many
 documents share is sent once per batch, and its verdict comes back once per batch. No text is shuffled.
@@ -31,6 +36,8 @@ WINDOW = 50
 GRAM = 16
 BATCH_BYTES = 4 << 20    # text of a batch file
 SHARD_BYTES = 4 << 20    # text per shard of values (its repeated segments are a part of that)
+HOT_SHARE = 4            # a value with more than a shard's bytes through this, of distinct segments, is split
+RUN = 64                 # windows of a segment of a split value (only equal windows in a row share one)
 LAST_ID = (1 << 63) - 1  # documents without id come last
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -54,6 +61,17 @@ def least_grams(text: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.
     return hashed >> np.uint64(16)
 
 
+def window_hashes(text: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """48-bit hashes of the windows that start at ``pos``."""
+    hashed = np.zeros(len(pos), np.uint64)
+    for k in range(WINDOW):
+        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + _TABLE[text[pos + k]]
+    hashed ^= hashed >> np.uint64(29)
+    hashed *= np.uint64(0xBF58476D1CE4E5B9)
+    hashed ^= hashed >> np.uint64(32)
+    return hashed >> np.uint64(16)
+
+
 class Batch:
     """Documents of a batch file: their rows, ids and texts, and the segments of their windows."""
 
@@ -79,6 +97,39 @@ class Batch:
         at = np.flatnonzero(fresh)
         return value[at], doc[at], pos[at], np.diff(np.append(at, len(value)))
 
+    def distinct_bytes(self, value: np.ndarray, start: np.ndarray, windows: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Values whose distinct segments have more than ``least`` bytes, ascending, and these bytes."""
+        order = np.argsort(value, kind="stable")
+        v = value[order]
+        head = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
+        ends = np.append(head[1:], len(v))
+        found, sizes = [], []
+        for i in np.flatnonzero(np.add.reduceat(windows[order] + WINDOW - 1, head) > least) if len(v) else ():
+            own = order[head[i]:ends[i]]
+            size = sum(map(len, {self.raw[a:a + w + WINDOW - 1] for a, w in zip(start[own].tolist(), windows[own].tolist())}))
+            if size > least:
+                found.append(v[head[i]])
+                sizes.append(size)
+        return np.array(found, np.uint64), np.array(sizes, np.int64)
+
+    def split(self, doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Segments cut into runs of equal windows: (window's hash, document, start, windows) of each run."""
+        text, parts = np.frombuffer(self.raw, np.uint8), []
+        bounds = np.flatnonzero(np.diff(np.cumsum(windows) >> 18, prepend=-1, append=1 << 62))
+        for low, high in zip(bounds, bounds[1:]):
+            w = windows[low:high]
+            owner = np.repeat(np.arange(low, high), w)
+            n = np.arange(len(owner))
+            pos = n - np.repeat(np.cumsum(w) - w, w) + start[owner]
+            hashed = window_hashes(text, pos)
+            fresh = np.append(True, (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1]))
+            fresh |= (n - np.maximum.accumulate(np.where(fresh, n, 0))) % RUN == 0
+            at = np.flatnonzero(fresh)
+            parts.append((hashed[at], doc[owner[at]], pos[at], np.diff(np.append(at, len(n)))))
+        if not parts:
+            return np.zeros(0, np.uint64), doc[:0], start[:0], windows[:0]
+        return tuple(np.concatenate(column) for column in zip(*parts))
+
 
 def shard_values(value: np.ndarray, doc: np.ndarray, n_shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, ascending distinct values, whether more than one document of the batch has them)."""
@@ -168,7 +219,7 @@ def _bytes_table(data: bytes) -> pa.Table:
 
 PART = "batch string, kind int, shard int, body binary"
 _PART = pa.schema([("batch", pa.string()), ("kind", pa.int32()), ("shard", pa.int32()), ("body", pa.binary())])
-FILE, BITMAP, PLACES, VERDICT, SEGMENTS, VALUES = range(6)
+FILE, BITMAP, PLACES, VERDICT, SEGMENTS, VALUES, HEAT, HOT = range(8)
 
 
 def _part(batch: str, kind: int, shard: int, body: bytes) -> pa.RecordBatch:
@@ -229,23 +280,42 @@ def _open(folder: str, name: str, text_at: int, id_at: int) -> Batch:
         return Batch(_bytes_table(f.read()), text_at, id_at)
 
 
-def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFrame, int]:
-    """Parts (batch, kind, shard, body) of what each batch file needs to be cut, and the number of batch files."""
+def among(value: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of ``value`` are in ``some`` (ascending)."""
+    if not len(some):
+        return np.zeros(len(value), bool)
+    return some[np.minimum(np.searchsorted(some, value), len(some) - 1)] == value
+
+
+def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Write the batch files and, per batch and shard, the segments of values that several documents have.
+
+    Returns the batch files and the segments, both as parts, and the numbers of tasks and of shards. Shards
+    from the number of shards on are those of split values.
+    """
     text_at, id_at = docs.columns.index("text"), docs.columns.index("doc_id")
     files = _write_batches(docs, folder)
     n_files, total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     n_shards = max(1, math.ceil(total / SHARD_BYTES))
     tasks = max(1, n_files)
+    most = max(1, SHARD_BYTES // HOT_SHARE)
+    least, unseen = most >> 11, most >> 16  # a batch reports more than ``least`` bytes of a value; less counts as ``unseen``
     listed = files.select("batch", F.lit(FILE).alias("kind"), F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("body"))
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _ in _grouped(batches, "batch"):
-            value, doc, _, _ = _open(folder, name, text_at, id_at).segments()
+            batch = _open(folder, name, text_at, id_at)
+            value, doc, start, windows = batch.segments()
             for shard, own, many in shard_values(value, doc, n_shards):
                 yield _part(name, VALUES, shard, np.packbits(many).tobytes() + cut_values(own))
+            heavy, size = batch.distinct_bytes(value, start, windows, least)
+            shard = (heavy % np.uint64(n_shards)).astype(np.int64)
+            for s in np.unique(shard).tolist():
+                yield _part(name, HEAT, s, np.stack([heavy[shard == s].astype("<i8"), size[shard == s]]).tobytes())
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in _grouped(batches, "shard"):
+        for shard, parts in _grouped(batches, "shard"):
+            rows = [row for row in parts if row["kind"] == VALUES]
             counts, lists, flags = [], [], []
             for row in rows:
                 n = (8 * len(row["body"])) // 49 - 1  # n values take 6 n bytes and their flags n / 8
@@ -268,6 +338,30 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                 if mark[at:at + n].any():
                     yield _part(row["batch"], BITMAP, shard, np.packbits(mark[at:at + n]).tobytes())
                 at += n
+            if shard >= n_shards:
+                continue
+            head = np.flatnonzero(np.append(True, ~same))
+            distinct, size = v[head], unseen * np.diff(np.append(head, len(v)))
+            for row in parts:
+                if row["kind"] == HEAT:
+                    heavy, known = np.frombuffer(row["body"], "<i8").reshape(2, -1)
+                    size[np.searchsorted(distinct, heavy.astype(np.uint64))] += known - unseen
+            if (size > most).any():
+                yield _part("", HOT, shard, cut_values(distinct[size > most]))
+
+    def split_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, _ in _grouped(batches, "batch"):
+            batch = _open(folder, name, text_at, id_at)
+            value, doc, start, windows = batch.segments()
+            at = among(value, hot)
+            value, doc, _, _ = batch.split(doc[at], start[at], windows[at])
+            for shard, own, many in shard_values(value, doc, n_shards):
+                yield _part(name, VALUES, n_shards + shard, np.packbits(many).tobytes() + cut_values(own))
+
+    def kept_values(value: np.ndarray, doc: np.ndarray, marks: dict[int, bytes], first: int) -> np.ndarray:
+        kept = [own[np.unpackbits(np.frombuffer(marks[first + shard], np.uint8), count=len(own)).astype(bool)]
+                for shard, own, _ in shard_values(value, doc, n_shards) if first + shard in marks]
+        return np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in _grouped(batches, "batch"):
@@ -276,14 +370,22 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                 continue
             batch = _open(folder, name, text_at, id_at)
             value, doc, start, windows = batch.segments()
-            kept = np.sort(np.concatenate([
-                own[np.unpackbits(np.frombuffer(marks[shard], np.uint8), count=len(own)).astype(bool)]
-                for shard, own, _ in shard_values(value, doc, n_shards) if shard in marks]))
-            at = np.flatnonzero(kept[np.minimum(np.searchsorted(kept, value), len(kept) - 1)] == value)
-            own_shard = (value[at] % np.uint64(n_shards)).astype(np.int64)
+            at = among(value, kept_values(value, doc, marks, 0))
+            own_shard = (value % np.uint64(n_shards)).astype(np.int64)
+            if len(hot):
+                parted = among(value, hot)
+                at &= ~parted
+                finer = batch.split(doc[parted], start[parted], windows[parted])
+                taken = among(finer[0], kept_values(finer[0], finer[1], marks, n_shards))
+                own_shard = np.append(own_shard[at], (finer[0][taken] % np.uint64(n_shards)).astype(np.int64) + n_shards)
+                doc, start, windows = (np.append(a[at], b[taken]) for a, b in zip((doc, start, windows), finer[1:]))
+                at = np.arange(len(doc))
+            else:
+                at = np.flatnonzero(at)
+                own_shard = own_shard[at]
             by_own = np.argsort(own_shard, kind="stable")
             every, own_shard = at[by_own], own_shard[by_own]
-            bounds = np.flatnonzero(np.diff(own_shard, prepend=-1, append=n_shards))
+            bounds = np.flatnonzero(np.diff(own_shard, prepend=-1, append=2 * n_shards))
             for low, high in zip(bounds, bounds[1:]):
                 shard, at = int(own_shard[low]), every[low:high]
                 index: dict[bytes, int] = {}
@@ -295,6 +397,29 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                     "doc": doc[at].astype(np.int32), "start": start[at].astype(np.int32), "windows": windows[at].astype(np.int32),
                     "segment": np.array(place, np.int32)})))
 
+    lists = by_batch(listed, tasks).mapInArrow(values, PART)
+    bitmaps = write_stage(by_shard(lists, n_shards).mapInArrow(shared, PART), "bitmaps")
+    split = [read_values(row["body"]) for row in bitmaps.where(F.col("kind") == HOT).select("body").collect()]
+    hot = np.sort(np.concatenate(split)) if split else np.zeros(0, np.uint64)
+    bitmaps = bitmaps.where(F.col("kind") == BITMAP)
+    if len(hot):
+        finer = by_batch(listed, tasks).mapInArrow(split_values, PART)
+        bitmaps = bitmaps.unionByName(by_shard(finer, n_shards).mapInArrow(shared, PART))
+    return listed, write_stage(by_batch(bitmaps.unionByName(listed), tasks).mapInArrow(segments, PART), "segments"), tasks, n_shards
+
+
+def by_batch(df: DataFrame, tasks: int) -> DataFrame:
+    return df.repartition(tasks, "batch").sortWithinPartitions("batch", "kind", "shard")
+
+
+def by_shard(df: DataFrame, n_shards: int) -> DataFrame:
+    return df.repartition(n_shards, "shard").sortWithinPartitions("shard", "batch")
+
+
+def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFrame, int]:
+    """Parts (batch, kind, shard, body) of what each batch file needs to be cut, and the number of batch files."""
+    listed, made, tasks, n_shards = shared_segments(docs, folder)
+
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _grouped(batches, "shard"):
             index: dict[bytes, int] = {}
@@ -320,16 +445,7 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                 yield _part(name, VERDICT, shard, _table_bytes(pa.table({"keeper": keeper})) if not cut else _table_bytes(
                     pa.table({"keeper": keeper}).replace_schema_metadata({"runs": np.array(cut, "<i4").tobytes().hex()})))
 
-    def by_batch(df: DataFrame) -> DataFrame:
-        return df.repartition(tasks, "batch").sortWithinPartitions("batch", "kind", "shard")
-
-    def by_shard(df: DataFrame) -> DataFrame:
-        return df.repartition(n_shards, "shard").sortWithinPartitions("shard", "batch")
-
-    lists = by_batch(listed).mapInArrow(values, PART)
-    bitmaps = by_shard(lists).mapInArrow(shared, PART)
-    made = write_stage(by_batch(bitmaps.unionByName(listed)).mapInArrow(segments, PART), "segments")
-    ruled = by_shard(made.where(F.col("kind") == SEGMENTS)).mapInArrow(judged, PART)
+    ruled = by_shard(made.where(F.col("kind") == SEGMENTS), n_shards).mapInArrow(judged, PART)
     return listed.unionByName(made.where(F.col("kind") == PLACES)).unionByName(ruled), tasks
 
 
@@ -377,7 +493,7 @@ def cut_documents(
             batch = _open(folder, name, text_at, id_at)
             yield finish(batch, removed_bytes(batch, rows))
 
-    return parts.repartition(tasks, "batch").sortWithinPartitions("batch", "kind", "shard").mapInArrow(apply, schema)
+    return by_batch(parts, tasks).mapInArrow(apply, schema)
 
 
 def _kept(batch: Batch, gone: np.ndarray) -> Iterator[tuple[bytes, np.ndarray]]:

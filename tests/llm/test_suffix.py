@@ -87,6 +87,24 @@ def test_removal_matches_brute_force(spark, monkeypatch, batch, memory):
     assert sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows)
 
 
+def test_hot_passage_is_split(spark, monkeypatch, tmp_path):
+    """The ends of a passage in all documents give one distinct segment each; no shard may get them all."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 16_384)
+    rng = random.Random(5)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    rows = [(i, f"{own(60)}{PASSAGE}{own(60)}", "en", "a", 0) for i in range(400)]
+    rows += [(1_000 + i, own(rng.randrange(30)) + "=" * (60 + 5 * i), "en", "a", 0) for i in range(100)]
+    df = docs(spark, rows).repartition(3)
+    _, made, _, n_shards = suffix_dedup.shared_segments(df, f"file://{tmp_path}/files")
+    texts = {}
+    for row in made.where(f"kind = {suffix_dedup.SEGMENTS}").collect():
+        texts.setdefault(row.shard, set()).update(suffix_dedup._bytes_table(row.body).column("text").to_pylist())
+    assert n_shards > 4 and max(sum(map(len, t)) for t in texts.values()) < 16_384
+    got = suffix_dedup.removal_report(df).collect()
+    assert sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows)
+
+
 def test_texts_without_repeats(spark):
     df = docs(spark)
     cut = suffix_dedup.without_repeats(df)
