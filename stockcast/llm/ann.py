@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing and exact reranking.
 
-Vectors are scaled into the unit ball and lifted onto the sphere, where the largest inner product is
-the smallest distance. Each table hashes them by random projections cut into cells. A query visits its
-own bucket and then perturbed ones, in the order of their estimated success; the candidates of all
-tables are merged and ranked by their exact inner product. Equal vectors are one class: it is hashed
+Vectors are dealt into bands of norms within a factor of two. Each band is scaled into the unit ball by its
+own largest norm and lifted onto the sphere, where the largest inner product is the smallest distance;
+so a few long vectors do not push all others to the pole. Each table hashes them by random projections
+cut into cells. A query visits its own bucket and then perturbed ones of every band, in the order of their
+estimated success; the candidates of all tables and bands are merged and ranked by their exact inner
+product. Queries that found too few probe on, and in the end meet all vectors. Equal vectors are one class: it is hashed
 once and stands for its members, of which only the smallest ids can rank. Large buckets are cut into
 chunks, so each pair of query and bucket is compared in blocks of bounded size and nothing is left out.
 """
@@ -89,21 +91,36 @@ def _matrix(raw: list[bytes], code: str) -> np.ndarray:
     return np.frombuffer(b"".join(raw), code).reshape(len(raw), -1).astype(np.float64) if raw else np.zeros((0, 0))
 
 
-def _hashed(
-    rows: DataFrame, code: str, largest: float, probes: int, tables: int, hashes: int, cell: float, seed: int
-) -> DataFrame:
-    """Rows (cls, dim, vec) as (dim, tab, bucket, cls, vec): one per table, or one per table and probe."""
-    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_bands(classes: DataFrame) -> DataFrame:
+    """Adds ``band``, from the longest vectors of a dimension down, and ``scale``, the largest norm of the band."""
+    norm = F.greatest("norm", F.lit(1e-300))
+    longest = pinned(classes.groupBy("dim").agg(F.max(norm).alias("longest")), "ann-longest")[0]
+    banded = classes.join(longest, "dim").withColumn("band", F.floor(F.log2(F.col("longest") / norm)).cast("int")).drop("longest")
+    scales = pinned(banded.groupBy("dim", "band").agg(F.max(norm).alias("scale")), "ann-bands")[0]
+    return banded.join(scales, ["dim", "band"])
+
+
+def _hashed(rows: DataFrame, code: str, probes: int, tables: int, hashes: int, cell: float, seed: int) -> DataFrame:
+    """Rows (cls, dim, vec) as (dim, tab, bucket, cls, vec), one per table and probe; without probes rows (cls, dim,
+    vec, band, scale) as (dim, band, tab, bucket, cls, vec), one per table."""
+    kept = ["dim"] if probes else ["dim", "band"]
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_once = max(1, (1 << 20) // max(1, probes))
         for batch in batches:
+            yield from (batch.slice(low, at_once) for low in range(0, batch.num_rows, at_once))
+
+    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 x = _matrix(part.column("vec").to_pylist(), code)
-                norm = np.sqrt((x * x).sum(axis=1))
                 if probes:
+                    norm = np.sqrt((x * x).sum(axis=1))
                     lifted = np.concatenate([x / norm[:, None], np.zeros((len(x), 1))], axis=1)
                 else:
-                    x = x / largest
+                    x = x / part.column("scale").to_numpy()[:, None]
                     lifted = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]], axis=1)
                 for tab in range(tables):
                     a, b = _projection(tab, int(dim), hashes, cell, seed)
@@ -111,10 +128,11 @@ def _hashed(
                     which = np.repeat(np.arange(len(x)), keys.shape[1])
                     taken = part.take(pa.array(which))
                     yield pa.RecordBatch.from_arrays(
-                        [taken.column("dim"), pa.array(np.full(len(which), tab, np.int32)), pa.array(keys.ravel()),
-                         taken.column("cls"), taken.column("vec")], ["dim", "tab", "bucket", "cls", "vec"])
+                        [*[taken.column(c) for c in kept], pa.array(np.full(len(which), tab, np.int32)), pa.array(keys.ravel()),
+                         taken.column("cls"), taken.column("vec")], [*kept, "tab", "bucket", "cls", "vec"])
 
-    return rows.select("cls", "dim", "vec").mapInArrow(hash_rows, "dim int, tab int, bucket long, cls long, vec binary")
+    rows = rows.select("cls", "vec", *kept, *([] if probes else ["scale"]))
+    return rows.mapInArrow(hash_rows, f"{', '.join(f'{c} int' for c in kept)}, tab int, bucket long, cls long, vec binary")
 
 
 def _block_best(q: np.ndarray, q_cls: np.ndarray, x: np.ndarray, x_cls: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,23 +148,24 @@ def _block_best(q: np.ndarray, q_cls: np.ndarray, x: np.ndarray, x_cls: np.ndarr
 
 
 def _candidates(index: DataFrame, probes: DataFrame, code: str, k: int) -> DataFrame:
-    """Best candidates (query, cls, score) of every visit of a query to a chunk of a bucket."""
-    keys = ["dim", "tab", "bucket"]
+    """Best candidates (query, cls, score) of every visit of a query to a chunk of a bucket, in every band that has it."""
+    asked_at = ["dim", "tab", "bucket"]
+    keys = ["band", *asked_at]
 
-    def ways(rows: DataFrame, name: str) -> DataFrame:
+    def ways(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
         large = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name)).where(F.col(name) > 1)
         return pinned(large, f"ann-{name}")[0]
 
-    split, asked = ways(index, "x_ways"), ways(probes, "q_ways")
+    split, asked = ways(index, keys, "x_ways"), ways(probes, asked_at, "q_ways")
 
     def dealt(rows: DataFrame, side: int, own: str, other: str) -> DataFrame:
-        rows = rows.join(split, keys, "left").join(asked, keys, "left").na.fill(1, ["x_ways", "q_ways"])
+        rows = rows.join(split, keys, "left").join(asked, asked_at, "left").na.fill(1, ["x_ways", "q_ways"])
         mine = F.pmod(F.xxhash64("cls"), F.col(own)).cast("int")
         return rows.select(*keys, mine.alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other),
                            F.lit(side).alias("side"), "cls", "vec")
 
     parts = [*keys, "x_ways", "q_ways"]
-    visits = probes.join(index.select(*keys).distinct(), keys, "left_semi")
+    visits = probes.join(index.select(*keys).distinct(), asked_at)
     met = dealt(index, 0, "x_ways", "q_ways").unionByName(dealt(visits, 1, "q_ways", "x_ways"))
     met = met.repartition(*parts).sortWithinPartitions(*parts, "side")
 
@@ -181,7 +200,7 @@ def nearest(
     ``vectors`` and ``queries`` have vec_id and embedding; a query is no candidate of its own. Null ids,
     and vectors that are null, empty, zero or hold a null or non-finite component, take no part; vectors
     of different lengths never meet. Rows that repeat an id and its vector count once. Ties go to the
-    smaller vec_id.
+    smaller vec_id. A query gets ``k`` if there are as many.
     """
     value = F.col("embedding").cast("array<double>")
     sound = F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -198,20 +217,40 @@ def nearest(
     packed = _packed(classes.select("cls", F.size("v").alias("dim"), "v", "members"), code)
     classes = write_stage(packed, "ann-classes")
     asked = write_stage(_packed(usable(queries).select(F.col("id").alias("cls"), F.size("v").alias("dim"), "v"), code), "ann-queries")
-    largest = classes.agg(F.max("norm")).first()[0] or 1.0
     # queries with one vector ask once, under the smallest of their ids
     askers = asked.groupBy("vec").agg(F.min("cls").alias("cls"), F.first("dim").alias("dim"))
     askers = write_stage(askers, "ann-askers")
-    index = write_stage(_hashed(classes, code, largest, 0, tables, hashes, cell, seed), "ann-index")
-    visits = write_stage(_hashed(askers, code, largest, probes, tables, hashes, cell, seed), "ann-probes")
-    pairs = _candidates(index, visits, code, k + 1).groupBy("query", "cls").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "cls")
-    top = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
-    rows = top.join(classes.select("cls", "members"), "cls").select("query", "score", F.explode("members").alias("vec_id"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    rows = rows.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
-    lists = rows.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found"))
-    lists = write_stage(lists, "ann-lists")
+    index = write_stage(_hashed(_in_bands(classes), code, 0, tables, hashes, cell, seed), "ann-index")
+
+    def found(index: DataFrame, visits: DataFrame) -> DataFrame:
+        pairs = _candidates(index, visits, code, k + 1).groupBy("query", "cls").agg(F.max("score").alias("score"))
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "cls")
+        top = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
+        rows = top.join(classes.select("cls", "members"), "cls").select("query", "score", F.explode("members").alias("vec_id"))
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        rows = rows.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+        lists = rows.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found"))
+        return write_stage(lists, "ann-lists")
+
+    def visits(rows: DataFrame, probes: int) -> DataFrame:
+        return write_stage(_hashed(rows, code, probes, tables, hashes, cell, seed), "ann-probes")
+
+    lists = found(index, visits(askers, probes))
+    there = classes.groupBy("dim").agg(F.sum(F.size("members")).alias("n"))
+    there = pinned(there.select("dim", F.least("n", F.lit(k + 1)).alias("n")), "ann-dims")[0]
+    while True:
+        counted = lists.select(F.col("query").alias("cls"), F.size("found").alias("n_found"))
+        short = askers.join(there, "dim").join(counted, "cls", "left").where(F.coalesce("n_found", F.lit(0)) < F.col("n"))
+        short = write_stage(short.select("cls", "dim", "vec"), "ann-short")
+        if short.isEmpty():
+            break
+        probes *= 4
+        if probes < 4 * 3 ** hashes:  # there are 3 ** hashes buckets at most to probe
+            more = found(index, visits(short, probes))
+        else:
+            one = {"tab": F.lit(0), "bucket": F.lit(0).cast("long")}
+            more = found(classes.select("dim", F.lit(0).alias("band"), "cls", "vec").withColumns(one), short.withColumns(one))
+        lists = lists.join(short.select(F.col("cls").alias("query")), "query", "left_anti").unionByName(more)
     named = asked.select(F.col("cls").alias("query_id"), "vec").join(
         askers.select("vec", F.col("cls").alias("query")), "vec").join(lists, "query")
     own = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))

@@ -52,6 +52,33 @@ def test_recall_of_the_defaults(spark):
     assert ann.recall(got, spark.createDataFrame(want, "query_id long, vec_id long")) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["one long", "spread"])
+def test_recall_with_unequal_norms(spark, norms):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((1_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= np.exp(rng.standard_normal(1_000))[:, None] if norms == "spread" else np.append(1_000, np.ones(999))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x, 1)]
+    df = vectors(spark, rows)
+    got = ann.nearest(df, df.where("vec_id % 20 = 0"))
+    assert got.groupBy("query_id").count().where("count = 20").count() == 50
+    want = [(q, j) for q, near in brute_nearest(rows, set(range(20, 1_001, 20)), 20).items() for j, _ in near]
+    share = ann.recall(got, spark.createDataFrame(want, "query_id long, vec_id long"))
+    print(f"recall, {norms}: {share:.3f}")
+    assert share >= 0.9
+
+
+def test_queries_with_few_candidates_probe_on(spark):
+    """Narrow cells: nearly every vector is alone in its bucket, and one probe finds none of the others."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((60, 8)))] + [(100, [1.0, 2.0]), (101, [2.0, 1.0])]
+    df = vectors(spark, rows)
+    got = ann.nearest(df, df.where("vec_id % 20 = 0"), k=5, tables=1, hashes=3, cell=0.05, probes=1).collect()
+    want = brute_nearest(rows[:60], {0, 20, 40}, 5) | brute_nearest(rows[60:], {100}, 5)
+    assert {q: sorted((r["rank"], r.vec_id) for r in got if r.query_id == q) for q in want} == {
+        q: [(n, j) for n, (j, _) in enumerate(near, 1)] for q, near in want.items()}
+
+
 def test_unsound_vectors_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.1]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
             (7, [None, 1.0]), (None, [1.0, 1.0]), (20, [1.0, 2.0, 3.0])]
