@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.llm import ann, mixing, packing, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
+from stockcast.llm import ann, line_dedup, mixing, packing, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
 from stockcast.session import shared_dir
 from stockcast.sources.panel import table
 
@@ -81,10 +81,16 @@ def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op13_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of all ``documents`` once lines that an earlier document has are cut out."""
+    return line_dedup.line_report(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = (
     op1_warc_capture_index, op2_two_tier_token_counts, op3_boosted_toxicity, op4_interleaved_shards,
     op5_multiprobe_neighbours, op6_mcd_outliers, op7_induced_suffix_dedup, op8_binary_pieces, op9_simhash_groups,
-    op10_pivotal_mixture,
+    op10_pivotal_mixture, op13_bloom_line_dedup,
 )
 
 
@@ -110,6 +116,18 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
 FROM p
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, MIN(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.r, k.doc_id, k.line, k.i, COALESCE(f.first < k.doc_id, FALSE) AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (*QUERIES, pipeline)}
@@ -117,4 +135,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the result; the others are tested against brute force in tests/llm."""
-    return {"op1_warc_capture_index": OP1_SQL}
+    return {"op1_warc_capture_index": OP1_SQL, "op13_bloom_line_dedup": OP13_SQL}
