@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.llm import ann, line_dedup, mixing, packing, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
+from stockcast.llm import ann, line_dedup, mixing, packing, periodic_runs, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
 from stockcast.session import shared_dir
 from stockcast.sources.panel import table
 
@@ -81,6 +81,34 @@ def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``documents``; those with crc32(doc_id) divisible by 10 repeat their words from one place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    n = F.size("__words")
+    chosen = docs.select("doc_id", "text", g.alias("__g"), F.when(h % 10 == 0, words).alias("__words"))
+    chosen = chosen.withColumn("__a", F.expr("CAST(__g % nullif(size(__words), 0) AS INT)"))
+    chosen = chosen.withColumn("__p", F.expr("CAST(1 + floor((size(__words) - __a) / (3 + __g % 8)) AS INT)"))
+    repeated = F.expr(
+        "concat(slice(__words, 1, __a), transform(sequence(0, size(__words) - __a - 1), i -> get(__words, __a + i % __p)))")
+    return chosen.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_kruskal_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all ``documents``, a tenth of which is made periodic first."""
+    found = periodic_runs.find_runs(made_periodic(table(spark, folder, "documents")))
+    # the greatest exact exponent: fractions compared by their cross products
+    best = F.expr("""aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>), (b, r) ->
+        CASE WHEN b IS NULL OR r.length * b.period > b.length * r.period THEN r ELSE b END)""")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("__best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "__best.start", "__best.length", "__best.period",
+        F.expr("__best.length * 1000 DIV __best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of all ``documents`` once lines that an earlier document has are cut out."""
     return line_dedup.line_report(table(spark, folder, "documents")).select(
@@ -90,7 +118,7 @@ def op13_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = (
     op1_warc_capture_index, op2_two_tier_token_counts, op3_boosted_toxicity, op4_interleaved_shards,
     op5_multiprobe_neighbours, op6_mcd_outliers, op7_induced_suffix_dedup, op8_binary_pieces, op9_simhash_groups,
-    op10_pivotal_mixture, op13_bloom_line_dedup,
+    op10_pivotal_mixture, op12_kruskal_runs, op13_bloom_line_dedup,
 )
 
 
