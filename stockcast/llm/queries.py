@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.llm import ann, line_dedup, mixing, packing, periodic_runs, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc
+from stockcast.llm import ann, line_dedup, mixing, packing, periodic_runs, quality, sharding, simhash, suffix_dedup, tokens, toxicity, warc, whitening
 from stockcast.session import shared_dir
 from stockcast.sources.panel import table
 
@@ -81,6 +81,15 @@ def op10_pivotal_mixture(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All ``embeddings`` on the first eight components of their exact integer covariance."""
+    whitened = whitening.whiten(table(spark, folder, "embeddings"))
+    return whitened.select(
+        "vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("__at", "__of")
+    ).select(
+        "vec_id", (F.col("__at") + 1).alias("component"), "n", "deviation", "__of.whitened", "__of.explained", "identity_error")
+
+
 def made_periodic(docs: DataFrame) -> DataFrame:
     """doc_id and text of ``documents``; those with crc32(doc_id) divisible by 10 repeat their words from one place on."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -118,7 +127,7 @@ def op13_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = (
     op1_warc_capture_index, op2_two_tier_token_counts, op3_boosted_toxicity, op4_interleaved_shards,
     op5_multiprobe_neighbours, op6_mcd_outliers, op7_induced_suffix_dedup, op8_binary_pieces, op9_simhash_groups,
-    op10_pivotal_mixture, op12_kruskal_runs, op13_bloom_line_dedup,
+    op10_pivotal_mixture, op11_bit_sliced_whitening, op12_kruskal_runs, op13_bloom_line_dedup,
 )
 
 

@@ -15,12 +15,12 @@ from stockcast.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS = {"op1": "pages", "op2": "documents", "op3": "documents", "op4": "documents", "op6": "documents", "op7": "documents",
-        "op9": "documents", "op10": "documents"}
+        "op9": "documents", "op10": "documents", "op12": "documents", "op13": "documents"}
 
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in queries.registered()}
-    assert names == {f"op{n}" for n in range(1, 11)} | {"pipeline"} and set(queries.registered()) <= set(entry.queries())
+    assert names == {f"op{n}" for n in range(1, 14)} | {"pipeline"} and set(queries.registered()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", [n for n in queries.registered() if n.split("_")[0] in ROWS])
@@ -29,12 +29,14 @@ def test_one_row_per_input_row(spark, name):
     assert got.count() == spark.read.parquet(f"{FOLDER}/{ROWS[name.split('_')[0]]}.parquet").count()
 
 
-def test_op1_against_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
-    cur = con.execute(entry.oracle_sql()["op1_warc_capture_index"])
+    for t in ("pages", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    cur = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cur.description]
-    df = entry.queries()["op1_warc_capture_index"](spark, FOLDER)
+    df = entry.queries()[name](spark, FOLDER)
     assert canonical(df.collect(), df.columns) == canonical(cur.fetchall(), names)
 
 
