@@ -76,7 +76,7 @@ def suspected(block: np.ndarray, word: np.ndarray, again: np.ndarray, first_bloc
     return (twice[at] & word) == word
 
 
-def _write_batches(docs: DataFrame, folder: str) -> DataFrame:
+def _write_batches(docs: DataFrame, folder: str, batch_bytes: int) -> DataFrame:
     """Write the rows of ``docs`` to batch files; (batch, n_lines) of each, written as a table."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
@@ -96,12 +96,12 @@ def _write_batches(docs: DataFrame, folder: str) -> DataFrame:
             breaks = pc.fill_null(pc.count_substring(text, "\n"), 0).to_numpy(zero_copy_only=False)
             at = 0
             while at < batch.num_rows:
-                fits = int(np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES - size)) + 1
+                fits = int(np.searchsorted(np.cumsum(sizes[at:]), batch_bytes - size)) + 1
                 held.append(batch.slice(at, fits))
                 size += int(sizes[at:at + fits].sum())
                 lines += int(breaks[at:at + fits].sum()) + len(sizes[at:at + fits])
                 at += fits
-                if size >= BATCH_BYTES:
+                if size >= batch_bytes:
                     yield flush()
                     held, size, lines = [], 0, 0
         if held:
@@ -205,10 +205,10 @@ def repeated_keys(files: DataFrame, folder: str, min_chars: int = MIN_CHARS, sha
 
 
 def _cut(docs: DataFrame, finish: Callable[[pa.RecordBatch, list[bytes], list[int], list[int]], pa.RecordBatch], schema: object,
-         min_chars: int, shard_keys: int) -> DataFrame:
+         min_chars: int, shard_keys: int, batch_bytes: int) -> DataFrame:
     """Apply ``finish`` to rows, what is left of their texts, and their numbers of lines and of dropped lines."""
     folder = f"{shared_dir(docs.sparkSession).rstrip('/')}/lines-{uuid.uuid4().hex}"
-    files = _write_batches(docs, folder)
+    files = _write_batches(docs, folder, batch_bytes)
     tasks = max(1, files.count())
     found = repeated_keys(files, folder, min_chars, shard_keys)
     listed = files.select("batch", F.lit(None).cast("binary").alias("key"), F.lit(None).cast("long").alias("first"))
@@ -232,7 +232,7 @@ def _cut(docs: DataFrame, finish: Callable[[pa.RecordBatch, list[bytes], list[in
     return found.unionByName(listed).repartition(tasks, "batch").sortWithinPartitions("batch").mapInArrow(apply, schema)
 
 
-def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_lines (before), n_dropped and the text that is left of every row.
 
     A line goes if its key has ``min_chars`` code points or more and a document with a smaller doc_id holds it;
@@ -246,10 +246,10 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = S
             "text": pa.array(texts, pa.binary()).cast(pa.string())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").cast("binary").alias("__bytes"))
-    return _cut(rows, report, "doc_id long, n_lines long, n_dropped long, text string", min_chars, shard_keys)
+    return _cut(rows, report, "doc_id long, n_lines long, n_dropped long, text string", min_chars, shard_keys, batch_bytes)
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, with repeated lines cut from ``text``; see ``line_report``. Null texts stay null."""
     names = docs.columns
     rows = docs.select(
@@ -261,4 +261,4 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys:
         left = pa.array([t if k else None for t, k in zip(texts, known)], pa.binary()).cast(pa.string())
         return pa.RecordBatch.from_arrays([left if c == "text" else part.column(f"c{i}") for i, c in enumerate(names)], names)
 
-    return _cut(rows, rewrite, docs.schema, min_chars, shard_keys)
+    return _cut(rows, rewrite, docs.schema, min_chars, shard_keys, batch_bytes)

@@ -44,15 +44,14 @@ def same(got, want):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
-def test_against_brute_force(spark, monkeypatch):
+def test_against_brute_force(spark):
     rows = line_rows() + odd_rows()
     want = brute(rows)
     assert sum(r[2] for r in want) > 300
     frame = docs(spark, rows).repartition(6)
     same(line_dedup.line_report(frame).collect(), want)
     same(line_dedup.line_report(frame, shard_keys=64).collect(), want)  # many shards of the filters
-    monkeypatch.setattr(line_dedup, "BATCH_BYTES", 500)                 # many batches
-    same(line_dedup.line_report(frame, shard_keys=256).collect(), want)
+    same(line_dedup.line_report(frame, shard_keys=256, batch_bytes=500).collect(), want)  # and many batches
     same(line_dedup.line_report(frame, min_chars=1).collect(), brute(rows, 1))
 
 
