@@ -182,18 +182,22 @@ def repeated_keys(files: DataFrame, folder: str, min_chars: int = MIN_CHARS, sha
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _grouped(batches):
             wanted = np.unique(rows.column("mark").to_numpy().view(np.uint64))
-            held: dict[bytes, list[int]] = {}
+            first: dict[bytes, int] = {}
+            last: dict[bytes, int] = {}
             for doc_id, text in _documents(_open(folder, number)):
-                keys = [k for k in set(line_keys(text, min_chars)) if k is not None]
-                hashed = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in keys), np.uint64, len(keys))
-                for i in np.flatnonzero(np.isin(marks(hashed, n_blocks), wanted)).tolist():
-                    ids = held.setdefault(keys[i], [doc_id, doc_id])
-                    ids[0], ids[1] = min(ids[0], doc_id), max(ids[1], doc_id)
+                for key in set(line_keys(text, min_chars)):
+                    if key is not None:
+                        if first.setdefault(key, doc_id) > doc_id:
+                            first[key] = doc_id
+                        if last.setdefault(key, doc_id) < doc_id:
+                            last[key] = doc_id
+            hashed = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in first), np.uint64, len(first))
+            held = [key for key, hit in zip(first, np.isin(marks(hashed, n_blocks), wanted).tolist()) if hit]
             for part in range(0, len(held), 10_000):
-                chosen = list(held.items())[part:part + 10_000]
+                chosen = held[part:part + 10_000]
                 yield pa.RecordBatch.from_pydict({
-                    "batch": pa.array(np.full(len(chosen), number, np.int64)), "key": pa.array([k for k, _ in chosen], pa.binary()),
-                    "first": pa.array([i[0] for _, i in chosen], pa.int64()), "last": pa.array([i[1] for _, i in chosen], pa.int64())})
+                    "batch": pa.array(np.full(len(chosen), number, np.int64)), "key": pa.array(chosen, pa.binary()),
+                    "first": pa.array([first[k] for k in chosen], pa.int64()), "last": pa.array([last[k] for k in chosen], pa.int64())})
 
     added = listed.repartition(tasks).mapInArrow(once_per_batch, "batch long, shard int, hash long, again boolean")
     covered = added.repartitionById(n_shards, F.col("shard")).mapInArrow(cover, "batch long, mark long")
