@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from stockcast.defaults import DATE, KEYS, LAGS, TARGET, WINDOWS
-from stockcast.functions.dates import order_position
-from stockcast.functions.values import finite_columns, type_of
-from stockcast.operators.hot_groups import MAX_GROUP_ROWS, chunk_columns, cut_points, row_hash
+from stockcast.functions.values import finite_columns
+from stockcast.operators.hot_groups import COPY, HALO, MAX_GROUP_ROWS, PIECE, hot_keys, range_pieces, row_hash
 
 TIE, SPREAD = "__tie", "__spread"
 
@@ -42,12 +42,11 @@ def add_history(
 ) -> DataFrame:
     """Add ``lag_k``, ``roll_mean_k`` and ``roll_std_k``; rolling values need all k rows before.
 
-    Ordinary series cost one shuffle on ``keys``. A series with more than ``max_series_rows``
-    rows is cut into chunks along its order, so no task sorts it whole; rows near a chunk's
-    start get their history from a second small window over the chunk edges. A single date that
-    fills chunks by itself is cut along the first of ``tie_cols`` (unless that is text), or along the
-    row hash without any. Sizes are counted
-    in ``sizes_from`` (default: the input), which needs ``keys`` and ``date_col`` only; pass
+    Ordinary series cost one shuffle on ``keys``. Series with more than ``max_series_rows``
+    rows go through a range exchange over keys, date, ``tie_cols`` of any type and row hash, in pieces of
+    about that many rows, so no task sorts one whole; each piece gets the last rows of the pieces before it.
+    Copies that agree in every column may be cut apart too. Sizes are counted
+    in ``sizes_from`` (default: the input), which needs ``keys`` only; pass
     ``max_series_rows=None`` when series are known to be short. A decimal target gives exact means.
     """
     keys, names = list(keys), history_names(lags, windows)
@@ -63,36 +62,14 @@ def add_history(
         name: F.when(~no_series, expr) for name, expr in _history(F.col(target_col), series, lags, windows).items()
     }
 
-    cuts = None
-    if max_series_rows is not None:
-        counted = sizes_from if sizes_from is not None else df
-        tie_col = tie_cols[0] if tie_cols and tie_cols[0] in counted.columns else None
-        cuts = cut_points(counted, keys, date_col, max_series_rows, tie_col)
-    if cuts is None:
+    hot = None if max_series_rows is None else hot_keys(df if sizes_from is None else sizes_from, keys, max_series_rows)
+    if hot is None:
         return rows.withColumns(exprs).select(*out_cols)
 
-    whole = rows.join(cuts, keys, "left_anti").withColumns(exprs)
-    position = order_position(F.col(date_col), type_of(df, date_col))
-    inner_order = None
-    if tie_cols:
-        kind = type_of(df, tie_cols[0])
-        inner_order = F.lit(0).cast("bigint") if isinstance(kind, T.StringType) else order_position(F.col(tie_cols[0]), kind)
-    chunk = ["__part", "__slice"]
-    piece = Window.partitionBy(*keys, *chunk)
-    in_order = piece.orderBy(*order)
-    cut = (
-        rows.join(cuts, keys)
-        .select(*rows.columns, *chunk_columns(position, None if tie_cols else F.col(TIE), inner_order))
-        .withColumn("__nr", F.row_number().over(in_order))
-    )
-    inner = (
-        cut.withColumns(_history(F.col(target_col), in_order, lags, windows))
-        .where(F.col("__nr") > depth)
-    )
-    edge = (
-        cut.withColumn("__left", F.count(F.lit(1)).over(piece) - F.col("__nr"))
-        .where((F.col("__nr") <= depth) | (F.col("__left") < depth))
-        .withColumns(exprs)
-        .where(F.col("__nr") <= depth)
-    )
-    return whole.select(*out_cols).unionByName(inner.select(*out_cols)).unionByName(edge.select(*out_cols))
+    hot_series, n_hot = hot
+    whole = rows.join(hot_series, keys, "left_anti").withColumns(exprs)
+    pieces = range_pieces(
+        rows.join(hot_series, keys, "left_semi"), keys, order, depth, math.ceil(n_hot / max_series_rows) + 1, [target_col])
+    piece = Window.partitionBy(PIECE, *keys).orderBy(*order, COPY)
+    cut = pieces.withColumns(_history(F.col(target_col), piece, lags, windows)).where(~F.col(HALO))
+    return whole.select(*out_cols).unionByName(cut.select(*out_cols))

@@ -1,22 +1,20 @@
-"""Groups that may hold a large share of all rows: find them and cut them into ordered chunks.
+"""Groups that may hold a large share of all rows: find them and cut them into ordered pieces.
 
-Nothing is sampled away or capped: cut points only say which task handles a row, results are
-the same for any cut points.
+Nothing is sampled away or capped: pieces only say which task handles a row, results are
+the same for any pieces.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
-from stockcast.functions.dates import order_position
-from stockcast.functions.values import type_of
 from stockcast.session import write_stage
 
 MAX_GROUP_ROWS = 10_000_000  # a sorted group up to this size is one task's work
 MAX_LISTED = 100_000         # rows a driver-side list or a broadcast may hold
-CUTS, WAYS, TIES = "__cuts", "__ways", "__ties"
+PIECE, HALO, COPY = "__piece", "__halo", "__copy"
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_LISTED) -> bool:
@@ -41,59 +39,40 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, nested)])
 
 
-def cut_points(
-    df: DataFrame, keys: list[str], order_col: str, max_rows: int = MAX_GROUP_ROWS, tie_col: str | None = None
-) -> DataFrame | None:
-    """Cut points of every group with more than ``max_rows`` rows, or None without such groups.
+def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> tuple[DataFrame, int] | None:
+    """Keys of every group with more than ``max_rows`` rows, however many, and their rows altogether; None without any.
 
-    One row per hot group, however many there are: the keys, ascending order positions where chunks
-    start, for each position that alone fills several chunks the number of chunks, and for those the
-    positions of ``tie_col`` where they start. Evaluated once: a broadcast copy, or a written table
-    beyond the list bound.
+    Sizes are combined on the map side. The keys are a broadcast copy, or a written table beyond the list bound.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
-    largest = sizes.agg(F.max("__rows")).first()[0]
-    if largest is None:
-        return None
-    n_cuts = math.ceil(largest / max_rows)
-    shares, accuracy = [i / n_cuts for i in range(1, n_cuts)], max(10_000, 10 * n_cuts)
-    hot_keys, _ = pinned(sizes.drop("__rows"), "hot-keys")
-    position = order_position(F.col(order_col), type_of(df, order_col))
-    rows = df.join(hot_keys, keys, "left_semi")
-    cuts = (
-        rows.groupBy(*keys)
-        .agg(F.percentile_approx(position, shares, accuracy).alias(CUTS))
-        .withColumn(WAYS, F.expr(
-            f"map_from_entries(transform(filter(array_distinct({CUTS}), "
-            f"c -> size(filter({CUTS}, d -> d = c)) > 1), "
-            f"c -> struct(c, size(filter({CUTS}, d -> d = c)))))"))
-        .withColumn(CUTS, F.array_distinct(CUTS))
-    )
-    if tie_col is not None and not isinstance(type_of(df, tie_col), T.StringType):
-        cuts, _ = pinned(cuts, "hot-cuts", MAX_LISTED // n_cuts)
-        tie = order_position(F.col(tie_col), type_of(df, tie_col))
-        full = rows.join(cuts, keys).withColumn("__at", position).where(F.map_contains_key(WAYS, F.col("__at")))
-        inner = full.groupBy(*keys, "__at").agg(F.array_distinct(F.percentile_approx(tie, shares, accuracy)).alias("__c"))
-        inner = inner.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__at", "__c"))).alias(TIES))
-        cuts = cuts.join(inner, keys, "left")
-    else:
-        cuts = cuts.withColumn(TIES, F.lit(None).cast("map<bigint,array<bigint>>"))
-    return pinned(cuts, "hot-cuts", max(1, MAX_LISTED // n_cuts))[0]
-
-
-def chunk_columns(position: Column, tie: Column | None, tie_position: Column | None = None) -> list[Column]:
-    """Chunk of a row joined with its cut points; chunks are contiguous in (position, tie) order.
-
-    A position that fills several chunks by itself is cut further: along ``tie_position``, by its own
-    cut points, or along the tie hash.
+    sizes = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
+    listed, rows = pinned(sizes, "hot-keys")
+    total = sum(r["__rows"] for r in rows) if rows is not None else listed.agg(F.sum("__rows")).first()[0]
+    return (listed.drop("__rows"), total) if total else None
+
+
+def range_pieces(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, n_pieces: int, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Rows in pieces of one range exchange over ``keys`` and ``order``, each piece with the rows just before it.
+
+    Adds ``PIECE`` and ``HALO``. Pieces follow each other in the order of keys and ``order`` columns of any type. The rows
+    with ``HALO`` are copies of the last ``depth`` rows that a group has in the pieces before; they hold only keys,
+    order and ``carried`` columns. So whatever looks ``depth`` rows back within (piece, keys) is exact. Rows that agree in
+    all of ``order`` may be cut apart, in any order. The exchange is written once.
     """
-    part = F.size(F.filter(F.col(CUTS), lambda c: c <= position)).alias("__part")
-    if tie_position is not None:
-        inner = F.try_element_at(F.col(TIES), position)
-        return [part, F.coalesce(F.size(F.filter(inner, lambda c: c <= tie_position)), F.lit(-1)).alias("__slice")]
-    if tie is None:
-        return [part, F.lit(-1).alias("__slice")]
-    ways = F.try_element_at(F.col(WAYS), position)
-    share = tie.cast("double") / F.lit(2.0**64) + F.lit(0.5)
-    piece = F.least(F.floor(share * ways).cast("int"), ways - 1)
-    return [part, F.coalesce(piece, F.lit(-1)).alias("__slice")]
+    keys, order = list(keys), list(order)
+    spread = df.withColumn(COPY, F.monotonically_increasing_id()).repartitionByRange(n_pieces, *keys, *order, COPY)
+    staged = write_stage(spread.withColumn(PIECE, F.spark_partition_id()), "pieces")
+    kept = [*dict.fromkeys([*keys, *order, *carried, COPY, PIECE])]
+    backwards = Window.partitionBy(PIECE, *keys).orderBy(*[F.desc(c) for c in (*order, COPY)])
+    tails = staged.select(*kept).withColumn("__back", F.row_number().over(backwards)).where(F.col("__back") <= depth)
+    # tails are depth rows per piece and group; a piece's halo are the last depth of them before its own first one
+    along = Window.partitionBy(*keys).orderBy(PIECE, F.desc("__back"))
+    tails = tails.withColumn("__nr", F.row_number().over(along))
+    starts = tails.groupBy(*keys, PIECE).agg((F.min("__nr") - 1).alias("__upto")).where(F.col("__upto") > 0).select(
+        *keys, F.col(PIECE).alias("__next"), "__upto", F.floor(F.col("__upto") / depth).alias("__slot"))
+    slots = F.array_distinct(F.array(F.floor(F.col("__nr") / depth), F.floor((F.col("__nr") + (depth - 1)) / depth)))
+    halo = tails.withColumn("__slot", F.explode(slots)).join(starts, [*keys, "__slot"]).where(
+        (F.col("__nr") <= F.col("__upto")) & (F.col("__nr") > F.col("__upto") - depth))
+    halo = halo.select(*[c for c in kept if c != PIECE], F.col("__next").alias(PIECE), F.lit(True).alias(HALO))
+    return staged.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)

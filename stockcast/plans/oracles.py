@@ -258,6 +258,10 @@ FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS y FROM events) WINDOW w AS (PART
  {_rolling((4, 8), sig('{x}', 6))}
 FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS y FROM events)
 WINDOW w AS (PARTITION BY event_type ORDER BY date_trunc('day', ts), event_id)""",
+        "event_history_pieces": f"""SELECT event_id, event_type, value, lag(value, 1) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2,
+ {_rolling((4, 8), sig('{x}', 6))}
+FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS y FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY date_trunc('day', ts), lpad(CAST(event_id AS VARCHAR), 12, '0'))""",
         "impute_macro": f"""WITH {PANEL}, med1 AS (SELECT Store, {medians} FROM enriched GROUP BY Store),
 fill1 AS (SELECT e.* REPLACE ({macro1}) FROM enriched e LEFT JOIN med1 m ON e.Store=m.Store), med2 AS (SELECT {medians} FROM fill1)
 SELECT fill1.* REPLACE ({macro2}) FROM fill1, med2""",

@@ -16,6 +16,7 @@ from stockcast.operators.distributions import column_profile, top_categories
 from stockcast.operators.encode import apply_dictionary, category_dictionary, model_matrix
 from stockcast.operators.enrich import enrich_panel
 from stockcast.operators.history import add_history, history_names
+from stockcast.operators.hot_groups import MAX_GROUP_ROWS
 from stockcast.operators.impute import fit_medians
 from stockcast.operators.naive import fill_with_medians, seasonal_naive
 from stockcast.operators.quantiles import exact_quantiles
@@ -37,7 +38,7 @@ LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 #: Few enough rounds for a query, but patience ends the fit, not the bound on rounds.
 FIT = dict(num_boost_round=2_000, early_stopping_rounds=4, step_size=0.4, max_depth=4)
 EVENT_DAYS = 10
-EVENT_CHUNK = 1_000  # rows of an event series that are handled together, at every scale
+EVENT_PIECE = 5_000  # rows of a piece of an event series in the query that cuts them, at every scale
 WEEKLY = None  # no size check: the panel is grouped by series and week, so a series is as long as its weeks
 
 
@@ -123,26 +124,34 @@ def q_rolling_features(spark, folder):
 
 
 def q_rolling_features_split(spark, folder):
-    """The same rolling values with every series over 100 rows cut into chunks."""
+    """The same rolling values with every series over 100 rows cut into pieces."""
     out = add_history(write_stage(_sales(spark, folder, EXACT), "sales"), max_series_rows=100)
     return _exact_history(out).select(*KEYS, DATE, TARGET, *history_names((), (4, 8, 12)))
 
 
 def q_event_history(spark, folder):
-    """Lags and means over five series that hold all events; cut into chunks already on small tables."""
-    events = table(spark, folder, "events").select("event_type", "ts", "event_id", F.col("value").cast("decimal(18,4)").alias("value"))
-    return _event_history(write_stage(events, "events"), EVENT_CHUNK)
+    """Lags and means over five series that hold all events."""
+    return _event_history(_events(spark, folder, F.col("ts")))
 
 
 def q_event_history_ties(spark, folder):
-    """The same over days: all events of a type and day tie, and are ordered and cut by their ids."""
-    day = F.date_trunc("day", "ts").alias("ts")
-    events = table(spark, folder, "events").select("event_type", day, "event_id", F.col("value").cast("decimal(18,4)").alias("value"))
-    return _event_history(write_stage(events, "events"), 25)
+    """The same over days: all events of a type and day tie, and are ordered by their ids."""
+    return _event_history(_events(spark, folder, F.date_trunc("day", "ts")))
 
 
-def _event_history(events: DataFrame, chunk: int) -> DataFrame:
-    out = add_history(events, ["event_type"], "value", "ts", lags=(1, 2), windows=(4, 8), tie_cols=["event_id"], max_series_rows=chunk)
+def q_event_history_pieces(spark, folder):
+    """The same over days, with ids as text that breaks ties, in pieces of a range exchange."""
+    by_day = _events(spark, folder, F.date_trunc("day", "ts")).withColumn("event_id", F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    out = _event_history(write_stage(by_day, "events"), EVENT_PIECE)
+    return out.withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
+def _events(spark, folder, at: Column) -> DataFrame:
+    return table(spark, folder, "events").select("event_type", at.alias("ts"), "event_id", F.col("value").cast("decimal(18,4)").alias("value"))
+
+
+def _event_history(events: DataFrame, piece: int = MAX_GROUP_ROWS) -> DataFrame:
+    out = add_history(events, ["event_type"], "value", "ts", lags=(1, 2), windows=(4, 8), tie_cols=["event_id"], max_series_rows=piece)
     return _doubles(out, ["value", "lag_1", "lag_2"]).withColumns({c: sig(F.col(c), 6) for c in ("roll_std_4", "roll_std_8")}).select(
         "event_id", "event_type", "value", "lag_1", "lag_2", "roll_mean_4", "roll_mean_8", "roll_std_4", "roll_std_8")
 

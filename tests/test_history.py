@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockcast.operators.history import add_history, history_names
-from stockcast.functions.dates import order_position
-from stockcast.operators.hot_groups import chunk_columns, cut_points
+from stockcast.operators.hot_groups import HALO, PIECE, hot_keys, range_pieces
 
 START = date(2020, 1, 3)
 
@@ -76,8 +75,6 @@ def test_ties_on_one_date_are_cut_too(spark):
         (F.hash("id") % 1000).cast("decimal(18,2)").alias("Weekly_Sales"), "id")
     whole = add_history(df, max_series_rows=None).orderBy("id").collect()
     assert add_history(df, max_series_rows=200).orderBy("id").collect() == whole
-    cuts = cut_points(df, ["Store", "Dept"], "Date", 200).first()
-    assert max(cuts["__ways"].values()) > 5
 
 
 def test_infinite_values_are_missing_and_single_row_std_is_null(spark):
@@ -100,8 +97,9 @@ def test_no_row_sees_itself_or_the_future(spark):
 def test_few_hot_keys_are_found_from_separate_sizes(spark):
     series = {1: [(i, 1.0) for i in range(50)], 2: [(i, 1.0) for i in range(5)]}
     df = panel(spark, series)
-    assert cut_points(df, ["Store", "Dept"], "Date", 100) is None
-    assert [r["Store"] for r in cut_points(df, ["Store", "Dept"], "Date", 20).collect()] == [1]
+    assert hot_keys(df, ["Store", "Dept"], 100) is None
+    hot, rows = hot_keys(df, ["Store", "Dept"], 20)
+    assert [r["Store"] for r in hot.collect()] == [1] and rows == 50
 
 
 @pytest.mark.parametrize("max_rows", [None, 20])
@@ -119,17 +117,29 @@ def test_every_hot_group_is_cut_however_many_there_are(spark):
     df = spark.range(1_100 * 12).select(
         (F.col("id") % 1_100).cast("int").alias("Store"), F.lit(1).alias("Dept"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 1_100).cast("int")).alias("Date"), F.lit(1.0).alias("Weekly_Sales"))
-    cuts = cut_points(df, ["Store", "Dept"], "Date", 5).collect()
-    assert len(cuts) == 1_100 and all(len(r["__cuts"]) >= 2 for r in cuts)
+    hot, rows = hot_keys(df, ["Store", "Dept"], 5)
+    assert hot.count() == 1_100 and rows == df.count()
+    whole = add_history(df, max_series_rows=None).orderBy("Store", "Date").collect()
+    assert add_history(df, max_series_rows=5).orderBy("Store", "Date").collect() == whole
 
 
-def test_tied_rows_are_cut_along_the_tie_column(spark):
+@pytest.mark.parametrize("tie", ["id", "CAST(id AS STRING)", "concat('same', CAST(id DIV 1000 AS STRING))", "'same'"])
+def test_tied_rows_are_cut_along_columns_of_any_type(spark, tie):
+    """All rows tie on the date; numbers, text, text that hardly differs, and copies of one row."""
     df = spark.range(4_000).select(
-        F.lit(1).alias("Store"), F.lit(1).alias("Dept"), F.lit("2020-03-01").cast("date").alias("Date"),
-        F.col("id").alias("nr"), (F.col("id") % 17).cast("double").alias("Weekly_Sales"))
-    whole = add_history(df, tie_cols=["nr"], max_series_rows=None).orderBy("nr").collect()
-    assert add_history(df, tie_cols=["nr"], max_series_rows=100).orderBy("nr").collect() == whole
-    cuts = cut_points(df, ["Store", "Dept"], "Date", 100, "nr")
-    position = order_position(F.col("Date"), df.schema["Date"].dataType)
-    chunks = df.join(cuts, ["Store", "Dept"]).select(*chunk_columns(position, None, F.col("nr"))).groupBy("__part", "__slice").count()
-    assert chunks.agg(F.max("count")).first()[0] <= 110
+        F.lit(1).alias("Store"), F.lit(1).alias("Dept"), F.lit("2020-03-01").cast("date").alias("Date"), F.expr(tie).alias("nr"),
+        F.when(F.expr(tie).cast("string") == "same", 3.0).otherwise((F.col("id") % 17).cast("double")).alias("Weekly_Sales"))
+    def rows(got):
+        return sorted(map(repr, got.collect()))
+
+    assert rows(add_history(df, tie_cols=["nr"], max_series_rows=100)) == rows(add_history(df, tie_cols=["nr"], max_series_rows=None))
+    pieces = range_pieces(df, ["Store", "Dept"], ["Date", "nr"], 12, 40, ["Weekly_Sales"]).groupBy(PIECE).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(HALO).alias("halo")).collect()
+    assert len(pieces) > 30 and max(r["n"] - r["halo"] for r in pieces) <= 250
+    assert {r["halo"] for r in pieces} <= {0, 12} and sum(r["n"] - r["halo"] for r in pieces) == 4_000
+
+
+def test_halo_reaches_over_pieces_shorter_than_it(spark):
+    series = {1: [(i, float(i * i % 31)) for i in range(90)], 2: [(i, float(i)) for i in range(3)], 3: [(i, float(i % 7)) for i in range(40)]}
+    for max_rows in (1, 2, 5):
+        assert_rows(add_history(panel(spark, series), max_series_rows=max_rows), series)
