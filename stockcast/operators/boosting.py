@@ -3,56 +3,86 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.defaults import PREDICTION, TARGET
 from stockcast.operators.calendar import date_parts
-from stockcast.operators.encode import align_pair, category_columns, category_dictionary, model_matrix
-from stockcast.session import shared_dir
+from stockcast.operators.encode import MISSING, align_pair, category_columns, category_dictionary, model_inputs
+from stockcast.operators.tree_sql import ensemble_sql, tree_sql
+from stockcast.session import recorded_stages, remove_stages, shared_dir, write_stage
 
-ROW, RAW = "__row", "__prediction"
+ROW, RAW, FEATURES = "__row", "__prediction", "__features"
+Y, SO_FAR = "__y", "__so_far"
+MAX_BINS = 64
+BLOCK = 10  # rounds between two writes of the predictions so far
 
 
 @dataclass(frozen=True)
 class Preprocess:
-    """What scoring must repeat: feature order, categorical columns and their labels."""
+    """What scoring must repeat: feature order, categorical columns and their labels.
+
+    Columns with more labels than a tree can split as sets have a table in ``wide`` instead of a list: (value, code, input), with
+    the place in the sorted labels and the number the model sees, the label's mean target.
+    """
 
     model_name: str
     feature_names: list[str]
     cat_cols: list[str]
     cat_mapping: dict[str, list[str]]
+    wide: Mapping[str, DataFrame] = field(default_factory=dict, compare=False)
 
 
 @dataclass(frozen=True)
 class Forecaster:
+    """Metadata, the fitted pipeline (assembler, trees), the rounds grown and whether patience ended the fit."""
+
     preprocess: Preprocess
     pipeline: PipelineModel
+    rounds: int | None = None
+    patience_ended: bool | None = None
+
+    @property
+    def trees(self) -> GBTRegressionModel:
+        return self.pipeline.stages[-1]
 
 
 def fit_preprocess(
-    train: DataFrame, valid: DataFrame, target_col: str = TARGET, model_name: str = "forecaster"
+    train: DataFrame, valid: DataFrame, target_col: str = TARGET, model_name: str = "forecaster", max_labels: int = MAX_BINS
 ) -> Preprocess:
-    """Feature order from the training columns, label lists (of any length) from both sides."""
+    """Feature order from the training columns, dictionaries from both sides.
+
+    Labels of columns with at most ``max_labels`` are listed; the others stay in a written table, of any length.
+    """
     left, right = align_pair(date_parts(train.drop(target_col)), date_parts(valid.drop(target_col)))
     cats = category_columns(left, right)
-    mapping: dict[str, list[str]] = {c: [] for c in cats}
+    mapping: dict[str, list[str]] = {}
+    wide: dict[str, DataFrame] = {}
     if cats:
-        for r in sorted(category_dictionary([left, right], cats).collect(), key=lambda r: (r["feature"], r["code"])):
+        dictionary = write_stage(category_dictionary([left, right], cats), "dictionary")
+        sizes = {r["feature"]: r["n"] for r in dictionary.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+        short = [c for c in cats if sizes[c] <= max_labels]
+        mapping = {c: [] for c in short}
+        for r in sorted(dictionary.where(F.col("feature").isin(short)).collect(), key=lambda r: (r["feature"], r["code"])):
             mapping[r["feature"]].append(r["value"])
-    return Preprocess(model_name, left.columns, cats, mapping)
+        for c in (c for c in cats if c not in mapping):
+            wide[c] = write_stage(_with_mean_target(dictionary.where(F.col("feature") == c), train, c, target_col), "wide-labels")
+    return Preprocess(model_name, left.columns, cats, mapping, wide)
 
 
-def _by_target(rows: DataFrame, col: str, labels: Sequence[str]) -> list[str]:
-    """Labels in the order of their mean target in the training rows; labels without rows come in the middle."""
-    means = {r[0]: r[1] for r in rows.groupBy(col).agg(F.avg("__y")).collect()}
-    middle = sum(means.values()) / max(1, len(means))
-    return sorted(labels, key=lambda x: (means.get(x, middle), x))
+def _with_mean_target(labels: DataFrame, train: DataFrame, col: str, target_col: str) -> DataFrame:
+    """(value, code, input): the mean target of each label in the training rows, of all rows where it has none."""
+    if target_col not in train.columns:
+        return labels.select("value", "code", F.col("code").cast("double").alias("input"))
+    y = F.col(target_col).cast("double")
+    overall = train.agg(F.avg(y)).first()[0] or 0.0
+    means = train.groupBy(F.coalesce(F.col(col).cast("string"), F.lit(MISSING)).alias("value")).agg(F.avg(y).alias("mean"))
+    return labels.join(means, "value", "left").select("value", "code", F.coalesce("mean", F.lit(overall)).alias("input"))
 
 
 def stop_round(errors: Mapping[str, Sequence[float]], patience: int) -> tuple[int, bool]:
@@ -85,71 +115,105 @@ def fit_forecaster(
     min_rows_per_leaf: int = 50,
     feature_share: float = 0.9,
     row_share: float = 0.9,
-    max_bins: int = 64,
+    max_bins: int = MAX_BINS,
 ) -> Forecaster:
-    """Squared-error boosting; depth 6 stands for 64 leaves.
+    """Squared-error boosting from the mean target; depth 6 stands for 64 leaves.
 
-    Early stopping watches squared and absolute error on ``valid``. Rounds are doubled until
-    patience runs out or ``num_boost_round`` is reached; seeds depend on the round only, so a longer run
-    begins with the same trees. The model keeps the trees up to the best round, without another fit.
+    Each round grows one tree on what the ensemble so far leaves over, so every tree is grown once. Early stopping watches
+    squared and absolute error on ``valid`` after every round and ends the fit when patience runs out; the model keeps the trees up to
+    the best round. Inputs and predictions so far are a written table, renewed every ``BLOCK`` rounds; between, the
+    newest trees are part of the residual's expression.
     """
-    shared_dir(train.sparkSession)  # tree fitting checkpoints its row-to-node lineage there
-    prep = fit_preprocess(train, valid, target_col, model_name)
+    spark = train.sparkSession
+    shared_dir(spark)  # tree fitting checkpoints its row-to-node lineage there
+    prep = fit_preprocess(train, valid, target_col, model_name, max_bins)
+    names = prep.feature_names
+    assembler = VectorAssembler(inputCols=names, outputCol=FEATURES)
 
     def matrix(df: DataFrame) -> DataFrame:
-        inputs = date_parts(df.withColumn("__y", F.col(target_col).cast("double")).drop(target_col))
-        return model_matrix(inputs, prep.feature_names, prep.cat_mapping, keep=["__y"]).where(F.col("__y").isNotNull())
-
-    coded = {c: f"__code_{i}" for i, c in enumerate(prep.cat_cols)}
-    stages = []
-    for c, code in coded.items():
-        labels = prep.cat_mapping[c]
-        if len(labels) > max_bins:
-            # too many labels for splits on label sets: numbered by their mean target, split like a number
-            stages.append(StringIndexerModel.from_labels(_by_target(matrix(train), c, labels), inputCol=c, outputCol=f"{code}_n"))
-            stages.append(SQLTransformer(statement=f"SELECT *, `{code}_n` + 0.0D AS `{code}` FROM __THIS__"))
-        else:
-            stages.append(StringIndexerModel.from_labels(labels, inputCol=c, outputCol=code, handleInvalid="error"))
-    stages.append(VectorAssembler(inputCols=[coded.get(c, c) for c in prep.feature_names], outputCol="__features"))
-    assemble = Pipeline(stages=stages).fit(matrix(train))
-    rows, held_out = assemble.transform(matrix(train)), assemble.transform(matrix(valid))
-    booster = GBTRegressor(
-        featuresCol="__features", labelCol="__y", predictionCol=RAW, lossType="squared", stepSize=step_size,
-        maxDepth=max_depth, minInstancesPerNode=min_rows_per_leaf, featureSubsetStrategy=str(feature_share),
-        subsamplingRate=row_share, seed=seed, checkpointInterval=10,
-        maxBins=max_bins,
-    )
-    if early_stopping_rounds is None:
-        return Forecaster(prep, PipelineModel([*assemble.stages, booster.setMaxIter(num_boost_round).fit(rows)]))
-    rounds = min(num_boost_round, 2 * early_stopping_rounds)
-    while True:
-        model = booster.setMaxIter(rounds).fit(rows)
-        errors = {loss: model.evaluateEachIteration(held_out, loss) for loss in ("squared", "absolute")}
-        best, stopped = stop_round(errors, early_stopping_rounds)
-        if stopped or rounds >= num_boost_round:
-            break
-        rounds = min(2 * rounds, num_boost_round)
-    return Forecaster(prep, PipelineModel([*assemble.stages, _first_trees(model, best)]))
-
-
-def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The fitted ensemble cut to its first ``n`` trees."""
-    java = model._java_obj
-    trees, weights = java.trees(), java.treeWeights()
-    if n >= len(trees):
-        return model
+        own = date_parts(df.withColumn(Y, F.col(target_col).cast("double")).drop(target_col))
+        return _inputs(own, prep, [Y]).where(F.col(Y).isNotNull())
+
+    grower = RandomForestRegressor(
+        featuresCol=FEATURES, labelCol="__rest", numTrees=1, bootstrap=False, maxDepth=max_depth, minInstancesPerNode=min_rows_per_leaf,
+        featureSubsetStrategy=str(float(feature_share)), subsamplingRate=row_share, maxBins=max_bins)
+    rows = assembler.transform(matrix(train))
+    with recorded_stages() as old:
+        rows = write_stage(rows, "boosting-rows")
+        base = DecisionTreeRegressor(featuresCol=FEATURES, labelCol=Y, maxDepth=0).fit(rows)
+        mean = F.expr(tree_sql(base, names))
+        rows = rows.withColumn(SO_FAR, mean)
+        watched = None if early_stopping_rounds is None else write_stage(matrix(valid).withColumn(SO_FAR, mean), "boosting-watched")
+    trees: list[DecisionTreeRegressionModel] = []
+    errors: dict[str, list[float]] = {"squared": [], "absolute": []}
+    best, stopped = num_boost_round, False
+    while len(trees) < num_boost_round and not stopped:
+        block: list[str] = []
+        for _ in range(min(BLOCK, num_boost_round - len(trees))):
+            rest = F.expr(" - ".join([f"{Y} - {SO_FAR}", *block]))
+            tree = grower.setSeed(seed + len(trees)).fit(rows.withColumn("__rest", rest)).trees[0]
+            trees.append(tree)
+            block.append(f"{step_size!r}D * {tree_sql(tree, names)}")
+        if watched is not None:
+            for name, values in _errors(watched, block).items():
+                errors[name] += values
+            best, stopped = stop_round(errors, early_stopping_rounds)
+        with recorded_stages() as new:
+            if len(trees) < num_boost_round and not stopped:
+                so_far = F.expr(" + ".join([SO_FAR, *block]))
+                rows = write_stage(rows.withColumn(SO_FAR, so_far), "boosting-rows")
+                watched = None if watched is None else write_stage(watched.withColumn(SO_FAR, so_far), "boosting-watched")
+        remove_stages(spark, old)
+        old = new
+    model = _ensemble([base, *trees[:best]], [1.0] + [step_size] * min(best, len(trees)), len(names))
+    return Forecaster(prep, PipelineModel([assembler, model]), len(trees), stopped)
+
+
+def _inputs(df: DataFrame, prep: Preprocess, keep: Sequence[str]) -> DataFrame:
+    return model_inputs(df, prep.feature_names, prep.cat_mapping, prep.wide, keep)
+
+
+def _errors(watched: DataFrame, block: Sequence[str]) -> dict[str, list[float]]:
+    """Mean squared and absolute error after each round of a block, in one pass."""
+    at = [SO_FAR]
+    for i, tree in enumerate(block):
+        watched = watched.withColumn(f"__after_{i}", F.expr(f"{at[-1]} + {tree}"))
+        at.append(f"__after_{i}")
+    off = [F.col(Y) - F.col(c) for c in at[1:]]
+    row = watched.agg(*[F.avg(x * x) for x in off], *[F.avg(F.abs(x)) for x in off]).first()
+    values = [float("inf") if v is None else v for v in row]
+    return {"squared": values[:len(block)], "absolute": values[len(block):]}
+
+
+def _ensemble(trees: Sequence[DecisionTreeRegressionModel], weights: Sequence[float], n_features: int) -> GBTRegressionModel:
+    """Trees and weights as one model that MLlib can save, load and apply."""
     gateway = SparkContext._active_spark_context._gateway
-    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    shares = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        kept[i], shares[i] = trees[i], weights[i]
-    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), kept, shares, java.numFeatures())
-    return GBTRegressionModel(java.copyValues(cut, java.extractParamMap()))
+    ml = gateway.jvm.org.apache.spark.ml
+    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
+    shares = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        kept[i], shares[i] = tree._java_obj, float(weight)
+    java = ml.regression.GBTRegressionModel(f"gbt_{trees[0].uid}", kept, shares, n_features)
+    return GBTRegressionModel(java).setFeaturesCol(FEATURES).setPredictionCol(RAW)
+
+
+def _with_row(forecaster: Forecaster, df: DataFrame, target_col: str) -> DataFrame:
+    packed = df.withColumn(ROW, F.struct(*[F.col(c) for c in df.columns])).drop(target_col)
+    return _inputs(date_parts(packed), forecaster.preprocess, [ROW])
 
 
 def score(forecaster: Forecaster, df: DataFrame, target_col: str = TARGET, out_col: str = PREDICTION) -> DataFrame:
     """All input columns plus the prediction."""
-    prep = forecaster.preprocess
-    packed = df.withColumn(ROW, F.struct(*[F.col(c) for c in df.columns])).drop(target_col)
-    inputs = model_matrix(date_parts(packed), prep.feature_names, prep.cat_mapping, keep=[ROW])
-    return forecaster.pipeline.transform(inputs).select(f"{ROW}.*", F.col(RAW).alias(out_col))
+    scored = forecaster.pipeline.transform(_with_row(forecaster, df, target_col))
+    return scored.select(f"{ROW}.*", F.col(RAW).alias(out_col))
+
+
+def score_by_expression(forecaster: Forecaster, df: DataFrame, target_col: str = TARGET, out_col: str = PREDICTION) -> DataFrame:
+    """The same with the trees compiled to SQL text: plain projections over columns, no vectors.
+
+    Predictions agree with ``score`` up to the order of the sum. The trees are a few expressions each, added up behind.
+    """
+    inputs = _with_row(forecaster, df, target_col)
+    parts = ensemble_sql(forecaster.trees, forecaster.preprocess.feature_names)
+    sums = inputs.select(ROW, *[F.expr(p).alias(f"__part_{i}") for i, p in enumerate(parts)])
+    return sums.select(f"{ROW}.*", F.expr(" + ".join(f"__part_{i}" for i in range(len(parts)))).alias(out_col))

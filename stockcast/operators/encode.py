@@ -130,6 +130,43 @@ def model_matrix(
         if c in cat_labels:
             cols.append(apply_category(F.col(c) if c in df.columns else F.lit(None), cat_labels[c]).alias(c))
         else:
-            value = f"coalesce({sql.number(df, c)}, 0.0D)" if c in df.columns else "0.0D"
-            cols.append(F.expr(value).alias(c))
+            cols.append(F.expr(_filled(df, c)).alias(c))
+    return df.select(*keep, *cols)
+
+
+def _filled(df: DataFrame, c: str) -> str:
+    return f"coalesce({sql.number(df, c)}, 0.0D)" if c in df.columns else "0.0D"
+
+
+def model_inputs(
+    df: DataFrame,
+    feature_names: Sequence[str],
+    cat_labels: Mapping[str, Sequence[str]],
+    wide: Mapping[str, DataFrame],
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The pinned feature columns as doubles, NULL as 0: numbers as they are, categories as codes.
+
+    A category with listed labels becomes its place in the list, with the labels as column metadata. One in ``wide`` takes
+    ``input`` from its dictionary table (value, input), by a join that Spark plans by size and splits where labels are
+    hot, so no label is in the plan. NULL and unseen labels stand for the missing one. Extra columns are dropped except ``keep``.
+    """
+    check_numeric_text(df, [c for c in feature_names if c not in cat_labels and c not in wide])
+    cols = []
+    for i, c in enumerate(feature_names):
+        label = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+        if c in wide:
+            key, value = f"__label_{i}", f"__input_{i}"
+            known = wide[c].select(F.col("value").alias(key), F.col("input").alias(value))
+            missing = wide[c].where(F.col("value") == MISSING).select("input").first()["input"]
+            df = df.withColumn(f"__own_{i}", F.coalesce(label, F.lit(MISSING)))
+            df = df.join(known, F.col(f"__own_{i}") == F.col(key), "left")
+            cols.append(F.coalesce(F.col(value), F.lit(missing)).alias(c))
+        elif c in cat_labels:
+            labels = list(cat_labels[c])
+            place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.coalesce(label, F.lit(MISSING)))
+            code = F.coalesce(F.nullif(place, F.lit(0)) - 1, F.lit(labels.index(MISSING))).cast("double")
+            cols.append(code.alias(c, metadata={"ml_attr": {"type": "nominal", "name": c, "vals": labels}}))
+        else:
+            cols.append(F.expr(_filled(df, c)).alias(c))
     return df.select(*keep, *cols)

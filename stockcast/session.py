@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []  # folders of this driver's stages
+_written: list[str] = []          # folders of this driver's stages
+_recorders: list[list[str]] = []  # lists that are told of every new one
 
 
 def build_session(app: str = "stockcast", master: str | None = None, **conf: object) -> SparkSession:
@@ -51,6 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _note(path: str) -> None:
+    _written.append(path)
+    for own in _recorders:
+        own.append(path)
+
+
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
@@ -59,35 +66,42 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     ``remove_stages`` deletes what this session has written.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _note(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def note_stage(path: str) -> None:
     """Let ``remove_stages`` delete a folder that was written in another way."""
-    _written.append(path)
-
-
-def stage_count() -> int:
-    """Number of stages that this driver has written and not removed."""
-    return len(_written)
+    _note(path)
 
 
-def remove_stages(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
-    """Delete the stages numbered ``since`` to ``until``; call it once their results are saved."""
+def remove_stages(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Delete the given stages, or all that this driver has written; call it once their results are saved."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written[since:until]:
+    for path in list(_written if paths is None else paths):
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
-    del _written[since:until]
+        if path in _written:
+            _written.remove(path)
 
 
 @contextmanager
-def own_stages(spark: SparkSession) -> Iterator[None]:
-    """Stages written inside are removed at the end; results must be saved or collected before."""
-    since = len(_written)
+def recorded_stages() -> Iterator[list[str]]:
+    """Paths of the stages written inside, also of those that fail half way; nothing is removed."""
+    own: list[str] = []
+    _recorders.append(own)
     try:
-        yield
+        yield own
     finally:
-        remove_stages(spark, since)
+        _recorders[:] = [other for other in _recorders if other is not own]
+
+
+@contextmanager
+def own_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at the end; results must be saved or collected before."""
+    with recorded_stages() as own:
+        try:
+            yield
+        finally:
+            remove_stages(spark, own)

@@ -1,15 +1,16 @@
 import math
+import os
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from stockcast.operators.boosting import Preprocess, fit_forecaster, score, stop_round
+from stockcast.operators.boosting import Forecaster, Preprocess, fit_forecaster, score, score_by_expression, stop_round
 from stockcast.operators.drift_quantile import quantile_reference
 from stockcast.operators.drift_width import width_reference
 from stockcast.operators.temporal import temporal_split
 from stockcast.plans.jobs import batch_job, run_batch, run_training, segment_report, training_job
-from stockcast.session import shared_dir, write_stage
+from stockcast.session import own_stages, recorded_stages, remove_stages, shared_dir, write_stage
 from stockcast.sources import artifacts
 from stockcast.sources.files import SCHEMAS, read_csv, read_parquet, read_raw, write_parquet
 
@@ -74,27 +75,57 @@ def test_preprocess_save_keeps_order_and_absent_path_raises(spark, tmp_path):
         artifacts.load_preprocess(spark, str(tmp_path / "none"))
 
 
-def test_any_number_of_labels(spark):
-    rows = spark.range(40_000).select(
-        F.format_string("c%05d", F.col("id") % 20_000).alias("c"), ((F.col("id") % 20_000) / 100.0).alias("Weekly_Sales"), F.col("id").alias("i"))
-    train, valid = rows.where("i < 30000"), rows.where("i >= 30000").withColumn("c", F.when(F.col("i") % 10 > 0, F.col("c")).otherwise("unseen"))
-    forecaster = fit_forecaster(train, valid, num_boost_round=8, early_stopping_rounds=None, max_depth=4, step_size=0.5, min_rows_per_leaf=5)
-    assert len(forecaster.preprocess.cat_mapping["c"]) == 20_002
-    known = score(forecaster, valid).where("c <> 'unseen'")
+def test_any_number_of_labels(spark, tmp_path):
+    """200,000 labels: a table joined by the model, saved and read as one, and no label in a plan."""
+    rows = spark.range(400_000).select(
+        F.format_string("c%06d", F.col("id") % 200_000).alias("c"), ((F.col("id") % 200_000) / 1000.0).alias("Weekly_Sales"), F.col("id").alias("i"))
+    train, valid = rows.where("i < 300000"), rows.where("i >= 300000").withColumn("c", F.when(F.col("i") % 10 > 0, F.col("c")).otherwise("unseen"))
+    forecaster = fit_forecaster(train, valid, num_boost_round=4, early_stopping_rounds=None, max_depth=4, step_size=0.5, min_rows_per_leaf=5)
+    assert forecaster.preprocess.cat_mapping == {} and forecaster.preprocess.wide["c"].count() == 200_002
+    scored = score(forecaster, valid)
+    known = scored.where("c <> 'unseen'")
     assert known.agg(F.corr("Weekly_Sales", "y_pred")).first()[0] > 0.9
-
-
-def test_early_stopping_keeps_the_first_trees(spark, dataset):
+    assert scored.where("c = 'unseen'").agg(F.countDistinct("i")).first()[0] == 10_000
+    for plan in (scored, score_by_expression(forecaster, valid)):
+        text = plan._jdf.queryExecution().toString()
+        assert "c000" not in text and "c199" not in text
+    artifacts.save_preprocess(spark, forecaster.preprocess, str(tmp_path / "p"))
+    loaded = artifacts.load_preprocess(spark, str(tmp_path / "p"))
+    assert loaded == forecaster.preprocess and loaded.wide["c"].count() == 200_002
+    assert score(Forecaster(loaded, forecaster.pipeline), valid).agg(F.sum("y_pred")).first()[0] == pytest.approx(
+        scored.agg(F.sum("y_pred")).first()[0])
+
+
+def test_trees_as_expressions_agree_with_the_model(spark, dataset, trained):
+    odd = dataset.withColumn("Type", F.when(F.col("Dept") == 1, F.lit("never seen")).when(F.col("Dept") == 2, F.col("Type")))
+    for df in (dataset, odd, odd.drop("CPI").limit(0)):
+        a = {tuple(r)[:3]: r for r in score(trained.forecaster, df).collect()}
+        b = {tuple(r)[:3]: r for r in score_by_expression(trained.forecaster, df).collect()}
+        assert a.keys() == b.keys()
+        for k, r in a.items():
+            assert tuple(r)[:-1] == tuple(b[k])[:-1] and b[k]["y_pred"] == pytest.approx(r["y_pred"], rel=1e-12)
+    plan = score_by_expression(trained.forecaster, dataset)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "vector" not in plan.lower()
+
+
+def test_early_stopping_grows_every_tree_once(spark, dataset):
     train, valid, _ = temporal_split(dataset)
-    options = dict(max_depth=3, step_size=0.5, early_stopping_rounds=2)
-    short = fit_forecaster(train, valid, num_boost_round=64, **options)
-    n = short.pipeline.stages[-1].getNumTrees
-    assert n < 64
-    again = fit_forecaster(train, valid, num_boost_round=n, max_depth=3, step_size=0.5, early_stopping_rounds=None)
+    options = dict(max_depth=3, step_size=0.5)
+    short = fit_forecaster(train, valid, num_boost_round=64, early_stopping_rounds=2, **options)
+    n = short.trees.getNumTrees - 1  # and the mean
+    assert short.patience_ended and n + 2 <= short.rounds < n + 2 + 10
+    again = fit_forecaster(train, valid, num_boost_round=n, early_stopping_rounds=None, **options)
+    assert again.patience_ended is False and again.rounds == n
     a, b = (sorted(r["y_pred"] for r in score(f, valid).collect()) for f in (short, again))
     assert a == pytest.approx(b)
 
 
+def test_patience_may_not_run_out(spark, dataset):
+    train, valid, _ = temporal_split(dataset)
+    fitted = fit_forecaster(train, valid, num_boost_round=6, early_stopping_rounds=6, max_depth=2, step_size=0.01)
+    assert not fitted.patience_ended and fitted.rounds == 6 and 2 <= fitted.trees.getNumTrees <= 7
+
+
 def test_reference_round_trip(spark, dataset, tmp_path):
     for i, build in enumerate((width_reference, quantile_reference)):
         ref = build(dataset.select("CPI", "Type"), ["CPI", "Type"], ["Type"])
@@ -111,12 +142,6 @@ def test_stop_round():
     assert stop_round({"squared": [5, 1, 2], "absolute": [5, 1, 2]}, 2) == (2, False)
 
 
-def test_early_stopping_doubles_until_patience(spark, dataset):
-    train, valid, _ = temporal_split(dataset)
-    model = fit_forecaster(train, valid, num_boost_round=6, early_stopping_rounds=1, max_depth=2, step_size=0.5).pipeline.stages[-1]
-    assert 1 <= model.getNumTrees <= 6
-
-
 def test_jobs_from_raw_files(spark, tmp_path):
     start, raw, out = date(2010, 2, 5), tmp_path / "raw", str(tmp_path / "out")
     raw.mkdir()
@@ -197,12 +222,29 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
 
 def test_own_stages_are_removed(spark):
-    from stockcast.session import own_stages
+    def place(staged):
+        return staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
 
+    kept = place(write_stage(spark.range(3).toDF("id"), "kept"))
     with own_stages(spark):
-        staged = write_stage(spark.range(3).toDF("id"), "gone")
-        place = staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
-        import os
-
-        assert os.path.isdir(place)
-    assert not os.path.exists(place)
+        gone = place(write_stage(spark.range(3).toDF("id"), "gone"))
+        assert os.path.isdir(gone)
+    assert not os.path.exists(gone) and os.path.isdir(kept)
+
+
+def test_stages_are_removed_by_path_not_by_position(spark):
+    """A removal and another query's live stage between two stages of a pipeline."""
+    def place(staged):
+        return staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+
+    with recorded_stages() as first:
+        one = write_stage(spark.range(3).toDF("id"), "one")
+    live = write_stage(spark.range(4).toDF("id"), "live")
+    with recorded_stages() as outer, pytest.raises(ZeroDivisionError), own_stages(spark):
+        failed = place(write_stage(spark.range(5).toDF("id"), "failed"))
+        raise ZeroDivisionError
+    assert len(outer) == 1 and not os.path.exists(failed)
+    place_of_one = place(one)
+    remove_stages(spark, first)
+    remove_stages(spark, first)  # again: nothing else is touched
+    assert not os.path.exists(place_of_one) and live.count() == 4
