@@ -10,24 +10,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockcast.llm import mixing, packing, simhash, suffix_dedup, toxicity
 from stockcast.llm.queries import vocabulary
-from stockcast.session import remove_stages, shared_dir, stage_count
+from stockcast.session import recorded_stages, remove_stages, shared_dir
 from stockcast.sources.panel import table
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_left: list[tuple[int, int]] = []  # numbers of the working tables that the last stage has written
+_left: list[str] = []  # folders of the working tables that the last stage has written
 
 
 def stage(made: Stage) -> Stage:
     """A stage that first removes the working tables of the stage before it, whose result is written by then."""
     @wraps(made)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _left:
-            remove_stages(spark, *_left.pop())
-        since = stage_count()
-        out = made(spark, docs, sf_dir)
-        _left.append((since, stage_count()))
-        return out
+        remove_stages(spark, _left)
+        _left.clear()
+        with recorded_stages() as own:
+            try:
+                return made(spark, docs, sf_dir)
+            finally:
+                _left.extend(own)
 
     return run_stage
 
