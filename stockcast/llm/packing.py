@@ -24,16 +24,69 @@ from stockcast.session import write_stage
 MAX_LENGTH = 2048
 END_ID = 1
 SEED = 42
-CACHE_SIZE = 400_000   # units a worker keeps, and as many that it has not used of late
+CACHE_SIZE = 250_000   # units a worker keeps, and as many that it has not used of late
 JOINED = 500           # new units that are encoded as one text
 CACHED_CHARS = 64      # longer units are encoded each time
 TEXTS_AT_ONCE = 256
 #: White space as the byte-level tokenizer's own pattern sees it: fixed values.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+RARE_ASCII = [c for c in WHITE if c.isascii() and c not in " \n"]
 RARE = re.compile("[" + WHITE.replace(" ", "").replace("\n", "") + "]")
+#: Marks that the tokenizer's own pattern always parts from letters before them: fixed values.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 UNITS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
+def _plain(text: str) -> bool:
+    """True if every white space in a text is one space or line break between other characters."""
+    if text[-1] in " \n" or text[0] in " \n" or "  " in text:
+        return False
+    if "\n" in text and ("\n " in text or " \n" in text or "\n\n" in text):
+        return False
+    return not (any(c in text for c in RARE_ASCII) if text.isascii() else RARE.search(text))
+
+
+class _Known(dict):
+    """Ids by unit, in two generations. An unknown unit gets an empty bytearray, to be filled before its batch ends.
+
+    Letters with marks behind them are made of the letters' ids and the marks' ids.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.fresh: list[str] = []
+        self.made: list[tuple[str, str]] = []  # unit and its letters
+
+    def __missing__(self, key: str) -> bytes | bytearray:
+        ids = self.old.get(key)
+        if ids is None:
+            letters = key.rstrip(MARKS)
+            if len(letters) < len(key) and letters.isalpha() and max(letters) < "\u3000":
+                self[letters]  # known or fresh from now on
+                self.made.append((key, letters))
+            else:
+                self.fresh.append(key)
+            ids = bytearray()
+        self[key] = ids
+        return ids
+
+    def turn(self, size: int) -> None:
+        """Start a new generation once there are more than ``size`` units."""
+        if len(self) > size:
+            self.old = dict(self)
+            self.clear()
+
+    def close(self) -> None:
+        """Keep what was filled in; units that are too long to keep go."""
+        for key in chain(self.fresh, (key for key, _ in self.made)):
+            if len(key) > CACHED_CHARS:
+                del self[key]
+            else:
+                self[key] = bytes(self[key])
+        self.fresh, self.made = [], []
+
+
 class UnitCache:
     """Ids of a byte-level BPE by units: white space with the word behind it.
 
@@ -45,15 +98,14 @@ class UnitCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ids, self.old, self.started = Tokenizer.from_file(path), {}, {}, {}
+        self.tokenizer, self.ids, self.started, self.marks = Tokenizer.from_file(path), _Known(), _Known(), {}
         ids = range(self.tokenizer.get_vocab_size())
         # a token that begins with a space or a line break begins a unit
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in "ĠĊ" for i in ids])
 
     def units(self, text: str) -> list[str]:
         """Keys of all units; the first is the beginning as it stands (empty if the text begins with white space)."""
-        if text[-1] not in " \n" and text[0] not in " \n" and not any(
-                pair in text for pair in ("  ", "\n ", " \n", "\n\n")) and not RARE.search(text):
+        if _plain(text):
             return text.replace("\n", " \n").split(" ")
         units = UNITS.findall(text)
         keys = [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in WHITE else u for u in units]
@@ -61,40 +113,46 @@ class UnitCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as little-endian unsigned 32-bit numbers."""
-        keys = [self.units(t) if t else [""] for t in texts]
-        if len(self.ids) > CACHE_SIZE:
-            self.old, self.ids = self.ids, {}
-        if len(self.started) > CACHE_SIZE // 4:
-            self.started.clear()
-        known, old = self.ids, self.old
-        new = set(chain.from_iterable(k[1:] for k in keys)).difference(known)
-        known.update({k: old[k] for k in new.intersection(old)})
-        new.difference_update(known)
-        first = {k[0] for k in keys}.difference(self.started, ("",))
+        ids, started = self.ids, self.started
+        ids.turn(CACHE_SIZE)
+        started.turn(CACHE_SIZE // 4)
+        parts = []
+        for text in texts:
+            keys = self.units(text) if text else [""]
+            parts.append([started[keys[0]], *map(ids.__getitem__, keys[1:])])
         plain, odd = [], []
-        for k in new:
+        for k in ids.fresh:
             if k[0] not in WHITE:
                 plain.append((k, " " + k))
             elif k[0] == "\n" and len(k) > 1 and k[1] not in WHITE:
                 plain.append((k, k))
             else:
                 odd.append((k, k))
-        self._add_joined(known, plain)
-        self._add(known, odd)
-        self._add(self.started, [(k, k) for k in first])
-        self.started[""] = b""
-        out = [self.started[k[0]] + b"".join(map(known.__getitem__, k[1:])) for k in keys]
-        for long in [k for k in new if len(k) > CACHED_CHARS]:
-            del known[long]
-        for long in [k for k in first if len(k) > CACHED_CHARS]:
-            del self.started[long]
+        self._add_joined(ids, plain)
+        self._add(ids, odd)
+        self._add(started, [(k, k) for k in started.fresh if k])
+        self._add_made(ids)
+        self._add_made(started)
+        out = [b"".join(p) for p in parts]
+        ids.close()
+        started.close()
         return out
 
-    def _add(self, known: dict[str, bytes], items: list[tuple[str, str]]) -> None:
+    def _add(self, known: _Known, items: list[tuple[str, str]]) -> None:
         found = self.tokenizer.encode_batch_fast([text for _, text in items], add_special_tokens=False) if items else []
-        known.update((key, np.array(e.ids, dtype="<u4").tobytes()) for (key, _), e in zip(items, found))
-
-    def _add_joined(self, known: dict[str, bytes], items: list[tuple[str, str]]) -> None:
+        for (key, _), e in zip(items, found):
+            known[key].extend(np.array(e.ids, dtype="<u4").tobytes())
+
+    def _add_made(self, known: _Known) -> None:
+        new = {key[len(letters):] for key, letters in known.made}.difference(self.marks)
+        found = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False) if new else []
+        self.marks.update((mark, np.array(e.ids, dtype="<u4").tobytes()) for mark, e in zip(list(new), found))
+        for key, letters in known.made:
+            known[key].extend(known[letters] + self.marks[key[len(letters):]])
+        if len(self.marks) > CACHE_SIZE // 10:
+            self.marks.clear()
+
+    def _add_joined(self, known: _Known, items: list[tuple[str, str]]) -> None:
         """Units of one white-space character and a word; joined, they are a text whose units they are."""
         parts = [items[low:low + JOINED] for low in range(0, len(items), JOINED)]
         texts = ["".join(t for _, t in part) for part in parts]
@@ -104,7 +162,8 @@ class UnitCache:
             raw = ids.tobytes()
             if len(borders) != len(part) + 1:
                 raise ValueError("the tokenizer does not begin a token at white space")
-            known.update((key, raw[a:b]) for (key, _), a, b in zip(part, borders, borders[1:]))
+            for (key, _), a, b in zip(part, borders, borders[1:]):
+                known[key].extend(raw[a:b])
 
 
 def cuts(n: int, longest: int) -> list[tuple[int, int]]:
