@@ -30,6 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.llm.induced_sort import MEMORY, suffixes
+from stockcast.llm.worker import let_go
 from stockcast.session import note_stage, shared_dir, write_stage
 
 WINDOW = 50
@@ -275,6 +276,7 @@ def _write_batches(docs: DataFrame, folder: str) -> DataFrame:
 
 
 def _open(folder: str, name: str, text_at: int, id_at: int) -> Batch:
+    let_go()  # a batch takes many times its bytes: what other operators or tasks left behind goes first
     store, root = pafs.FileSystem.from_uri(folder)
     with store.open_input_stream(f"{root}/{name}", compression=None) as f:
         return Batch(_bytes_table(f.read()), text_at, id_at)
@@ -408,6 +410,24 @@ def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
     return listed, write_stage(by_batch(bitmaps.unionByName(listed), tasks).mapInArrow(segments, PART), "segments"), tasks, n_shards
 
 
+def covered_in_shard(segments: list[bytes], owners: np.ndarray, by_value: bool, memory: int) -> list[list[tuple[int, int]]]:
+    """``covered_elsewhere`` over the segments of a shard. A value with one distinct segment needs no sort: its windows are
+    nowhere else, so the smallest owner alone decides."""
+    if not segments:
+        return []
+    if not by_value:
+        return covered_elsewhere(segments, owners, memory)
+    value = least_grams(np.frombuffer(b"".join(t[:WINDOW] for t in segments), np.uint8))[::WINDOW]
+    _, back, count = np.unique(value, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(count[back] > 1).tolist()
+    out: list[list[tuple[int, int]]] = [[] for _ in segments]
+    if not several:
+        return out
+    for i, runs in zip(several, covered_elsewhere([segments[i] for i in several], owners[several], memory)):
+        out[i] = runs
+    return out
+
+
 def by_batch(df: DataFrame, tasks: int) -> DataFrame:
     return df.repartition(tasks, "batch").sortWithinPartitions("batch", "kind", "shard")
 
@@ -438,7 +458,7 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
                     mine.append(k)
                 used.append((row["batch"], mine, own))
             least = np.array(owners, np.int64)
-            runs = covered_elsewhere(list(index), least, memory)
+            runs = covered_in_shard(list(index), least, shard < n_shards, memory)
             for name, mine, own in used:
                 keeper = least[mine]
                 cut = [(i, a, b) for i, (k, o) in enumerate(zip(mine, own)) if runs[k] and o == owners[k] for a, b in runs[k]]

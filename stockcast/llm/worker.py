@@ -12,8 +12,7 @@ _held: dict[object, object] = {}
 
 
 def give_back() -> None:
-    """Return free memory of Python, Arrow and the C library to the system, as a worker lives as long as its executor."""
-    gc.collect()
+    """Return free memory of Arrow and the C library to the system, as a worker lives as long as its executor."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library keeps it back
     if trim is not None:
@@ -23,13 +22,14 @@ def give_back() -> None:
 def keep(key: object, make: Callable[[], object]) -> object:
     """The state kept under ``key``, made on first use. Another operator's state is let go first."""
     if key not in _held:
-        _held.clear()
-        give_back()
+        let_go()
         _held[key] = make()
     return _held[key]
 
 
 def let_go() -> None:
     """Let all kept state go; for operators that keep none but need the memory."""
-    _held.clear()
+    if _held:
+        _held.clear()
+        gc.collect()
     give_back()
