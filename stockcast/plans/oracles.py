@@ -91,6 +91,7 @@ GOLD_SPLIT = f"""{GOLD},
 dated AS (SELECT gold.*, {_parts('Date', 'Date')} FROM gold),
 cut AS (SELECT max(Date) - INTERVAL 28 DAY AS c FROM gold),
 ref AS (SELECT d.* FROM dated d, cut WHERE d.Date <= c), cur AS (SELECT d.* FROM dated d, cut WHERE d.Date > c)"""
+GOLD_COLUMNS = f"""{GOLD}, late AS (SELECT * FROM gold WHERE Date > (SELECT max(Date) - INTERVAL 28 DAY FROM gold))"""
 EVENT_SPLIT = f"""cut AS (SELECT max(ts) - INTERVAL {EVENT_DAYS} DAY AS c FROM events),
 ref AS (SELECT value, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events, cut WHERE ts <= c),
 cur AS (SELECT value, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events, cut WHERE ts > c)"""
@@ -240,6 +241,16 @@ def oracle_sql() -> dict[str, str]:
     macro2 = ", ".join(f"round(COALESCE({c}, m_{c}), 3) AS {c}" for c in MACRO)
     medians = ", ".join(f"median({c}) AS m_{c}" for c in MACRO)
     naive = _naive(SALES)
+    mixed_report = f"""WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)}, rk AS ({_keys('ref', GOLD_CATS, '__MISSING__')}),
+ck AS ({_keys('cur', GOLD_CATS, '__MISSING__')}),
+rc AS (SELECT feature, key, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ref) AS share,
+ row_number() OVER (PARTITION BY feature ORDER BY COUNT(*) DESC, key) AS nr FROM rk GROUP BY 1, 2),
+cc AS (SELECT feature, key, COUNT(*) AS cnt FROM ck GROUP BY 1, 2)
+SELECT pos, feature, 'numeric' AS kind, psi, mean_batch, std_batch, out_of_range_rate, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS DOUBLE) AS delta,
+ CAST(NULL AS DOUBLE) AS missing_rate, n_batch_rows FROM report UNION ALL
+SELECT {len(GOLD_NUMBERS)} + CASE feature WHEN '{GOLD_CATS[0]}' THEN 0 ELSE 1 END, feature, 'categorical', NULL, NULL, NULL, NULL, rc.key,
+ round(CAST(COALESCE(cnt, 0) AS DOUBLE) / (SELECT COUNT(*) FROM cur) - share, 9), CAST(0 AS DOUBLE), (SELECT COUNT(*) FROM cur)
+FROM rc LEFT JOIN cc USING (feature, key) WHERE nr <= 30"""
     return {
         "enrich_panel": f"WITH {PANEL} SELECT * FROM enriched",
         "calendar_features": f"WITH {SALES} SELECT Store, Dept, Date, {_calendar('Date')} FROM sales",
@@ -333,30 +344,24 @@ SELECT pos, feature, bin, lo, hi, prop AS ref_prop, (SELECT COUNT(*) FROM ref) A
  (SELECT string_agg(feature, ',' ORDER BY psi DESC, pos) FROM (SELECT * FROM exact ORDER BY psi DESC, pos LIMIT 10)) AS top_features FROM exact""",
         "drift_category_psi": f"WITH {EVENT_SPLIT}, {_psi_category(event_keys)}, {_psi_result(event_keys, event_keys, ('cterm',))} "
                               f"SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi",
-        "drift_report_mixed": f"""WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)}, rk AS ({_keys('ref', GOLD_CATS, '__MISSING__')}),
-ck AS ({_keys('cur', GOLD_CATS, '__MISSING__')}),
-rc AS (SELECT feature, key, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ref) AS share,
- row_number() OVER (PARTITION BY feature ORDER BY COUNT(*) DESC, key) AS nr FROM rk GROUP BY 1, 2),
-cc AS (SELECT feature, key, COUNT(*) AS cnt FROM ck GROUP BY 1, 2)
-SELECT pos, feature, 'numeric' AS kind, psi, mean_batch, std_batch, out_of_range_rate, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS DOUBLE) AS delta,
- CAST(NULL AS DOUBLE) AS missing_rate, n_batch_rows FROM report UNION ALL
-SELECT {len(GOLD_NUMBERS)} + CASE feature WHEN '{GOLD_CATS[0]}' THEN 0 ELSE 1 END, feature, 'categorical', NULL, NULL, NULL, NULL, rc.key,
- round(CAST(COALESCE(cnt, 0) AS DOUBLE) / (SELECT COUNT(*) FROM cur) - share, 9), CAST(0 AS DOUBLE), (SELECT COUNT(*) FROM cur)
-FROM rc LEFT JOIN cc USING (feature, key) WHERE nr <= 30""",
+        "drift_report_mixed": mixed_report,
         "drift_width_bins20": f"WITH {LINE_SPLIT}, {_width_report(LINE_NUMBERS, 20)} SELECT * EXCLUDE (pos) FROM report",
         "drift_quantile_bins20": f"""WITH {LINE_SPLIT}, {_psi_numeric(LINE_NUMBERS, 20)}, {_psi_result(LINE_NUMBERS, (), ('nterm',))}
 SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi""",
-        "train_score_gbt": f"WITH {GOLD_SPLIT} SELECT Store, COUNT(*) AS n_scored, COUNT(*) AS n_finite, true AS beats_mean FROM cur GROUP BY 1",
+        "train_score_gbt": f"WITH {GOLD_COLUMNS} SELECT *, true AS finite, true AS beats_mean FROM late",
+        "score_expression": f"WITH {GOLD} SELECT *, true AS equal FROM gold",
+        "train_reference_settings": f"""WITH {GOLD_SPLIT}
+SELECT Store, COUNT(*) AS n_scored, true AS patience_ended, true AS grown_once, true AS beats_median FROM cur GROUP BY 1""",
+        "batch_predictions": f"WITH {GOLD_COLUMNS} SELECT *, true AS scored FROM late",
         "train_compare": f"""WITH {GOLD_SPLIT}, gm AS (SELECT Store, Dept, median(Weekly_Sales) AS m FROM ref GROUP BY 1, 2),
 om AS (SELECT median(Weekly_Sales) AS m FROM ref),
 scored AS (SELECT v.Store, v.Weekly_Sales, COALESCE(t.Weekly_Sales, gm.m, om.m) AS pred FROM cur v
  LEFT JOIN ref t ON t.Store=v.Store AND t.Dept=v.Dept AND t.Date + 364 = v.Date
  LEFT JOIN gm ON gm.Store=v.Store AND gm.Dept=v.Dept CROSS JOIN om),
 m AS ({_metrics('scored')})
-SELECT 'baseline' AS candidate, n, n_null, {sig('mae')} AS mae, {sig('rmse')} AS rmse, {sig('mape')} AS mape, {sig('cost_total')} AS cost_total, true AS sound FROM m
-UNION ALL SELECT 'model', n, n_null, NULL, NULL, NULL, NULL, true FROM m""",
-        "batch_job": f"""WITH {GOLD_SPLIT}, {_width_report(GOLD_NUMBERS)}
-SELECT Store, COUNT(*) AS n_scored, (SELECT COUNT(*) FROM report WHERE psi >= 0.2) AS n_drifting, {len(GOLD_FEATURES)} AS n_features FROM cur GROUP BY 1""",
+SELECT 'baseline' AS candidate, n, n_null, {sig('mae')} AS mae, {sig('rmse')} AS rmse, {sig('mape')} AS mape, {sig('cost_total')} AS cost_total, true AS sound, true AS decision_sound FROM m
+UNION ALL SELECT 'model', n, n_null, NULL, NULL, NULL, NULL, true, true FROM m""",
+        "batch_job": f"SELECT * EXCLUDE (pos) FROM ({mixed_report})",
         "drift_quantile_lineitem": f"""WITH {LINE_SPLIT},
 {_psi_numeric(line_cols)}, {_psi_category(('l_returnflag',))}, {_psi_result((*line_cols, 'l_returnflag'), ('l_returnflag',), ('nterm', 'cterm'))}
 SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi""",

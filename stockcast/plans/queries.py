@@ -10,7 +10,7 @@ from stockcast.defaults import DATE, KEYS, PREDICTION, TARGET
 from stockcast.functions.dates import parse_date
 from stockcast.functions.values import clip_low
 from stockcast.operators import drift_quantile as dq, drift_width as dw
-from stockcast.operators.boosting import fit_forecaster, fit_preprocess, score
+from stockcast.operators.boosting import fit_forecaster, fit_preprocess, score, score_by_expression
 from stockcast.operators.calendar import add_calendar, date_parts
 from stockcast.operators.distributions import column_profile, top_categories
 from stockcast.operators.encode import apply_dictionary, category_dictionary, model_matrix
@@ -21,7 +21,7 @@ from stockcast.operators.impute import fit_medians
 from stockcast.operators.naive import fill_with_medians, seasonal_naive
 from stockcast.operators.quantiles import exact_quantiles
 from stockcast.operators import scoring
-from stockcast.operators.temporal import latest_batch, temporal_split
+from stockcast.operators.temporal import latest_batch, reference_rows, temporal_split
 from stockcast.plans import jobs
 from stockcast.session import write_stage
 from stockcast.sources.panel import panel_tables, sales_panel, store_dimension, store_features, table
@@ -407,40 +407,87 @@ def q_drift_quantile_lineitem(spark, folder):
 
 # model jobs
 
+def _close(a: Column, b: Column) -> Column:
+    return F.abs(a - b) <= F.lit(1e-9) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
+
+
+def _trained(spark, folder, **options):
+    train, valid, _ = temporal_split(_gold(spark, folder))
+    return train, valid, fit_forecaster(train, valid, **options)
+
+
 def q_train_score_gbt(spark, folder):
-    """What is exact about a fitted model: rows scored per store, forecasts finite, and closer to its training rows than their mean."""
+    """Every scored row with its inputs whole, whether its forecast is finite, and whether the model beats the mean on its training rows."""
+    train, valid, forecaster = _trained(spark, folder, **FIT)
+    mean = train.agg(F.avg(TARGET)).first()[0]
+    error = lambda x: F.sum((F.col(TARGET) - x) * (F.col(TARGET) - x))
+    better = score(forecaster, train).agg((error(F.col(PREDICTION)) < error(F.lit(mean))).alias("b")).first()["b"]
+    finite = F.col(PREDICTION).isNotNull() & (F.abs(PREDICTION) < float("inf"))
+    return score(forecaster, valid).withColumn("finite", finite).withColumn("beats_mean", F.lit(better)).drop(PREDICTION)
+
+
+def q_score_expression(spark, folder):
+    """Every row of the dataset scored by the fitted pipeline and by the trees as SQL expressions; inputs whole."""
     gold = _gold(spark, folder)
     train, valid, _ = temporal_split(gold)
     forecaster = fit_forecaster(train, valid, **FIT)
-    scored = score(forecaster, valid)
-    mean = train.agg(F.avg(TARGET)).first()[0]
-    error = lambda x: F.sum((F.col(TARGET) - x) * (F.col(TARGET) - x))
-    fitted = score(forecaster, train)
-    better = fitted.agg((error(F.col(PREDICTION)) < error(F.lit(mean))).alias("b")).first()["b"]
-    finite = F.count_if(F.col(PREDICTION).isNotNull() & (F.abs(PREDICTION) < float("inf")))
-    return scored.groupBy("Store").agg(F.count(F.lit(1)).alias("n_scored"), finite.alias("n_finite")).withColumn("beats_mean", F.lit(better))
+    by_model = score(forecaster, gold)
+    both = score_by_expression(forecaster, by_model, out_col="by_expression")
+    return both.withColumn("equal", _close(F.col(PREDICTION), F.col("by_expression"))).drop(PREDICTION, "by_expression")
 
 
-def q_train_compare(spark, folder):
-    """Metrics of the seasonal baseline over the dataset, and the model's row counts beside it."""
-    metrics = jobs.run_training(_gold(spark, folder), **FIT).metrics
-    exact = ["mae", "rmse", "mape", "cost_total"]
-    shown = {c: F.when(F.col("candidate") == "baseline", sig(F.col(c))) for c in exact}
-    usable = F.col("mae").isNotNull() & ~F.isnan("mae") & (F.col("rmse") >= F.col("mae"))
-    return metrics.withColumn("sound", usable).withColumns(shown).select("candidate", "n", "n_null", *exact, "sound")
+def q_train_reference_settings(spark, folder):
+    """Patience 100, rate 0.03 and depth 6: patience ends the fit, no tree beyond it is kept or grown twice."""
+    train, valid, forecaster = _trained(spark, folder)
+    kept = forecaster.trees.getNumTrees - 1
+    once = 100 <= forecaster.rounds - kept < 110
+    model = scoring.forecast_metrics(score(forecaster, valid)).first()
+    naive = scoring.forecast_metrics(fill_with_medians(valid, train), pred_col="pred").first()
+    return valid.groupBy("Store").agg(F.count(F.lit(1)).alias("n_scored")).withColumns({
+        "patience_ended": F.lit(forecaster.patience_ended), "grown_once": F.lit(once),
+        "beats_median": F.lit(model["rmse"] < naive["rmse"])})
 
 
-def q_batch_job(spark, folder):
-    """Rows scored per store, and how many features of the whole drift report have moved."""
+def q_train_compare(spark, folder):
+    """Metrics of the seasonal baseline, and the model's held against their formulas over its predictions."""
+    result = jobs.run_training(_gold(spark, folder), **FIT)
+    exact = ["mae", "rmse", "mape", "cost_total"]
+    off = F.col(TARGET) - F.col(PREDICTION)
+    again = result.predictions.agg(
+        F.avg(F.abs(off)).alias("mae"), F.sqrt(F.avg(off * off)).alias("rmse"),
+        F.avg(F.abs(off) / F.greatest(F.abs(TARGET), F.lit(1e-8))).alias("mape"),
+        F.sum(F.greatest(off, F.lit(0.0)) * 6.0 + F.greatest(-off, F.lit(0.0)) * 1.5).alias("cost_total")).first()
+    model = F.col("candidate") == "model"
+    same = F.lit(True)
+    for c in exact:
+        same = same & F.when(model, _close(F.col(c), F.lit(again[c]))).otherwise(True)
+    decision = result.decision.first()
+    promoted = decision["promote"] == (decision["model_cost"] < decision["baseline_cost"]) and decision["model_cost"] > 0
+    shown = {c: F.when(~model, sig(F.col(c))) for c in exact}
+    return result.metrics.withColumn("sound", same).withColumns(shown).select(
+        "candidate", "n", "n_null", *exact, "sound").withColumn("decision_sound", F.lit(promoted))
+
+
+def _batch(spark, folder):
     gold = _gold(spark, folder)
-    train, valid, _ = temporal_split(gold)
+    train, valid, cutoff = temporal_split(gold)
     forecaster = fit_forecaster(train, valid, **FIT)
     prep = forecaster.preprocess
-    ref = write_stage(dw.width_reference(date_parts(train.drop(TARGET)), prep.feature_names, prep.cat_cols), "reference")
-    predictions, report = jobs.run_batch(gold, forecaster, ref)
-    rows = predictions.groupBy("Store").agg(F.count(PREDICTION).alias("n_scored"))
-    drifted = report.agg(F.count_if(F.col("psi") >= 0.2)).first()[0]
-    return rows.withColumn("n_drifting", F.lit(drifted)).withColumn("n_features", F.lit(len(prep.feature_names)))
+    watched = date_parts(reference_rows(gold, cutoff).drop(TARGET))
+    ref = write_stage(dw.width_reference(watched, prep.feature_names, prep.cat_cols), "reference")
+    return jobs.run_batch(gold, forecaster, ref)
+
+
+def q_batch_predictions(spark, folder):
+    """The latest rows with all their inputs, scored by the batch job."""
+    scored = _batch(spark, folder)[0]
+    return scored.withColumn("scored", F.col(PREDICTION).isNotNull()).drop(PREDICTION)
+
+
+def q_batch_job(spark, folder):
+    """The whole drift report of the batch job."""
+    report = rounded(_batch(spark, folder)[1], "psi", "mean_batch", "std_batch", "out_of_range_rate")
+    return report.withColumn("delta", F.round("delta", 9)).drop("pos")
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

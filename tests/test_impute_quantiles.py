@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stockcast.operators.impute import finalize_features, fit_medians, keep_full_history
-from stockcast.operators.quantiles import exact_quantiles
+from stockcast.operators.quantiles import bracket_counts, exact_quantiles
 
 
 def test_group_median_then_overall_median_of_filled_values(spark):
@@ -68,6 +68,22 @@ def test_overall_quantiles_of_any_list(spark, values):
             np.testing.assert_allclose(row["quantiles"], np.quantile(kept, [0, 0.25, 0.5, 1]), rtol=1e-9, atol=1e-6)
 
 
+def test_clusters_and_far_outliers_are_narrowed(spark):
+    """Equal-width cells would hold all but a few values; the values that one task sorts stay within the bound."""
+    rng = np.random.default_rng(8)
+    n, probs, bound = 60_000, [0.0, 0.25, 0.5, 0.9, 1.0], 1_500
+    clusters = np.concatenate([
+        rng.normal(0, 1e-9, n // 2), 5 + rng.normal(0, 1e-12, n // 4), np.full(n // 8, 7.0), rng.lognormal(0, 90, n // 8)])
+    rng.shuffle(clusters)
+    values = np.append(clusters, [1e300, -1e300, 1e250])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(8)
+    row = exact_quantiles(df, ["v"], probs, accuracy=500, max_rows=bound).first()
+    np.testing.assert_allclose(row["quantiles"], np.quantile(values, probs), rtol=1e-12)
+    counted = bracket_counts(df, ["v"], probs, [], 500, bound)
+    assert counted.count() <= bound and counted.agg(F.sum("w")).first()[0] == len(values)
+    assert bracket_counts(df, ["v"], probs, [], 500, 10**7).count() > bound  # without narrowing
+
+
 def test_large_bracket_tables_are_joined_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr("stockcast.operators.quantiles.MAX_LISTED", 4)
     df = spark.range(600).select((F.col("id") % 50).alias("g"), F.col("id").cast("double").alias("v"))
