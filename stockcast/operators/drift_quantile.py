@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockcast.defaults import N_BINS, PSI_THRESHOLD, TOP_FEATURES, TOP_K
 from stockcast.functions.scores import clipped_share, psi_term
-from stockcast.operators.distributions import bin_counts, category_counts, top_categories
+from stockcast.operators.distributions import ABSENT, feature_counts, top_of
 from stockcast.operators.encode import MISSING
 from stockcast.operators.hot_groups import pinned
 from stockcast.operators.quantiles import exact_quantiles
@@ -33,7 +33,8 @@ def quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS, edg
 
 
 def _shares(counts: DataFrame, prop: str) -> DataFrame:
-    """Counts per (feature, bin) as shares of the feature's counted rows."""
+    """Counts per (feature, bin) as shares of the feature's rows with a value."""
+    counts = counts.where(F.col("bin") != ABSENT)
     totals = F.broadcast(counts.groupBy("feature").agg(F.sum("cnt").alias("total")))
     return counts.join(totals, "feature").select("feature", "bin", (F.col("cnt") / F.col("total")).alias(prop))
 
@@ -51,22 +52,25 @@ def quantile_reference(
     top_k: int = TOP_K,
     edge_digits: int | None = None,
 ) -> DataFrame:
-    """Reference table over all features: one row per numeric bin or category key."""
+    """Reference table over all features: one row per numeric bin or category key.
+
+    Three scans if no bracket needs narrowing: sketches, values inside brackets, and bins with categories and row count.
+    """
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
     positions = _positions(df, feature_names, cat_cols)
-    n_ref = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    edges = quantile_edges(df, nums, n_bins, edge_digits) if nums else None
+    counts = feature_counts(df, edges.collect() if nums else [], nums, cats, MISSING, right_closed=False)
     parts = []
     if nums:
-        edges = quantile_edges(df, nums, n_bins, edge_digits)
-        shares = _shares(bin_counts(df, edges.collect(), nums, right_closed=False), "share")
+        shares = _shares(counts.bins(), "share")
         bins = edges.select("feature", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("bin"))
         parts.append(bins.join(shares, ["feature", "bin"], "left").select(
             "feature", "bin",
             F.get("cuts", F.col("bin") - 1).alias("lo"), F.get("cuts", F.col("bin")).alias("hi"),
             F.lit(None).cast("string").alias("key"), F.coalesce("share", F.lit(0.0)).alias("ref_prop")))
     if cats:
-        top = top_categories(df, cats, MISSING, top_k)
+        top = top_of(counts, top_k)
         rest = top.groupBy("feature").agg(F.greatest(F.lit(0.0), F.lit(1.0) - F.sum("share")).alias("share"))
         keyed = top.where(F.col("key") != OTHER).select("feature", "key", "share").unionByName(
             rest.select("feature", F.lit(OTHER).alias("key"), "share"))
@@ -75,7 +79,7 @@ def quantile_reference(
             F.lit(None).cast("double").alias("hi"), "key", F.col("share").alias("ref_prop")))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows.join(positions, "feature").select(
-        "pos", "feature", "kind", "bin", "lo", "hi", "key", "ref_prop", n_ref.cast("bigint").alias("n_ref"))
+        "pos", "feature", "kind", "bin", "lo", "hi", "key", "ref_prop", F.lit(counts.n_rows).cast("bigint").alias("n_ref"))
 
 
 def reference_edges(reference: DataFrame) -> DataFrame:
@@ -91,27 +95,28 @@ def quantile_psi(
 ) -> DataFrame:
     """PSI of current rows against a reference: (pos, feature, kind, psi).
 
-    The reference says how many bins a feature has. Numeric features without a reference are left out; categorical ones get 0.
+    One scan of the current rows. The reference says how many bins a feature has. Numeric features without a reference are left out; categorical ones get 0.
     """
     absent = [c for c in feature_names if c not in df.columns]
     if absent:
         raise KeyError(f"columns missing from the current data: {', '.join(absent)}")
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
+    edges = reference_edges(reference).collect() if nums else []
+    counts = feature_counts(df, edges, nums, cats, MISSING, right_closed=False)
     terms = []
     if nums:
-        shares = _shares(bin_counts(df, reference_edges(reference).collect(), nums, right_closed=False), "cur_prop")
+        shares = _shares(counts.bins(), "cur_prop")
         terms.append(reference.where(F.col("kind") == "numeric").join(shares, ["feature", "bin"], "left")
                      .select("feature", "ref_prop", "cur_prop"))
     if cats:
         ref = reference.where(F.col("kind") == "categorical").select("feature", "key", "ref_prop")
         known = ref.where(F.col("key") != OTHER).select("feature", "key", F.col("key").alias("bucket"))
-        total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
         # a reference holds at most top_k + 1 keys per feature, so it is the side to broadcast
         current = (
-            category_counts(df, cats, MISSING).join(F.broadcast(known), ["feature", "key"], "left")
+            counts.categories().join(F.broadcast(known), ["feature", "key"], "left")
             .groupBy("feature", F.coalesce("bucket", F.lit(OTHER)).alias("key"))
-            .agg((F.sum("cnt") / total).alias("cur_prop"))
+            .agg((F.sum("cnt") / F.lit(counts.n_rows)).alias("cur_prop"))
         )
         terms.append(ref.join(current, ["feature", "key"], "left").select("feature", "ref_prop", "cur_prop"))
     rows = terms[0] if len(terms) == 1 else terms[0].unionByName(terms[1])

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stockcast.defaults import N_BINS, TOP_K
 from stockcast.functions import sqltext as sql
 from stockcast.functions.scores import psi_term
-from stockcast.functions.values import type_of
-from stockcast.operators.distributions import bin_counts, category_counts, column_profile, top_categories
+from stockcast.operators.distributions import (
+    ABSENT, OUTSIDE, FeatureCounts, column_profile, combined_moments, feature_counts, top_of,
+)
 from stockcast.operators.hot_groups import pinned
 
 MISSING = "__MISSING__"
@@ -46,32 +47,22 @@ def _with_features(df: DataFrame, feature_names: Sequence[str], cat_cols: Sequen
     return df.select(*[F.col(c) if c in df.columns else absent(c) for c in feature_names])
 
 
-def _absent(df: DataFrame, c: str) -> str:
-    """SQL: the value is NULL or NaN, as in the column profile."""
-    floating = isinstance(type_of(df, c), (T.FloatType, T.DoubleType))
-    return f"{sql.name(c)} IS NULL" + f" OR isnan({sql.name(c)})" * floating
-
-
-def _missing_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    rates = [
-        sql.struct(feature=sql.text(c), missing_rate=f"avg(IF({_absent(df, c)}, 1.0D, 0.0D))", n_rows="count(1)") for c in cols]
-    return df.agg(*[F.expr(r).alias(f"__{i}") for i, r in enumerate(rates)]).selectExpr(
-        f"inline({sql.array(f'__{i}' for i in range(len(cols)))})")
-
-
 def width_reference(
     df: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str], n_bins: int = N_BINS, top_k: int = TOP_K
 ) -> DataFrame:
-    """Reference table over all features: one row per numeric bin or frequent category."""
+    """Reference table over all features: one row per numeric bin or frequent category.
+
+    Two scans: the profile of the numbers, and bins with categories and row count.
+    """
     df = _with_features(df, feature_names, cat_cols)
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
     position = f"array_position({sql.array(map(sql.text, feature_names))}, feature) - 1"
+    edges = pinned(width_edges(column_profile(df, nums), n_bins), "width-edges")[0] if nums else None
+    counts = feature_counts(df, edges.collect() if nums else [], nums, cats, MISSING, right_closed=True)
     parts = []
     if nums:
-        edges = pinned(width_edges(column_profile(df, nums), n_bins), "width-edges")[0]
-        counts = bin_counts(df, edges.collect(), nums, right_closed=True)
-        bins = _bins(edges, n_bins).join(counts, ["feature", "bin"], "left")
+        bins = _bins(edges, n_bins).join(counts.bins(), ["feature", "bin"], "left")
         cnt = F.coalesce("cnt", F.lit(0))
         parts.append(bins.select(
             "feature", F.lit("numeric").alias("kind"), "bin", F.col("bin_lo").alias("lo"), F.col("bin_hi").alias("hi"),
@@ -79,7 +70,7 @@ def width_reference(
             "missing_rate", "mean", "std", "min", "max", "n_rows"))
     if cats:
         nothing = F.lit(None).cast("double")
-        top = top_categories(df, cats, MISSING, top_k).join(F.broadcast(_missing_rates(df, cats)), "feature")
+        top = top_of(counts, top_k).join(F.broadcast(counts.missing_rates()), "feature")
         parts.append(top.select(
             "feature", F.lit("categorical").alias("kind"), F.lit(None).cast("int").alias("bin"),
             nothing.alias("lo"), nothing.alias("hi"), "key", "cnt", "share", "missing_rate",
@@ -88,20 +79,21 @@ def width_reference(
     return rows.selectExpr(f"CAST({position} AS INT) AS pos", "*")
 
 
-def numeric_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """PSI, mean, population std and out-of-range rate of each numeric reference feature.
-
-    The reference says how many bins a feature has. Batch rows outside its range are in no bin; if
-    all are, PSI is NULL.
-    """
-    ref = reference.where((F.col("kind") == "numeric") & F.col("feature").isin(list(cols)))
-    edges = ref.groupBy("feature").agg(
+def _reference_edges(ref: DataFrame) -> DataFrame:
+    return ref.groupBy("feature").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.array_sort(F.collect_list(F.when(F.col("bin") > 0, F.col("lo")))).alias("cuts"))
-    counts = bin_counts(batch, edges.collect(), cols, right_closed=True)
-    seen = counts.groupBy("feature").agg(
-        F.sum("cnt").alias("n_all"), F.sum(F.when(F.col("bin").isNotNull(), F.col("cnt"))).alias("n_in"))
-    cur = counts.where(F.col("bin").isNotNull()).withColumnRenamed("cnt", "cur_cnt")
+
+
+def numeric_drift(ref: DataFrame, bins: DataFrame) -> DataFrame:
+    """PSI, mean, population std and out-of-range rate of each numeric reference feature, from the batch's bins.
+
+    Batch rows outside the reference's range are in no bin; if all are, PSI is NULL.
+    """
+    counts = bins.where(F.col("bin") != ABSENT)
+    inside = F.when(F.col("bin") != OUTSIDE, F.col("cnt"))
+    seen = counts.groupBy("feature").agg(F.sum("cnt").alias("n_all"), F.sum(inside).alias("n_in"))
+    cur = counts.where(F.col("bin") != OUTSIDE).select("feature", "bin", F.col("cnt").alias("cur_cnt"))
     total = ref.groupBy("feature").agg(F.sum("cnt").alias("ref_n"))
 
     def share(cnt: Column, n: Column) -> Column:
@@ -116,42 +108,47 @@ def numeric_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str]) -
                 share(F.coalesce("cur_cnt", F.lit(0)), F.col("n_in"))))).alias("psi"),
              F.max((F.col("n_all") - F.coalesce("n_in", F.lit(0))) / F.col("n_all")).alias("out_of_range_rate"))
     )
-    stats = column_profile(batch, cols).select("feature", F.col("mean").alias("mean_batch"), "std_batch")
+    stats = combined_moments(bins).select("feature", F.col("mean").alias("mean_batch"), "std_batch")
     return ref.select("pos", "feature", "kind").distinct().join(stats, "feature", "left").join(psi, "feature", "left")
 
 
-def category_drift(batch: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
+def category_drift(ref: DataFrame, counts: FeatureCounts) -> DataFrame:
     """Share in the batch minus share in the reference for every reference category."""
-    ref = reference.where((F.col("kind") == "categorical") & F.col("feature").isin(list(cols)))
-    rates = F.broadcast(_missing_rates(batch, cols).withColumnsRenamed({"missing_rate": "rate", "n_rows": "n"}))
-    cur = category_counts(batch, cols, MISSING).withColumnRenamed("cnt", "cur_cnt")
+    cur = counts.categories().withColumnRenamed("cnt", "cur_cnt")
     listed = ref.select("feature", "key", F.col("share"), "pos", "kind")
     # only listed keys matter: the small reference filters the counts before they are joined back
     cur = cur.join(F.broadcast(ref.select("feature", "key")), ["feature", "key"], "left_semi")
-    return listed.join(F.broadcast(cur), ["feature", "key"], "left").join(rates, "feature").select(
+    n = F.lit(counts.n_rows)
+    return listed.join(F.broadcast(cur), ["feature", "key"], "left").join(F.broadcast(counts.missing_rates()), "feature", "left").select(
         "pos", "feature", "kind", F.col("key").alias("value"),
-        F.when(F.col("n") > 0, F.coalesce("cur_cnt", F.lit(0)) / F.nullif(F.col("n"), F.lit(0)) - F.col("share")).alias("delta"),
-        F.col("rate").alias("missing_rate"))
+        F.when(n > 0, F.coalesce("cur_cnt", F.lit(0)) / F.nullif(n, F.lit(0)) - F.col("share")).alias("delta"),
+        "missing_rate")
 
 
 def drift_report(
     batch: DataFrame, reference: DataFrame, feature_names: Sequence[str], cat_cols: Sequence[str]
 ) -> DataFrame:
-    """Long report over all reference features; columns absent from the batch count as all NULL."""
+    """Long report over all reference features; columns absent from the batch count as all NULL.
+
+    One scan of the batch. The reference says how many bins a feature has.
+    """
     batch = _with_features(batch, feature_names, cat_cols)
-    n_rows = batch.agg(F.count(F.lit(1)).alias("n")).scalar()
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
+    ref_nums = reference.where((F.col("kind") == "numeric") & F.col("feature").isin(nums))
+    ref_cats = reference.where((F.col("kind") == "categorical") & F.col("feature").isin(cats))
+    edges = _reference_edges(ref_nums).collect() if nums else []
+    counts = feature_counts(batch, edges, nums, cats, MISSING, right_closed=True, moments=True)
     parts = []
     if nums:
-        parts.append(numeric_drift(batch, reference, nums).select(
+        parts.append(numeric_drift(ref_nums, counts.bins()).select(
             "pos", "feature", "kind", "psi", "mean_batch", "std_batch", "out_of_range_rate",
             F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("delta"),
             F.lit(None).cast("double").alias("missing_rate")))
     if cats:
         nothing = F.lit(None).cast("double")
-        parts.append(category_drift(batch, reference, cats).select(
+        parts.append(category_drift(ref_cats, counts).select(
             "pos", "feature", "kind", nothing.alias("psi"), nothing.alias("mean_batch"), nothing.alias("std_batch"),
             nothing.alias("out_of_range_rate"), "value", "delta", "missing_rate"))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.withColumn("n_batch_rows", n_rows)
+    return rows.withColumn("n_batch_rows", F.lit(counts.n_rows).cast("bigint"))

@@ -1,10 +1,11 @@
 import math
+import tempfile
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from stockcast.operators.distributions import bin_counts, column_profile, top_categories
+from stockcast.operators.distributions import column_profile, feature_counts, top_categories
 from stockcast.operators.drift_quantile import drift_summary, quantile_psi, quantile_reference, top_drifting
 from stockcast.operators.drift_width import drift_report, width_reference
 
@@ -182,6 +183,38 @@ def test_bin_closure_is_a_parameter(spark):
     df = numbers(spark, [0.5, 1.0, 1.5, 2.0, 3.0])
 
     def count(right):
-        return {r["bin"]: r["cnt"] for r in bin_counts(df, edges.collect(), ["x"], right).collect()}
+        counted = feature_counts(df, edges.collect(), ["x"], [], "missing", right)
+        return {r["bin"]: r["cnt"] for r in counted.bins().collect()}
 
     assert count(False) == {0: 1, 1: 2, 2: 2} and count(True) == {0: 2, 1: 2, 2: 1}
+
+
+def scans_of(spark, folder, job):
+    """How often a job's queries read a folder, by the final plans of all that it ran."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    count = 0
+    executions = store.executionsList(int(before), 10_000)
+    for i in range(executions.size()):
+        nodes = store.planGraph(executions.apply(i).executionId()).allNodes()
+        count += sum(1 for j in range(nodes.size()) if "Scan parquet" in nodes.apply(j).name() and folder in nodes.apply(j).desc())
+    return count
+
+
+@pytest.mark.parametrize("build, report, most", [
+    (width_reference, lambda df, ref: drift_report(df, ref, ["x", "y", "c"], ["c"]), 2),
+    (quantile_reference, lambda df, ref: quantile_psi(df, ref, ["x", "y", "c"], ["c"]), 3)])
+def test_scans_of_reference_and_current_side(spark, build, report, most):
+    tmp_path = tempfile.mkdtemp(prefix="s-")  # plans show the first hundred characters of a path
+    rows = spark.range(50_000).selectExpr(
+        "CAST(id % 977 AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS y", "IF(id % 9 = 0, NULL, CAST(id % 40 AS STRING)) AS c")
+    for name in ("ref", "cur"):
+        rows.write.parquet(f"{tmp_path}/{name}_data")
+    before, now = (spark.read.parquet(f"{tmp_path}/{name}_data") for name in ("ref", "cur"))
+    build(before, ["x", "y", "c"], ["c"]).write.parquet(f"{tmp_path}/table")  # the same, to have it outside the count
+    count = scans_of(spark, "ref_data", lambda: build(before, ["x", "y", "c"], ["c"]).collect())
+    assert 1 <= count <= most
+    ref = spark.read.parquet(f"{tmp_path}/table")
+    assert scans_of(spark, "cur_data", lambda: report(now, ref).collect()) == 1
