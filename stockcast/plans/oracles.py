@@ -341,7 +341,8 @@ SELECT pos, feature, bin, lo, hi, prop AS ref_prop, (SELECT COUNT(*) FROM ref) A
         "drift_top_features": f"{GOLD_PSI} SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi ORDER BY 4 DESC, pos LIMIT 10",
         "drift_quantile_summary": f"""{GOLD_PSI}, exact AS (SELECT pos, feature, {sig('psi')} AS psi FROM psi) SELECT COALESCE(MAX(psi) >= 0.2, false) AS drift_detected, CAST(0.2 AS DOUBLE) AS drift_threshold,
  MAX(psi) AS max_psi, COUNT(*) FILTER (psi >= 0.2) AS n_features_over_threshold,
- (SELECT string_agg(feature, ',' ORDER BY psi DESC, pos) FROM (SELECT * FROM exact ORDER BY psi DESC, pos LIMIT 10)) AS top_features FROM exact""",
+ (SELECT string_agg(feature, ',' ORDER BY psi DESC, pos) FROM (SELECT * FROM exact ORDER BY psi DESC, pos LIMIT 10)) AS top_features,
+ (SELECT string_agg(printf('%.6f', psi), ',' ORDER BY psi DESC, pos) FROM (SELECT * FROM exact ORDER BY psi DESC, pos LIMIT 10)) AS top_psi FROM exact""",
         "drift_category_psi": f"WITH {EVENT_SPLIT}, {_psi_category(event_keys)}, {_psi_result(event_keys, event_keys, ('cterm',))} "
                               f"SELECT pos, feature, kind, {sig('psi')} AS psi FROM psi",
         "drift_report_mixed": mixed_report,

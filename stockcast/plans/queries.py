@@ -387,7 +387,9 @@ def q_drift_top_features(spark, folder):
 
 def q_drift_quantile_summary(spark, folder):
     summary = dq.drift_summary(rounded(_quantile_psi(spark, folder), "psi"))
-    return summary.withColumn("top_features", F.array_join(F.transform("top_features", lambda t: t["feature"]), ","))
+    return summary.withColumn(
+        "top_psi", F.array_join(F.transform("top_features", lambda t: F.format_string("%.6f", t["psi"])), ",")
+    ).withColumn("top_features", F.array_join(F.transform("top_features", lambda t: t["feature"]), ","))
 
 
 def q_drift_category_psi(spark, folder):
