@@ -6,6 +6,7 @@ DATE = "Date"
 TARGET = "Weekly_Sales"
 HOLIDAY = "IsHoliday"
 PREDICTION = "y_pred"
+MONTH = "date_month"  # partition column of dated tables: year * 100 + month
 
 HORIZON_DAYS = 28
 SEASON_DAYS = 364  # 52 weeks

@@ -25,8 +25,8 @@ from stockcast.operators.naive import seasonal_naive
 from stockcast.operators.scoring import cost_scenarios, forecast_metrics, promotion
 from stockcast.operators.temporal import latest_batch, reference_rows, temporal_split
 from stockcast.sources.artifacts import load_forecaster, load_reference, save_forecaster, save_reference
-from stockcast.session import write_stage
-from stockcast.sources.files import read_parquet, read_raw, write_parquet
+from stockcast.session import own_stages, write_stage
+from stockcast.sources.files import read_parquet, read_raw, write_by_month, write_parquet
 
 
 def build_dataset(
@@ -145,30 +145,36 @@ def segment_report(
 def training_job(spark: SparkSession, raw_dir: str, out_dir: str, **options) -> DataFrame:
     """Raw CSV files to dataset, model, predictions, metrics, drift reference and promotion decision.
 
-    All results are written below ``out_dir``; returns the written decision.
+    All results are written below ``out_dir``, the dataset by months; returns the written decision. Intermediate tables are
+    removed at the end.
     """
-    raw = read_raw(spark, raw_dir)
-    write_parquet(build_dataset(raw["train"], raw["features"], raw["stores"]), f"{out_dir}/dataset")
-    result = run_training(read_parquet(spark, f"{out_dir}/dataset"), **options)
-    write_parquet(result.predictions, f"{out_dir}/valid_predictions")
-    write_parquet(result.metrics, f"{out_dir}/metrics")
-    save_reference(result.reference, f"{out_dir}/drift_reference")
-    save_forecaster(spark, result.forecaster, f"{out_dir}/model")
-    metrics = read_parquet(spark, f"{out_dir}/metrics")
-    write_parquet(promotion(metrics, "baseline", "model"), f"{out_dir}/decision")
+    with own_stages(spark):
+        raw = read_raw(spark, raw_dir)
+        write_by_month(build_dataset(raw["train"], raw["features"], raw["stores"]), f"{out_dir}/dataset")
+        result = run_training(read_parquet(spark, f"{out_dir}/dataset"), **options)
+        write_parquet(result.predictions, f"{out_dir}/valid_predictions")
+        write_parquet(result.metrics, f"{out_dir}/metrics")
+        save_reference(result.reference, f"{out_dir}/drift_reference")
+        save_forecaster(spark, result.forecaster, f"{out_dir}/model")
+        metrics = read_parquet(spark, f"{out_dir}/metrics")
+        write_parquet(promotion(metrics, "baseline", "model"), f"{out_dir}/decision")
     return read_parquet(spark, f"{out_dir}/decision")
 
 
 def batch_job(spark: SparkSession, out_dir: str, horizon_days: int = HORIZON_DAYS) -> DataFrame | None:
-    """Score the latest rows of the written dataset and report drift; None without a reference."""
-    forecaster = load_forecaster(spark, f"{out_dir}/model")
-    try:
-        reference = load_reference(spark, f"{out_dir}/drift_reference")
-    except FileNotFoundError:
-        reference = None
-    predictions, report = run_batch(read_parquet(spark, f"{out_dir}/dataset"), forecaster, reference, horizon_days=horizon_days)
-    write_parquet(predictions, f"{out_dir}/batch_predictions")
-    if report is None:
-        return None
-    save_reference(report, f"{out_dir}/drift_report")
+    """Score the latest rows of the written dataset and report drift; None without a reference.
+
+    Predictions are written by months: a later run replaces the months it covers. Intermediate tables are removed at the end.
+    """
+    with own_stages(spark):
+        forecaster = load_forecaster(spark, f"{out_dir}/model")
+        try:
+            reference = load_reference(spark, f"{out_dir}/drift_reference")
+        except FileNotFoundError:
+            reference = None
+        predictions, report = run_batch(read_parquet(spark, f"{out_dir}/dataset"), forecaster, reference, horizon_days=horizon_days)
+        write_by_month(predictions, f"{out_dir}/batch_predictions")
+        if report is None:
+            return None
+        save_reference(report, f"{out_dir}/drift_report")
     return load_reference(spark, f"{out_dir}/drift_report")

@@ -55,6 +55,8 @@ SELECT feature, round(psi.psi, 6) AS psi, round(CAST(nv - cn AS DOUBLE) / nv, 6)
 FROM psi JOIN st USING (feature) JOIN tot USING (feature)""",
         "reference_rows": """WITH t AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'unknown' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
 SELECT * FROM t WHERE TRY_CAST(day AS DATE) <= (SELECT max(TRY_CAST(day AS DATE)) - 28 FROM t)""",
+        "gold_by_month": f"""WITH {base.SALES} SELECT *, (SELECT COUNT(*) FROM sales) AS n_rows FROM sales
+WHERE Date > (SELECT max(Date) - INTERVAL 28 DAY FROM sales)""",
         "segment_one": f"""WITH {base._naive(base.SALES)}
 SELECT Date, Weekly_Sales AS Real, round(pred, 4) AS Previsto FROM naive WHERE Store = 1 AND Dept = (SELECT min(Dept) FROM naive WHERE Store = 1)""",
     }

@@ -15,10 +15,10 @@ from stockcast.operators.encode import model_matrix
 from stockcast.operators.enrich import enrich_panel
 from stockcast.operators.impute import fit_medians
 from stockcast.operators.naive import seasonal_naive
-from stockcast.operators.temporal import cutoff_date, reference_rows, temporal_split
+from stockcast.operators.temporal import cutoff_date, latest_batch, month_number, reference_rows, temporal_split
 from stockcast.session import note_stage, shared_dir, write_stage
 from stockcast.sources import artifacts, json_artifacts
-from stockcast.sources.files import SCHEMAS, read_csv
+from stockcast.sources.files import SCHEMAS, read_csv, write_by_month
 from stockcast.sources.panel import panel_tables, sales_panel, store_features, table
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -143,5 +143,18 @@ def q_segment_one(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.segment_series(forecast, dict(zip(KEYS, (1, first))), pred_col="pred").withColumn("Previsto", F.round("Previsto", 4))
 
 
+def q_gold_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly sales written by months, the last months written again, and the latest batch read from what it needs."""
+    path = f"{_place(spark, 'by-month')}/sales"
+    sales = write_stage(sales_panel(spark, folder), "sales")
+    write_by_month(sales, path)
+    again = latest_batch(sales, horizon_days=70)
+    months = again.select(month_number(F.col("Date")).alias("m")).distinct()
+    write_by_month(sales.join(F.broadcast(months), month_number(F.col("Date")) == F.col("m"), "left_semi"), path)
+    whole = spark.read.parquet(path)
+    rows = whole.count()
+    return latest_batch(whole).withColumn("n_rows", F.lit(rows))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stockcast.defaults import DATE, MONTH
+from stockcast.operators.temporal import moment, month_number
+
 # Spellings of a missing value in the input files.
 NA_STRINGS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -47,3 +50,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a parquet table, optionally partitioned (for example by year)."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def write_by_month(df: DataFrame, path: str, date_col: str = DATE) -> None:
+    """Write a dated table in partitions by month; the months that ``df`` has are replaced, others stay.
+
+    Rows without a date have a partition of their own. The time split and the latest batch read only the months they need.
+    """
+    dated = df.withColumn(MONTH, month_number(moment(df, date_col)))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from stockcast.operators.boosting import Forecaster, Preprocess, fit_forecaster, score, score_by_expression, stop_round
 from stockcast.operators.drift_quantile import quantile_reference
 from stockcast.operators.drift_width import width_reference
-from stockcast.operators.temporal import temporal_split
+from stockcast import session
+from stockcast.operators.temporal import latest_batch, temporal_split
 from stockcast.plans.jobs import batch_job, run_batch, run_training, segment_report, training_job
 from stockcast.session import own_stages, recorded_stages, remove_stages, shared_dir, write_stage
 from stockcast.sources import artifacts
-from stockcast.sources.files import SCHEMAS, read_csv, read_parquet, read_raw, write_parquet
+from stockcast.sources.files import SCHEMAS, read_csv, read_parquet, read_raw, write_by_month, write_parquet
 
 
 @pytest.fixture(scope="module")
@@ -152,6 +153,7 @@ def test_jobs_from_raw_files(spark, tmp_path):
         f"{s},{d},{40 + i % 9},2.5,NA,NA,{i},NA,1,{200 + i},7,{'TRUE' if i % 13 == 0 else 'FALSE'}\n" for s in (1, 2) for i, d in enumerate(weeks)))
     (raw / "train.csv").write_text("Store,Dept,Date,Weekly_Sales,IsHoliday\n" + "".join(
         f"{s},{k},{d},{100 * s + 10 * k + i % 7 - (500 if i == 30 else 0)},FALSE\n" for s in (1, 2) for k in (1, 2) for i, d in enumerate(weeks)))
+    before = list(session._written)
     decision = training_job(spark, str(raw), out, num_boost_round=4, early_stopping_rounds=None, max_depth=3, min_rows_per_leaf=2).first()
     assert decision["promote"] == (decision["model_cost"] < decision["baseline_cost"])
     dataset = read_parquet(spark, f"{out}/dataset")
@@ -159,6 +161,7 @@ def test_jobs_from_raw_files(spark, tmp_path):
     assert dataset.agg(F.min("lag_1")).first()[0] < 0 and dataset.where("MarkDown1 IS NOT NULL").count() == 0
     assert dataset.columns[:5] == ["Store", "Dept", "Date", "Weekly_Sales", "Temperature"]
     report = batch_job(spark, out)
+    assert session._written == before
     assert read_parquet(spark, f"{out}/batch_predictions").count() == 16 and report.where("psi IS NOT NULL").count() > 10
 
 
@@ -192,6 +195,35 @@ def test_parquet_overwrite_and_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
+def test_months_are_pruned_and_replaced_one_by_one(spark, tmp_path):
+    start, path = date(2010, 1, 4), f"{tmp_path}/m"
+    rows = [(s, start + timedelta(weeks=w), float(w)) for s in (1, 2) for w in range(60)] + [(3, None, 9.0)]
+    df = spark.createDataFrame(rows, "Store int, Date date, Weekly_Sales double")
+    write_by_month(df, path)
+    table = read_parquet(spark, path)
+    for side in (latest_batch(table), temporal_split(table)[1]):
+        assert "date_month" not in side.columns
+        assert sorted(map(str, side.collect())) == sorted(map(str, latest_batch(df).collect()))
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(date_month" in plan and "PushedFilters: [IsNotNull(Date), GreaterThan(Date,2011-" in plan
+    assert temporal_split(table)[0].count() == temporal_split(df)[0].count()
+    files = {f for f in table.inputFiles() if "date_month=201002" not in f}
+    write_by_month(df.where("month(Date) = 2 AND year(Date) = 2010").withColumn("Weekly_Sales", F.lit(-1.0)), path)
+    again = read_parquet(spark, path)
+    assert files <= set(again.inputFiles()) and again.count() == df.count() and again.where("Weekly_Sales = -1").count() == 8
+
+
+def test_jobs_leave_no_stage(spark, tmp_path, monkeypatch):
+    from stockcast import session
+    from stockcast.plans import jobs
+
+    monkeypatch.setattr(jobs, "read_raw", lambda spark, folder: 1 / 0)
+    before = list(session._written)
+    with pytest.raises(ZeroDivisionError):
+        training_job(spark, "none", str(tmp_path))
+    assert session._written == before
+
+
 def test_stage_is_written_to_the_shared_folder(spark):
     staged = write_stage(spark.range(3).toDF("id"), "t")
     assert staged.count() == 3
