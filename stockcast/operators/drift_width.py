@@ -57,21 +57,28 @@ def width_reference(
     df = _with_features(df, feature_names, cat_cols)
     nums = [c for c in feature_names if c not in cat_cols]
     cats = [c for c in feature_names if c in cat_cols]
-    position = f"array_position({sql.array(map(sql.text, feature_names))}, feature) - 1"
     edges = pinned(width_edges(column_profile(df, nums), n_bins), "width-edges")[0] if nums else None
     counts = feature_counts(df, edges.collect() if nums else [], nums, cats, MISSING, right_closed=True)
+    tops = top_of(counts, top_k).join(F.broadcast(counts.missing_rates()), "feature") if cats else None
+    return reference_rows_of(feature_names, edges, counts.bins() if nums else None, tops, n_bins)
+
+
+def reference_rows_of(
+    feature_names: Sequence[str], edges: DataFrame | None, bins: DataFrame | None, tops: DataFrame | None, n_bins: int
+) -> DataFrame:
+    """The reference table from edges with profiles, counts per (feature, bin), and ranked categories with rates."""
+    position = f"array_position({sql.array(map(sql.text, feature_names))}, feature) - 1"
     parts = []
-    if nums:
-        bins = _bins(edges, n_bins).join(counts.bins(), ["feature", "bin"], "left")
+    if edges is not None:
+        counted = _bins(edges, n_bins).join(bins, ["feature", "bin"], "left")
         cnt = F.coalesce("cnt", F.lit(0))
-        parts.append(bins.select(
+        parts.append(counted.select(
             "feature", F.lit("numeric").alias("kind"), "bin", F.col("bin_lo").alias("lo"), F.col("bin_hi").alias("hi"),
             F.lit(None).cast("string").alias("key"), cnt.alias("cnt"), (cnt / F.col("n")).alias("share"),
             "missing_rate", "mean", "std", "min", "max", "n_rows"))
-    if cats:
+    if tops is not None:
         nothing = F.lit(None).cast("double")
-        top = top_of(counts, top_k).join(F.broadcast(counts.missing_rates()), "feature")
-        parts.append(top.select(
+        parts.append(tops.select(
             "feature", F.lit("categorical").alias("kind"), F.lit(None).cast("int").alias("bin"),
             nothing.alias("lo"), nothing.alias("hi"), "key", "cnt", "share", "missing_rate",
             nothing.alias("mean"), nothing.alias("std"), nothing.alias("min"), nothing.alias("max"), "n_rows"))

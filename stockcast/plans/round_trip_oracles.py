@@ -55,6 +55,12 @@ SELECT feature, round(psi.psi, 6) AS psi, round(CAST(nv - cn AS DOUBLE) / nv, 6)
 FROM psi JOIN st USING (feature) JOIN tot USING (feature)""",
         "reference_rows": """WITH t AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'unknown' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
 SELECT * FROM t WHERE TRY_CAST(day AS DATE) <= (SELECT max(TRY_CAST(day AS DATE)) - 28 FROM t)""",
+        "merged_reference": f"""WITH cut AS (SELECT max(CAST(l_shipdate AS DATE)) - 365 AS c FROM lineitem),
+ref AS (SELECT l.* FROM lineitem l, cut WHERE CAST(l_shipdate AS DATE) <= c), {base._width_reference(LINE_NUMBERS)}
+SELECT CAST(pos AS INTEGER) AS pos, p.feature, bin, b.lo AS lo, b.hi AS hi, CAST(NULL AS VARCHAR) AS key, cnt, CAST(cnt AS DOUBLE) / n AS share, missing_rate,
+ round(mean, 6) AS mean, round(std, 6) AS std, mn AS min, mx AS max, n_rows FROM bins b JOIN prof p USING (feature) JOIN pos USING (feature)
+UNION ALL SELECT {len(LINE_NUMBERS)}, '{FLAG}', NULL, NULL, NULL, l_returnflag, COUNT(*), CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ref), 0.0,
+ NULL, NULL, NULL, NULL, (SELECT COUNT(*) FROM ref) FROM ref GROUP BY l_returnflag""",
         "gold_by_month": f"""WITH {base.SALES} SELECT *, (SELECT COUNT(*) FROM sales) AS n_rows FROM sales
 WHERE Date > (SELECT max(Date) - INTERVAL 28 DAY FROM sales)""",
         "segment_one": f"""WITH {base._naive(base.SALES)}

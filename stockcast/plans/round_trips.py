@@ -14,6 +14,7 @@ from stockcast.operators.boosting import fit_preprocess
 from stockcast.operators.encode import model_matrix
 from stockcast.operators.enrich import enrich_panel
 from stockcast.operators.impute import fit_medians
+from stockcast.operators.merged_reference import daily_counts, merged_width_reference, write_counts
 from stockcast.operators.naive import seasonal_naive
 from stockcast.operators.temporal import cutoff_date, latest_batch, month_number, reference_rows, temporal_split
 from stockcast.session import note_stage, shared_dir, write_stage
@@ -143,6 +144,21 @@ def q_segment_one(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.segment_series(forecast, dict(zip(KEYS, (1, first))), pred_col="pred").withColumn("Previsto", F.round("Previsto", 4))
 
 
+def q_merged_reference(spark: SparkSession, folder: str) -> DataFrame:
+    """A reference of order lines from counts per day: history stored once, the last months added later, then merged up to the cutoff."""
+    names = [*LINE_NUMBERS, FLAG]
+    lines = table(spark, folder, "lineitem").select(*names, "l_shipdate")
+    path = f"{_place(spark, 'daily')}/counts"
+    old, new, _ = temporal_split(lines, "l_shipdate", 700)
+    write_counts(daily_counts(old, names, [FLAG], "l_shipdate"), path)
+    first = month_number(new.agg(F.min("l_shipdate").cast("date").alias("d")).select("d").scalar())
+    later = lines.where(month_number(F.col("l_shipdate")) >= first)  # whole months, so the month of the border is written again
+    write_counts(daily_counts(later, names, [FLAG], "l_shipdate"), path)
+    cutoff = cutoff_date(lines.select(F.col("l_shipdate").cast("date").alias("d")), "d", 365)
+    ref = merged_width_reference(spark.read.parquet(path), cutoff, names, [FLAG])
+    return ref.withColumns({c: F.round(c, 6) for c in ("mean", "std")}).drop("kind")
+
+
 def q_gold_by_month(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly sales written by months, the last months written again, and the latest batch read from what it needs."""
     path = f"{_place(spark, 'by-month')}/sales"

@@ -57,5 +57,6 @@ def write_by_month(df: DataFrame, path: str, date_col: str = DATE) -> None:
 
     Rows without a date have a partition of their own. The time split and the latest batch read only the months they need.
     """
-    dated = df.withColumn(MONTH, month_number(moment(df, date_col)))
+    # rebalanced, so that small months are one file and large ones many
+    dated = df.withColumn(MONTH, month_number(moment(df, date_col))).hint("rebalance", F.col(MONTH))
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)

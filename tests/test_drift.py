@@ -5,9 +5,12 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from stockcast.operators.distributions import column_profile, feature_counts, top_categories
 from stockcast.operators.drift_quantile import drift_summary, quantile_psi, quantile_reference, top_drifting
 from stockcast.operators.drift_width import drift_report, width_reference
+from stockcast.operators.merged_reference import daily_counts, merged_width_reference, write_counts
 
 
 def numbers(spark, values, name="x"):
@@ -218,3 +221,26 @@ def test_scans_of_reference_and_current_side(spark, build, report, most):
     assert 1 <= count <= most
     ref = spark.read.parquet(f"{tmp_path}/table")
     assert scans_of(spark, "cur_data", lambda: report(now, ref).collect()) == 1
+
+
+def test_merged_counts_give_the_reference_of_the_rows(spark, tmp_path):
+    """Any cutoff, a month replaced later, missing values, text numbers, an absent and an empty feature."""
+    df = spark.range(4_000).selectExpr(
+        "date_add(DATE'2020-01-15', CAST(id % 150 AS INT)) AS Date", "IF(id % 11 = 0, NULL, CAST(id % 37 AS DOUBLE) / 4) AS x",
+        "IF(id % 5 = 0, 'bad', CAST(id % 8 AS STRING)) AS t", "CAST(NULL AS DOUBLE) AS e", "IF(id % 7 = 0, NULL, CAST(id % 50 AS STRING)) AS c")
+    names, path = ["x", "t", "e", "absent", "c"], f"{tmp_path}/counts"
+
+    def rows(ref):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in map(tuple, ref.fillna("-").fillna(-9.0).collect()))
+
+    write_counts(daily_counts(df.where("Date < '2020-04-10'"), names, ["c"]), path)
+    april = "Date >= '2020-04-01' AND Date < '2020-05-01'"
+    changed = df.withColumn("x", F.when(F.expr(april), F.col("x") + 100).otherwise(F.col("x")))
+    write_counts(daily_counts(changed.where("Date >= '2020-04-01'"), names, ["c"]), path)
+    counts = spark.read.parquet(path)
+    for cutoff in ("2020-02-03", "2020-04-30", "2021-01-01"):
+        day = F.lit(cutoff).cast("date")
+        want = width_reference(changed.where(F.col("Date") <= day), names, ["c"])
+        assert rows(merged_width_reference(counts, day, names, ["c"])) == rows(want)
+    plan = counts.where("date_month <= 202002")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_month" in plan
