@@ -36,8 +36,8 @@ from stockcast.session import note_stage, shared_dir, write_stage
 WINDOW = 50
 GRAM = 16
 BATCH_BYTES = 4 << 20    # text of a batch file
-SHARD_BYTES = 4 << 20    # text per shard of values (its repeated segments are a part of that)
-HOT_SHARE = 4            # a value with more than a shard's bytes through this, of distinct segments, is split
+SHARD_BYTES = 8 << 20    # text per shard of values (its repeated segments are a part of that)
+HOT_SHARE = 8            # a value with more than a shard's bytes through this, of distinct segments, is split
 RUN = 64                 # windows of a segment of a split value (only equal windows in a row share one)
 LAST_ID = (1 << 63) - 1  # documents without id come last
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
