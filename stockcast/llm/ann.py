@@ -92,11 +92,10 @@ def _matrix(raw: list[bytes], code: str) -> np.ndarray:
 
 
 def _in_bands(classes: DataFrame) -> DataFrame:
-    """Adds ``band``, from the longest vectors of a dimension down, and ``scale``, the largest norm of the band."""
-    norm = F.greatest("norm", F.lit(1e-300))
-    longest = pinned(classes.groupBy("dim").agg(F.max(norm).alias("longest")), "ann-longest")[0]
-    banded = classes.join(longest, "dim").withColumn("band", F.floor(F.log2(F.col("longest") / norm)).cast("int")).drop("longest")
-    scales = pinned(banded.groupBy("dim", "band").agg(F.max(norm).alias("scale")), "ann-bands")[0]
+    """Adds ``band``, from the longest vectors of a dimension down, and ``scale``, the binary logarithm of the band's largest norm."""
+    longest = pinned(classes.groupBy("dim").agg(F.max("size").alias("longest")), "ann-longest")[0]
+    banded = classes.join(longest, "dim").withColumn("band", F.floor(F.col("longest") - F.col("size")).cast("int")).drop("longest")
+    scales = pinned(banded.groupBy("dim", "band").agg(F.max("size").alias("scale")), "ann-bands")[0]
     return banded.join(scales, ["dim", "band"])
 
 
@@ -117,10 +116,12 @@ def _hashed(rows: DataFrame, code: str, probes: int, tables: int, hashes: int, c
                 part = batch.filter(pa.array(dims == dim))
                 x = _matrix(part.column("vec").to_pylist(), code)
                 if probes:
+                    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very long or short vectors do not fit a double
                     norm = np.sqrt((x * x).sum(axis=1))
                     lifted = np.concatenate([x / norm[:, None], np.zeros((len(x), 1))], axis=1)
                 else:
-                    x = x / part.column("scale").to_numpy()[:, None]
+                    scale = part.column("scale").to_numpy()[:, None]
+                    x = np.ldexp(x, -np.floor(scale).astype(np.int64)) * 2.0 ** (np.floor(scale) - scale)
                     lifted = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]], axis=1)
                 for tab in range(tables):
                     a, b = _projection(tab, int(dim), hashes, cell, seed)
@@ -137,14 +138,23 @@ def _hashed(rows: DataFrame, code: str, probes: int, tables: int, hashes: int, c
 
 def _block_best(q: np.ndarray, q_cls: np.ndarray, x: np.ndarray, x_cls: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, candidate, score) of the ``k`` best candidates of each query; scores are summed row by row."""
-    product = q @ x.T
+    own, other = q / np.abs(q).max(axis=1, keepdims=True), x / np.abs(x).max()
+    product = own @ other.T  # in the order of the scores, of any size
     if len(x) > k:
         near = np.argpartition(-product, k - 1, axis=1)[:, :k]
         least = np.take_along_axis(product, near, axis=1).min(axis=1)
-        i, j = np.nonzero(product >= least[:, None] - 1e-12)  # ties at the end stay in
+        margin = 1e-12 * np.sqrt((own * own).sum(axis=1)) * np.sqrt((other * other).sum(axis=1).max())
+        i, j = np.nonzero(product >= (least - margin)[:, None])  # ties at the end stay in
     else:
         i, j = np.nonzero(np.ones_like(product, dtype=bool))
-    return q_cls[i], x_cls[j], np.sum(q[i] * x[j], axis=1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = np.sum(q[i] * x[j], axis=1)
+        odd = np.flatnonzero(~np.isfinite(score))
+        if len(odd):  # infinities of both signs in one sum: add up scaled terms
+            a, b = q[i[odd]], x[j[odd]]
+            top_a, top_b = np.abs(a).max(axis=1), np.abs(b).max(axis=1)
+            score[odd] = np.sum(a / top_a[:, None] * (b / top_b[:, None]), axis=1) * top_a * top_b
+    return q_cls[i], x_cls[j], score
 
 
 def _candidates(index: DataFrame, probes: DataFrame, code: str, k: int) -> DataFrame:
@@ -199,7 +209,7 @@ def nearest(
 
     ``vectors`` and ``queries`` have vec_id and embedding; a query is no candidate of its own. Null ids,
     and vectors that are null, empty, zero or hold a null or non-finite component, take no part; vectors
-    of different lengths never meet. Rows that repeat an id and its vector count once. Ties go to the
+    of different lengths never meet. Components may be of any finite size; products beyond doubles are infinite. Rows that repeat an id and its vector count once. Ties go to the
     smaller vec_id. A query gets ``k`` if there are as many.
     """
     value = F.col("embedding").cast("array<double>")
@@ -265,13 +275,15 @@ def _code(*frames: DataFrame) -> str:
 
 
 def _packed(rows: DataFrame, code: str) -> DataFrame:
-    """Column v (array of doubles) as ``vec`` (little-endian bytes) with its ``norm``."""
+    """Column v (array of doubles, not all zero) as ``vec`` (little-endian bytes) with ``size``, the binary logarithm of its norm."""
     @F.arrow_udf("binary")
     def pack(v: pa.Array) -> pa.Array:
         return pa.array([np.asarray(x, code).tobytes() for x in v.to_pylist()], pa.binary())
 
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return rows.withColumn("norm", norm).withColumn("vec", pack(F.col("v"))).drop("v")
+    top = F.array_max(F.transform("v", F.abs))
+    rest = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("__top")) * (x / F.col("__top")))
+    sized = rows.withColumn("__top", top).withColumn("size", F.log2("__top") + F.log2(rest) / 2)
+    return sized.withColumn("vec", pack(F.col("v"))).drop("v", "__top")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

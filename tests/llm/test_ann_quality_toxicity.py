@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -25,6 +26,27 @@ def brute_nearest(rows, query_ids, k):
     return out
 
 
+def test_vectors_of_any_size(spark):
+    """Components near the ends of the range of doubles: no overflow in norms, ties by relative size, sums of both infinities."""
+    rng = np.random.default_rng(6)
+    for size in (1e200, 1e-200, 1e307, 5e-324, 1.0):
+        x = rng.integers(-3, 4, (120, 6)) * size
+        x[:, 0] = np.where((x == 0).all(axis=1), size, x[:, 0])
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        got = ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=119).collect()
+        assert len(got) == 6 * 119
+        with np.errstate(over="ignore", invalid="ignore"):
+            for q in range(0, 120, 20):
+                mine = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+                exact = (x[q] / size * (x / size)).sum(axis=1)
+                want = sorted((i for i in range(120) if i != q), key=lambda i: (-round(exact[i]), i))
+                if size == 1.0:
+                    assert [r.vec_id for r in mine] == want
+                assert all(r.score == exact[r.vec_id] * size * size for r in mine if math.isfinite(r.score) and r.score)
+                assert all(a.score >= b.score for a, b in zip(mine, mine[1:]))
+                assert not any(math.isnan(r.score) for r in mine)
+
+
 def test_exact_when_every_bucket_is_visited(spark, monkeypatch):
     monkeypatch.setattr(ann, "CHUNK", 7)
     rng = np.random.default_rng(0)
