@@ -153,6 +153,25 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
 FROM p
 """
 
+OP7_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT r, doc_id, h, unnest(range(length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT s, MIN(doc_id) AS first FROM w GROUP BY s),
+late AS (SELECT w.r, w.i, COALESCE(w.i > lag(w.i) OVER (PARTITION BY w.r ORDER BY w.i) + 50, TRUE) AS fresh
+         FROM w JOIN f USING (s) WHERE f.first < w.doc_id),
+n AS (SELECT r, i, SUM(CAST(fresh AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS k FROM late),
+spans AS (SELECT r, k, MIN(i) AS a, MAX(i) + 50 AS b FROM n GROUP BY r, k),
+gaps AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM spans),
+cut AS (SELECT g.r, SUM(b - a) AS n_removed, COUNT(*) AS n_spans, MAX(b) AS last,
+               string_agg(substr(d.h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+        FROM gaps g JOIN d USING (r) GROUP BY g.r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(COALESCE(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
@@ -172,4 +191,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the result; the others are tested against brute force in tests/llm."""
-    return {"op1_warc_capture_index": OP1_SQL, "op13_bloom_line_dedup": OP13_SQL}
+    return {"op1_warc_capture_index": OP1_SQL, "op7_induced_suffix_dedup": OP7_SQL, "op13_bloom_line_dedup": OP13_SQL}
