@@ -275,21 +275,28 @@ def neighbour_lengths(text: np.ndarray, order: np.ndarray, cap: int, memory: int
 
 
 def double_prefixes(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of a string of names that fits memory, by doubling; ``depth`` names decide (0: all)."""
+    """Order of the suffixes of a string of names that fits memory; ``depth`` names decide (0: all).
+
+    Ranks by k names become ranks by 3 k while three ranks fit a number, else by 2 k. Ties may stand in any order.
+    """
     rank, k = names.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
     while True:
-        follow = np.zeros(len(rank), np.int64)
-        follow[:-k or None] = rank[k:] + 1 if k < len(rank) else 0
-        pair = rank * (int(rank.max()) + 2) + follow
-        order = np.argsort(pair, kind="stable")
-        ranked = pair[order]
+        base = int(rank.max()) + 2
+        joined = 3 if base < 1 << 21 else 2
+        key = rank
+        for ahead in range(k, joined * k, k):
+            follow = np.zeros(len(rank), np.int64)
+            if ahead < len(rank):
+                follow[:-ahead] = rank[ahead:] + 1
+            key = key * base + follow
+        order = np.argsort(key)
+        ranked = key[order]
         fresh = np.append(False, ranked[1:] != ranked[:-1]).cumsum()
-        rank = np.empty(len(rank), np.int64)
-        rank[order] = fresh
-        k *= 2
+        k *= joined
         if fresh[-1] == len(rank) - 1 or (depth and k >= depth) or k >= len(rank):
             return order
+        rank = np.empty(len(rank), np.int64)
+        rank[order] = fresh
 
 
 def sorted_lms(text: np.ndarray, kinds: np.ndarray, sigma: int, cap: int, memory: int) -> np.ndarray:

@@ -90,13 +90,17 @@ class Batch:
     def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(value, document, start in the batch, windows) of every segment."""
         values = least_grams(np.frombuffer(self.raw, np.uint8))
-        windows = np.maximum(self.lengths - WINDOW + 1, 0)
-        doc = np.repeat(np.arange(len(windows), dtype=np.int32), windows)
-        pos = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(self.starts, windows)
-        value = values[pos]
-        fresh = np.append(True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])) if len(value) else np.zeros(0, bool)
+        first, beyond = self.starts, self.starts + np.maximum(self.lengths - WINDOW + 1, 0)
+        fresh = np.append(True, values[1:] != values[:-1]) if len(values) else np.zeros(0, bool)
+        # a document's first window begins a segment; a place behind its last one ends it and is not one itself
+        fresh[first[first < len(values)]] = True
+        fresh[beyond[beyond < len(values)]] = True
         at = np.flatnonzero(fresh)
-        return value[at], doc[at], pos[at], np.diff(np.append(at, len(value)))
+        windows = np.diff(np.append(at, len(values)))
+        doc = np.searchsorted(first, at, "right") - 1
+        sound = at < beyond[doc]
+        at, doc = at[sound], doc[sound].astype(np.int32)
+        return values[at], doc, at, windows[sound]
 
     def distinct_bytes(self, value: np.ndarray, start: np.ndarray, windows: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Values whose distinct segments have more than ``least`` bytes, ascending, and these bytes."""
@@ -218,13 +222,39 @@ def _bytes_table(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(data)).read_all()
 
 
+def _pack(*parts: bytes) -> bytes:
+    """Byte strings as one, compressed."""
+    raw = np.array([len(parts), *map(len, parts)], "<i8").tobytes() + b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> list[bytes]:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    n = int.from_bytes(raw[:8], "little")
+    ends = 8 * (n + 1) + np.cumsum(np.append(0, np.frombuffer(raw, "<i8", n, 8)))
+    return [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
 PART = "batch string, kind int, shard int, body binary"
 _PART = pa.schema([("batch", pa.string()), ("kind", pa.int32()), ("shard", pa.int32()), ("body", pa.binary())])
+PARTS_BYTES = 1 << 20  # bodies that leave a task at once
 FILE, BITMAP, PLACES, VERDICT, SEGMENTS, VALUES, HEAT, HOT = range(8)
 
 
-def _part(batch: str, kind: int, shard: int, body: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([dict(batch=batch, kind=kind, shard=shard, body=body)], _PART)
+def _parts(made: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Let (batch, kind, shard, body) tuples leave in record batches of about ``PARTS_BYTES``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in made(batches):
+            held.append(part)
+            size += len(part[3])
+            if size >= PARTS_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _PART)], schema=_PART)
+                held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _PART)], schema=_PART)
+
+    return run
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
@@ -304,18 +334,20 @@ def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
     least, unseen = most >> 11, most >> 16  # a batch reports more than ``least`` bytes of a value; less counts as ``unseen``
     listed = files.select("batch", F.lit(FILE).alias("kind"), F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("body"))
 
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_parts
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for name, _ in _grouped(batches, "batch"):
             batch = _open(folder, name, text_at, id_at)
             value, doc, start, windows = batch.segments()
             for shard, own, many in shard_values(value, doc, n_shards):
-                yield _part(name, VALUES, shard, np.packbits(many).tobytes() + cut_values(own))
+                yield name, VALUES, shard, np.packbits(many).tobytes() + cut_values(own)
             heavy, size = batch.distinct_bytes(value, start, windows, least)
             shard = (heavy % np.uint64(n_shards)).astype(np.int64)
             for s in np.unique(shard).tolist():
-                yield _part(name, HEAT, s, np.stack([heavy[shard == s].astype("<i8"), size[shard == s]]).tobytes())
+                yield name, HEAT, s, np.stack([heavy[shard == s].astype("<i8"), size[shard == s]]).tobytes()
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_parts
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for shard, parts in _grouped(batches, "shard"):
             rows = [row for row in parts if row["kind"] == VALUES]
             counts, lists, flags = [], [], []
@@ -338,7 +370,7 @@ def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
             at = 0
             for row, n in zip(rows, counts):
                 if mark[at:at + n].any():
-                    yield _part(row["batch"], BITMAP, shard, np.packbits(mark[at:at + n]).tobytes())
+                    yield row["batch"], BITMAP, shard, np.packbits(mark[at:at + n]).tobytes()
                 at += n
             if shard >= n_shards:
                 continue
@@ -349,23 +381,25 @@ def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
                     heavy, known = np.frombuffer(row["body"], "<i8").reshape(2, -1)
                     size[np.searchsorted(distinct, heavy.astype(np.uint64))] += known - unseen
             if (size > most).any():
-                yield _part("", HOT, shard, cut_values(distinct[size > most]))
+                yield "", HOT, shard, cut_values(distinct[size > most])
 
-    def split_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_parts
+    def split_values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for name, _ in _grouped(batches, "batch"):
             batch = _open(folder, name, text_at, id_at)
             value, doc, start, windows = batch.segments()
             at = among(value, hot)
             value, doc, _, _ = batch.split(doc[at], start[at], windows[at])
             for shard, own, many in shard_values(value, doc, n_shards):
-                yield _part(name, VALUES, n_shards + shard, np.packbits(many).tobytes() + cut_values(own))
+                yield name, VALUES, n_shards + shard, np.packbits(many).tobytes() + cut_values(own)
 
     def kept_values(value: np.ndarray, doc: np.ndarray, marks: dict[int, bytes], first: int) -> np.ndarray:
         kept = [own[np.unpackbits(np.frombuffer(marks[first + shard], np.uint8), count=len(own)).astype(bool)]
                 for shard, own, _ in shard_values(value, doc, n_shards) if first + shard in marks]
         return np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
 
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_parts
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for name, rows in _grouped(batches, "batch"):
             marks = {r["shard"]: r["body"] for r in rows if r["kind"] == BITMAP}
             if not marks:
@@ -394,10 +428,8 @@ def shared_segments(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
                 place = [index.setdefault(batch.raw[a:a + w + WINDOW - 1], len(index)) for a, w in zip(start[at].tolist(), windows[at].tolist())]
                 owner = np.full(len(index), LAST_ID, np.int64)
                 np.minimum.at(owner, place, batch.ids[doc[at]])
-                yield _part(name, SEGMENTS, shard, _table_bytes(pa.table({"text": pa.array(list(index), pa.binary()), "owner": owner})))
-                yield _part(name, PLACES, shard, _table_bytes(pa.table({
-                    "doc": doc[at].astype(np.int32), "start": start[at].astype(np.int32), "windows": windows[at].astype(np.int32),
-                    "segment": np.array(place, np.int32)})))
+                yield name, SEGMENTS, shard, _pack(owner.tobytes(), *index)
+                yield name, PLACES, shard, _pack(*(np.asarray(c, "<i4").tobytes() for c in (doc[at], start[at], windows[at], place)))
 
     lists = by_batch(listed, tasks).mapInArrow(values, PART)
     bitmaps = write_stage(by_shard(lists, n_shards).mapInArrow(shared, PART), "bitmaps")
@@ -440,16 +472,17 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
     """Parts (batch, kind, shard, body) of what each batch file needs to be cut, and the number of batch files."""
     listed, made, tasks, n_shards = shared_segments(docs, folder)
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_parts
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for shard, rows in _grouped(batches, "shard"):
             index: dict[bytes, int] = {}
             owners: list[int] = []
             used = []
             for row in rows:
-                part = _bytes_table(row["body"])
-                own = part.column("owner").to_pylist()
+                first, *texts = _unpack(row["body"])
+                own = np.frombuffer(first, "<i8").tolist()
                 mine = []
-                for text, owner in zip(part.column("text").to_pylist(), own):
+                for text, owner in zip(texts, own):
                     k = index.setdefault(text, len(index))
                     if k == len(owners):
                         owners.append(owner)
@@ -462,8 +495,7 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
             for name, mine, own in used:
                 keeper = least[mine]
                 cut = [(i, a, b) for i, (k, o) in enumerate(zip(mine, own)) if runs[k] and o == owners[k] for a, b in runs[k]]
-                yield _part(name, VERDICT, shard, _table_bytes(pa.table({"keeper": keeper})) if not cut else _table_bytes(
-                    pa.table({"keeper": keeper}).replace_schema_metadata({"runs": np.array(cut, "<i4").tobytes().hex()})))
+                yield name, VERDICT, shard, _pack(keeper.astype("<i8").tobytes(), np.array(cut, "<i4").tobytes())
 
     ruled = by_shard(made.where(F.col("kind") == SEGMENTS), n_shards).mapInArrow(judged, PART)
     return listed.unionByName(made.where(F.col("kind") == PLACES)).unionByName(ruled), tasks
@@ -472,18 +504,17 @@ def verdicts(docs: DataFrame, folder: str, memory: int = MEMORY) -> tuple[DataFr
 def removed_bytes(batch: Batch, parts: list[dict]) -> np.ndarray:
     """Which bytes of a batch's joined text go, from its places and verdicts."""
     starts = np.zeros(len(batch.raw) + 1, np.int32)
-    places = {p["shard"]: _bytes_table(p["body"]) for p in parts if p["kind"] == PLACES}
+    places = {p["shard"]: _unpack(p["body"]) for p in parts if p["kind"] == PLACES}
     for part in parts:
         if part["kind"] != VERDICT:
             continue
-        table, place = _bytes_table(part["body"]), places[part["shard"]]
-        keeper = table.column("keeper").to_numpy()
-        doc, start, windows, segment = (place.column(c).to_numpy() for c in ("doc", "start", "windows", "segment"))
+        keeper, cut = _unpack(part["body"])
+        keeper, cut = np.frombuffer(keeper, "<i8"), np.frombuffer(cut, "<i4").reshape(-1, 3)
+        doc, start, windows, segment = (np.frombuffer(c, "<i4") for c in places[part["shard"]])
         own = batch.ids[doc]
         late = own > keeper[segment]
         np.add.at(starts, start[late], 1)
         np.add.at(starts, start[late] + windows[late] + WINDOW - 1, -1)
-        cut = np.frombuffer(bytes.fromhex((table.schema.metadata or {}).get(b"runs", b"").decode()), "<i4").reshape(-1, 3)
         if len(cut):
             first = np.flatnonzero(~late)
             order = np.argsort(segment[first], kind="stable")
