@@ -42,11 +42,13 @@ def fill_with_medians(
     target_col: str = TARGET,
     out_col: str = "pred",
     seasonal_col: str | None = None,
+    overall_from: DataFrame | None = None,
 ) -> DataFrame:
     """Forecast column from an optional seasonal value, then series median, then overall median.
 
     Medians are computed only for series that still need one, the overall median only if a
-    needed series has no training value. All median values are exact.
+    needed series has no training value. All median values are exact. ``overall_from`` holds all
+    training rows where ``train`` is a part of them.
     """
     keys = list(keys)
     open_rows = rows.where(F.col(seasonal_col).isNull()) if seasonal_col else rows
@@ -62,6 +64,8 @@ def fill_with_medians(
     else:
         found = {tuple(r[k] for k in keys) for r in median_rows}
         covered = all(tuple(r[k] for k in keys) in found for r in need_rows)
+    if overall_from is not None:
+        target = overall_from.select(F.col(target_col).alias(MEDIAN))
     overall = None if covered else exact_quantiles(target, [MEDIAN], [0.5], median_rule=True).first()["quantiles"][0]
     return (
         rows.join(medians, keys, "left")
@@ -78,7 +82,8 @@ def seasonal_naive(
     target_col: str = TARGET,
     out_col: str = "pred",
     season_days: int = SEASON_DAYS,
+    overall_from: DataFrame | None = None,
 ) -> DataFrame:
     """Validation rows with a forecast in ``out_col``. Duplicate lookup rows fan out."""
     joined = attach_season(train, valid, keys, date_col, target_col, season_days)
-    return fill_with_medians(joined, train, keys, target_col, out_col, SEASONAL).select(*valid.columns, out_col)
+    return fill_with_medians(joined, train, keys, target_col, out_col, SEASONAL, overall_from).select(*valid.columns, out_col)

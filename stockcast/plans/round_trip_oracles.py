@@ -63,6 +63,8 @@ UNION ALL SELECT {len(LINE_NUMBERS)}, '{FLAG}', NULL, NULL, NULL, l_returnflag,
  NULL, NULL, NULL, NULL, (SELECT COUNT(*) FROM ref) FROM ref GROUP BY l_returnflag""",
         "gold_by_month": f"""WITH {base.SALES} SELECT *, (SELECT COUNT(*) FROM sales) AS n_rows FROM sales
 WHERE Date > (SELECT max(Date) - INTERVAL 28 DAY FROM sales)""",
+        **{f"layout_{name}": base.oracle_sql()[same] for name, same in (
+            ("history", "rolling_features"), ("naive", "seasonal_naive"), ("report", "segment_report"))},
         "segment_one": f"""WITH {base._naive(base.SALES)}
 SELECT Date, Weekly_Sales AS Real, round(pred, 4) AS Previsto FROM naive WHERE Store = 1 AND Dept = (SELECT min(Dept) FROM naive WHERE Store = 1)""",
     }

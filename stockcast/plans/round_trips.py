@@ -7,20 +7,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockcast.defaults import KEYS, MACRO_COLS, TARGET
+from stockcast.defaults import DATE, KEYS, MACRO_COLS, TARGET
 from stockcast.functions.values import clip_low
 from stockcast.operators import drift_quantile as dq, drift_width as dw, scoring
 from stockcast.operators.boosting import fit_preprocess
 from stockcast.operators.encode import model_matrix
 from stockcast.operators.enrich import enrich_panel
+from stockcast.operators.history import history_names
 from stockcast.operators.impute import fit_medians
 from stockcast.operators.merged_reference import daily_counts, merged_width_reference, write_counts
 from stockcast.operators.naive import seasonal_naive
 from stockcast.operators.temporal import cutoff_date, latest_batch, month_number, reference_rows, temporal_split
+from stockcast.plans import queries as base
 from stockcast.session import note_stage, shared_dir, write_stage
 from stockcast.sources import artifacts, json_artifacts
 from stockcast.sources.files import SCHEMAS, read_csv, write_by_month
 from stockcast.sources.panel import panel_tables, sales_panel, store_features, table
+from stockcast.sources.series_layout import SeriesLayout, layout_history, layout_naive, layout_report, write_series_layout
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FLAG = "l_returnflag"
@@ -172,5 +175,30 @@ def q_gold_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return latest_batch(whole).withColumn("n_rows", F.lit(rows))
 
 
+def _by_series(sales: DataFrame) -> SeriesLayout:
+    """Weekly sales by series: those longer than 300 weeks lie beside the buckets."""
+    return write_series_layout(write_stage(sales, "sales"), buckets=8, max_series_rows=300)
+
+
+def _clipped(spark: SparkSession, folder: str) -> DataFrame:
+    return sales_panel(spark, folder).withColumn(TARGET, clip_low(F.col(TARGET), 0))
+
+
+def q_layout_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The rolling values of ``rolling_features``, from sales written by series."""
+    out = layout_history(_by_series(sales_panel(spark, folder, money=base.EXACT)))
+    return base._exact_history(out).select(*KEYS, DATE, TARGET, *history_names((), (4, 8, 12)))
+
+
+def q_layout_naive(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast of ``seasonal_naive``, from sales written by series."""
+    return layout_naive(_by_series(_clipped(spark, folder))).withColumn("pred", F.round("pred", 4))
+
+
+def q_layout_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of ``segment_report``, from sales written by series."""
+    return base.rounded(layout_report(_by_series(_clipped(spark, folder)), base._exact_pair), "mape")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
