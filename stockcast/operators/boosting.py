@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import accumulate
 
 from pyspark import SparkContext
 from pyspark.ml import PipelineModel
@@ -122,7 +124,7 @@ def fit_forecaster(
     Each round grows one tree on what the ensemble so far leaves over, so every tree is grown once. Early stopping watches
     squared and absolute error on ``valid`` after every round and ends the fit when patience runs out; the model keeps the trees up to
     the best round. Inputs and predictions so far are a written table, renewed every ``BLOCK`` rounds; between, the
-    newest trees are part of the residual's expression.
+    newest trees are applied as a model, so that all rounds run the same generated code and none is compiled for its own trees.
     """
     spark = train.sparkSession
     shared_dir(spark)  # tree fitting checkpoints its row-to-node lineage there
@@ -137,32 +139,34 @@ def fit_forecaster(
     grower = RandomForestRegressor(
         featuresCol=FEATURES, labelCol="__rest", numTrees=1, bootstrap=False, maxDepth=max_depth, minInstancesPerNode=min_rows_per_leaf,
         featureSubsetStrategy=str(float(feature_share)), subsamplingRate=row_share, maxBins=max_bins)
-    rows = assembler.transform(matrix(train))
+    rows, watched = assembler.transform(matrix(train)).select(FEATURES, Y), None
     with recorded_stages() as old:
-        rows = write_stage(rows, "boosting-rows")
+        rows = _spread(write_stage(rows, "boosting-rows"))
         base = DecisionTreeRegressor(featuresCol=FEATURES, labelCol=Y, maxDepth=0).fit(rows)
         mean = F.expr(tree_sql(base, names))
         rows = rows.withColumn(SO_FAR, mean)
-        watched = None if early_stopping_rounds is None else write_stage(matrix(valid).withColumn(SO_FAR, mean), "boosting-watched")
+        if early_stopping_rounds is not None:
+            watched = write_stage(assembler.transform(matrix(valid)).select(FEATURES, Y, mean.alias(SO_FAR)), "boosting-watched")
     trees: list[DecisionTreeRegressionModel] = []
     errors: dict[str, list[float]] = {"squared": [], "absolute": []}
     best, stopped = num_boost_round, False
     while len(trees) < num_boost_round and not stopped:
-        block: list[str] = []
+        block: list[DecisionTreeRegressionModel] = []
+        ahead = rows
         for _ in range(min(BLOCK, num_boost_round - len(trees))):
-            rest = F.expr(" - ".join([f"{Y} - {SO_FAR}", *block]))
-            tree = grower.setSeed(seed + len(trees)).fit(rows.withColumn("__rest", rest)).trees[0]
-            trees.append(tree)
-            block.append(f"{step_size!r}D * {tree_sql(tree, names)}")
+            rest = ahead.select(FEATURES, (F.col(Y) - F.col(SO_FAR)).alias("__rest"))
+            block.append(grower.setSeed(seed + len(trees) + len(block)).fit(rest).trees[0])
+            ahead = _advanced(ahead, block[-1], step_size)
+        trees += block
         if watched is not None:
-            for name, values in _errors(watched, block).items():
+            for name, values in _errors(watched, block, step_size).items():
                 errors[name] += values
             best, stopped = stop_round(errors, early_stopping_rounds)
         with recorded_stages() as new:
             if len(trees) < num_boost_round and not stopped:
-                so_far = F.expr(" + ".join([SO_FAR, *block]))
-                rows = write_stage(rows.withColumn(SO_FAR, so_far), "boosting-rows")
-                watched = None if watched is None else write_stage(watched.withColumn(SO_FAR, so_far), "boosting-watched")
+                rows = write_stage(ahead, "boosting-rows")
+                if watched is not None:
+                    watched = write_stage(reduce(lambda df, tree: _advanced(df, tree, step_size), block, watched), "boosting-watched")
         remove_stages(spark, old)
         old = new
     model = _ensemble([base, *trees[:best]], [1.0] + [step_size] * min(best, len(trees)), len(names))
@@ -173,13 +177,28 @@ def _inputs(df: DataFrame, prep: Preprocess, keep: Sequence[str]) -> DataFrame:
     return model_inputs(df, prep.feature_names, prep.cat_mapping, prep.wide, keep)
 
 
-def _errors(watched: DataFrame, block: Sequence[str]) -> dict[str, list[float]]:
+def _spread(rows: DataFrame) -> DataFrame:
+    """A written table with a part for every core at least: each round reads it several times, level by level."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return write_stage(rows.repartition(cores), "boosting-rows")
+
+
+def _advanced(rows: DataFrame, tree: DecisionTreeRegressionModel, step_size: float) -> DataFrame:
+    """Predictions so far with a tree added."""
+    scored = tree.setFeaturesCol(FEATURES).setPredictionCol("__tree").transform(rows)
+    return scored.select(FEATURES, Y, (F.col(SO_FAR) + F.lit(step_size) * F.col("__tree")).alias(SO_FAR))
+
+
+def _errors(watched: DataFrame, block: Sequence[DecisionTreeRegressionModel], step_size: float) -> dict[str, list[float]]:
     """Mean squared and absolute error after each round of a block, in one pass."""
-    at = [SO_FAR]
-    for i, tree in enumerate(block):
-        watched = watched.withColumn(f"__after_{i}", F.expr(f"{at[-1]} + {tree}"))
-        at.append(f"__after_{i}")
-    off = [F.col(Y) - F.col(c) for c in at[1:]]
+    names = [f"__tree_{i}" for i in range(len(block))]
+    for tree, name in zip(block, names):
+        watched = tree.setFeaturesCol(FEATURES).setPredictionCol(name).transform(watched)
+    at = list(accumulate(names, lambda so_far, name: so_far + F.lit(step_size) * F.col(name), initial=F.col(SO_FAR)))[1:]
+    watched = watched.select(*[(F.col(Y) - x).alias(name) for x, name in zip(at, names)])
+    off = [F.col(name) for name in names]
     row = watched.agg(*[F.avg(x * x) for x in off], *[F.avg(F.abs(x)) for x in off]).first()
     values = [float("inf") if v is None else v for v in row]
     return {"squared": values[:len(block)], "absolute": values[len(block):]}

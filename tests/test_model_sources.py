@@ -5,6 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from stockcast.operators import boosting
 from stockcast.operators.boosting import Forecaster, Preprocess, fit_forecaster, score, score_by_expression, stop_round
 from stockcast.operators.drift_quantile import quantile_reference
 from stockcast.operators.drift_width import width_reference
@@ -121,6 +122,19 @@ def test_early_stopping_grows_every_tree_once(spark, dataset):
     assert a == pytest.approx(b)
 
 
+def test_rounds_compile_no_code_of_their_own(spark, dataset, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK", 2)
+    train, valid, _ = temporal_split(dataset)
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    counts = [compiled.getCount()]
+    for seed, rounds in enumerate((4, 4, 14)):
+        fitted = fit_forecaster(train, valid, num_boost_round=rounds, early_stopping_rounds=rounds, max_depth=2, seed=seed)
+        assert fitted.rounds == rounds
+        counts.append(compiled.getCount())
+    _, once, more = (b - a for a, b in zip(counts, counts[1:]))
+    assert more - once < 10, counts
+
+
 def test_patience_may_not_run_out(spark, dataset):
     train, valid, _ = temporal_split(dataset)
     fitted = fit_forecaster(train, valid, num_boost_round=6, early_stopping_rounds=6, max_depth=2, step_size=0.01)
