@@ -10,11 +10,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.llm.order import bucket_bits, hash_bucket, with_positions
@@ -27,7 +28,7 @@ SEED = 42
 CACHE_SIZE = 250_000   # units a worker keeps, and as many that it has not used of late
 JOINED = 500           # new units that are encoded as one text
 CACHED_CHARS = 64      # longer units are encoded each time
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 8 << 20  # of texts that are encoded together
 #: White space as the byte-level tokenizer's own pattern sees it: fixed values.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 RARE_ASCII = [c for c in WHITE if c.isascii() and c not in " \n"]
@@ -46,45 +47,39 @@ def _plain(text: str) -> bool:
     return not (any(c in text for c in RARE_ASCII) if text.isascii() else RARE.search(text))
 
 
-class _Known(dict):
-    """Ids by unit, in two generations. An unknown unit gets an empty bytearray, to be filled before its batch ends.
+def _listed(keys: pa.StringArray) -> list[str]:
+    return keys.to_numpy(zero_copy_only=False).tolist()
 
-    Letters with marks behind them are made of the letters' ids and the marks' ids.
-    """
+
+class _Known:
+    """Ids by unit, in two generations; a new one starts once there are more than ``size`` units."""
 
     def __init__(self) -> None:
-        super().__init__()
+        self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.fresh: list[str] = []
-        self.made: list[tuple[str, str]] = []  # unit and its letters
-
-    def __missing__(self, key: str) -> bytes | bytearray:
-        ids = self.old.get(key)
-        if ids is None:
-            letters = key.rstrip(MARKS)
-            if len(letters) < len(key) and letters.isalpha() and max(letters) < "\u3000":
-                self[letters]  # known or fresh from now on
-                self.made.append((key, letters))
-            else:
-                self.fresh.append(key)
-            ids = bytearray()
-        self[key] = ids
-        return ids
-
-    def turn(self, size: int) -> None:
-        """Start a new generation once there are more than ``size`` units."""
-        if len(self) > size:
-            self.old = dict(self)
-            self.clear()
-
-    def close(self) -> None:
-        """Keep what was filled in; units that are too long to keep go."""
-        for key in chain(self.fresh, (key for key, _ in self.made)):
-            if len(key) > CACHED_CHARS:
-                del self[key]
-            else:
-                self[key] = bytes(self[key])
-        self.fresh, self.made = [], []
+
+    def find(self, keys: list[str], size: int, encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of distinct keys. Unknown ones are encoded, and kept unless they are long."""
+        if len(self.now) > size:
+            self.old, self.now = self.now, {}
+        found = list(map(self.now.get, keys))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        before = list(map(self.old.get, [keys[i] for i in absent]))
+        fresh = [i for i, ids in zip(absent, before) if ids is None]
+        for places, new in (absent, before), (fresh, encode([keys[i] for i in fresh])):
+            for i, ids in zip(places, new):
+                found[i] = ids
+        self.now.update((keys[i], found[i]) for i in absent if len(keys[i]) <= CACHED_CHARS)
+        return found
+
+
+def _gather(table: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The table's pieces of the given sizes in the order of ``rows``, and where each begins (and the last ends)."""
+    n = sizes[rows]
+    borders = np.append(0, np.cumsum(n, dtype=np.int64))
+    at = np.repeat((np.cumsum(sizes, dtype=np.int64) - sizes)[rows] - borders[:-1], n)
+    at += np.arange(len(at))
+    return table[at], borders
 
 
 class UnitCache:
@@ -105,65 +100,97 @@ class UnitCache:
 
     def units(self, text: str) -> list[str]:
         """Keys of all units; the first is the beginning as it stands (empty if the text begins with white space)."""
-        if _plain(text):
-            return text.replace("\n", " \n").split(" ")
         units = UNITS.findall(text)
         keys = [u[1:] if u[0] == " " and len(u) > 1 and u[1] not in WHITE else u for u in units]
         return ["", *keys] if units[0][0] in WHITE else [units[0], *keys[1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, as little-endian unsigned 32-bit numbers."""
-        ids, started = self.ids, self.started
-        ids.turn(CACHE_SIZE)
-        started.turn(CACHE_SIZE // 4)
-        parts = []
-        for text in texts:
-            keys = self.units(text) if text else [""]
-            parts.append([started[keys[0]], *map(ids.__getitem__, keys[1:])])
-        plain, odd = [], []
-        for k in ids.fresh:
-            if k[0] not in WHITE:
-                plain.append((k, " " + k))
-            elif k[0] == "\n" and len(k) > 1 and k[1] not in WHITE:
-                plain.append((k, k))
-            else:
-                odd.append((k, k))
-        self._add_joined(ids, plain)
-        self._add(ids, odd)
-        self._add(started, [(k, k) for k in started.fresh if k])
-        self._add_made(ids)
-        self._add_made(started)
-        out = [b"".join(p) for p in parts]
-        ids.close()
-        started.close()
+        """Ids of every text, as little-endian unsigned 32-bit numbers.
+
+        Units are numbered first, so each distinct one is looked up once; arrays then put the ids together.
+        """
+        plain = [not t or len(t) <= BYTES_AT_ONCE and _plain(t) for t in texts]
+        split = pc.split_pattern(pc.replace_substring(pa.array(compress(texts, plain), pa.string()), "\n", " \n"), " ")
+        odd = [self.units(t) for t, p in zip(texts, plain) if not p]  # behind plain ones from here on
+        flat = pa.chunked_array([split.flatten(), pa.array(list(chain.from_iterable(odd)), pa.string())])
+        coded = flat.combine_chunks().dictionary_encode()
+        keys, codes = coded.dictionary, coded.indices.to_numpy()
+        ends = np.cumsum(np.append(pc.list_value_length(split).to_numpy(), [len(u) for u in odd]).astype(np.int64))
+        begins = np.append(0, ends[:-1])
+
+        later = np.ones(len(codes), dtype=bool)
+        later[begins] = False
+        used = np.bincount(codes[later], minlength=len(keys)) > 0
+        firsts, places = np.unique(codes[begins], return_inverse=True)
+        rows = (np.cumsum(used) - 1)[codes]
+        rows[begins] = np.count_nonzero(used) + places
+        behind, sizes = self._table(self.ids, keys.filter(pa.array(used)), CACHE_SIZE, self._encode_behind)
+        ahead, more = self._table(self.started, keys.take(pa.array(firsts)), CACHE_SIZE // 4, self._encode)
+        ids, borders = _gather(np.append(behind, ahead), np.append(sizes, more), rows)
+        out = [b""] * len(texts)
+        order = np.argsort(~np.array(plain, dtype=bool), kind="stable").tolist()
+        for i, a, b in zip(order, borders[begins].tolist(), borders[ends].tolist()):
+            out[i] = ids[a:b].tobytes()
         return out
 
-    def _add(self, known: _Known, items: list[tuple[str, str]]) -> None:
-        found = self.tokenizer.encode_batch_fast([text for _, text in items], add_special_tokens=False) if items else []
-        for (key, _), e in zip(items, found):
-            known[key].extend(np.array(e.ids, dtype="<u4").tobytes())
-
-    def _add_made(self, known: _Known) -> None:
-        new = {key[len(letters):] for key, letters in known.made}.difference(self.marks)
-        found = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False) if new else []
-        self.marks.update((mark, np.array(e.ids, dtype="<u4").tobytes()) for mark, e in zip(list(new), found))
-        for key, letters in known.made:
-            known[key].extend(known[letters] + self.marks[key[len(letters):]])
+    def _table(
+        self, known: _Known, keys: pa.StringArray, size: int, encode: Callable[[list[str]], list[bytes]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all keys, one behind the other, and how many each has.
+
+        Letters with marks behind them have the letters' ids and the marks' ids, so only letters are kept.
+        """
+        letters = pc.utf8_rtrim(keys, MARKS)
+        apart = pc.and_not(pc.and_(pc.less(pc.binary_length(letters), pc.binary_length(keys)), pc.utf8_is_alpha(letters)),
+                           pc.match_substring_regex(letters, "[^\\x{0}-\\x{2FFF}]"))
+        heads = pc.if_else(apart, letters, keys).dictionary_encode()
+        marks = [k[n:] for k, n in zip(_listed(keys.filter(apart)), pc.utf8_length(letters.filter(apart)).to_pylist())]
+        tails = {mark: i for i, mark in enumerate(dict.fromkeys(marks))}
+        new = [mark for mark in tails if mark not in self.marks]
+        self.marks.update(zip(new, self._encode(new)))
+        found = known.find(_listed(heads.dictionary), size, encode)
+        parts = np.full((len(keys), 2), len(found) + len(tails))
+        parts[:, 0] = heads.indices.to_numpy()
+        parts[apart.to_numpy(zero_copy_only=False), 1] = [len(found) + tails[mark] for mark in marks]
+        found += [*(self.marks[mark] for mark in tails), b""]
         if len(self.marks) > CACHE_SIZE // 10:
             self.marks.clear()
-
-    def _add_joined(self, known: _Known, items: list[tuple[str, str]]) -> None:
-        """Units of one white-space character and a word; joined, they are a text whose units they are."""
-        parts = [items[low:low + JOINED] for low in range(0, len(items), JOINED)]
-        texts = ["".join(t for _, t in part) for part in parts]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, borders = _gather(np.frombuffer(b"".join(found), "<u4"), sizes, parts.ravel())
+        return ids, np.diff(borders[::2])
+
+    def _encode(self, keys: list[str]) -> list[bytes]:
+        """Ids of texts, each on its own."""
+        found = self.tokenizer.encode_batch_fast(keys, add_special_tokens=False) if keys else []
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _encode_behind(self, keys: list[str]) -> list[bytes]:
+        """Ids of units behind others. Those of one white-space character and a word are joined to texts whose units they are."""
+        full = [k if k[0] in WHITE else " " + k for k in keys]
+        short = [len(k) > 1 and k[0] in " \n" and k[1] not in WHITE for k in full]
+        out: list[bytes] = [b""] * len(keys)
+        places = [i for i, joined in enumerate(short) if not joined]
+        for i, ids in zip(places, self._encode([full[i] for i in places])):
+            out[i] = ids
+        places = list(compress(range(len(keys)), short))
+        parts = [places[low:low + JOINED] for low in range(0, len(places), JOINED)]
+        texts = ["".join([full[i] for i in part]) for part in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
             ids = np.array(found.ids, dtype="<u4")
             borders = (4 * np.append(np.flatnonzero(self.begins[ids]), len(ids))).tolist()
             raw = ids.tobytes()
             if len(borders) != len(part) + 1:
                 raise ValueError("the tokenizer does not begin a token at white space")
-            for (key, _), a, b in zip(part, borders, borders[1:]):
-                known[key].extend(raw[a:b])
+            for i, a, b in zip(part, borders, borders[1:]):
+                out[i] = raw[a:b]
+        return out
+
+
+def portions(texts: pa.StringArray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about ``size`` bytes: at most that much lies before the last one."""
+    n_bytes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    part = (np.cumsum(n_bytes) - n_bytes) // size
+    return pairwise([*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(texts)])
 
 
 def cuts(n: int, longest: int) -> list[tuple[int, int]]:
@@ -192,8 +219,8 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = keep(("units", tokenizer_path), lambda: UnitCache(tokenizer_path))
         for whole in batches:
-            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(at, TEXTS_AT_ONCE)
+            for low, high in portions(whole.column("text"), BYTES_AT_ONCE):
+                batch = whole.slice(low, high - low)
                 columns: tuple[list, ...] = ([], [], [], [], [], [])
                 encoded = cache.encode([t or "" for t in batch.column("text").to_pylist()])
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import docs, empty, odd_rows
@@ -37,6 +38,42 @@ def test_unit_ids_of_scraps(monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_distinct_units_are_looked_up_once(monkeypatch):
+    """However often a unit occurs, and whatever marks are behind its letters; texts beyond the bound agree."""
+    library, cache, asked = Tokenizer.from_file(BYTES), packing.UnitCache(BYTES), []
+    texts = ["one two, two. two\ntwo; é, é. " * 500 + "end", "", "two, one", " \ttwo,  one\n", *scraps(300)] * 2
+
+    def spy(known, keys, size, encode, find=packing._Known.find):
+        asked.append(list(keys))
+        return find(known, keys, size, encode)
+
+    monkeypatch.setattr(packing._Known, "find", spy)
+    cache.encode(texts[:1])
+    assert sorted(asked[0]) == ["\ntwo;", "end", "one", "two", "é"] and asked[1] == ["one"]
+    for bound in (packing.BYTES_AT_ONCE, 20):
+        monkeypatch.setattr(packing, "BYTES_AT_ONCE", bound)
+        for text, ids in zip(texts, cache.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert all(len(set(keys)) == len(keys) for keys in asked)
+
+
+def test_marks_behind_every_letter():
+    library, cache = Tokenizer.from_file(BYTES), packing.UnitCache(BYTES)
+    letters = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalnum()]
+    texts = ["".join(f"{c}b, a{c}. " for c in letters[at:at + 100]) + "y" for at in range(0, len(letters), 100)]
+    for text, ids in zip(texts, cache.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:9])
+
+
+def test_portions():
+    texts = ["", None, "é" * 5, "a" * 30, "", "b" * 9, "c", "d" * 10, None]
+    for size in (1, 10, 1000):
+        found = list(packing.portions(pa.array(texts), size))
+        assert [i for low, high in found for i in range(low, high)] == list(range(len(texts)))
+        assert all(sum(len((t or "").encode()) for t in texts[low:high - 1]) <= size for low, high in found)
+    assert list(packing.portions(pa.array([], pa.string()), 10)) == []
+
+
 @pytest.mark.parametrize("table", [0, 4, 5_000])
 def test_token_counts(spark, table):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
