@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from stockcast.llm.order import bucket_bits, hash_bucket, with_positions
-from stockcast.llm.worker import keep
+from stockcast.llm.worker import give_back, keep
 from stockcast.session import write_stage
 
 MAX_LENGTH = 2048
@@ -28,7 +28,7 @@ SEED = 42
 CACHE_SIZE = 250_000   # units a worker keeps, and as many that it has not used of late
 JOINED = 500           # new units that are encoded as one text
 CACHED_CHARS = 64      # longer units are encoded each time
-BYTES_AT_ONCE = 8 << 20  # of texts that are encoded together
+BYTES_AT_ONCE = 4 << 20  # of texts that are encoded together
 #: White space as the byte-level tokenizer's own pattern sees it: fixed values.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 RARE_ASCII = [c for c in WHITE if c.isascii() and c not in " \n"]
@@ -74,11 +74,14 @@ class _Known:
 
 
 def _gather(table: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The table's pieces of the given sizes in the order of ``rows``, and where each begins (and the last ends)."""
+    """The table's pieces of the given sizes in the order of ``rows``, and where each begins (and the last ends).
+
+    A batch holds under 2 GiB of text, so places of ids fit 32 bits.
+    """
     n = sizes[rows]
-    borders = np.append(0, np.cumsum(n, dtype=np.int64))
-    at = np.repeat((np.cumsum(sizes, dtype=np.int64) - sizes)[rows] - borders[:-1], n)
-    at += np.arange(len(at))
+    borders = np.append(np.int32(0), np.cumsum(n, dtype=np.int32))
+    at = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[rows] - borders[:-1], n)
+    at += np.arange(len(at), dtype=np.int32)
     return table[at], borders
 
 
@@ -115,6 +118,7 @@ class UnitCache:
         flat = pa.chunked_array([split.flatten(), pa.array(list(chain.from_iterable(odd)), pa.string())])
         coded = flat.combine_chunks().dictionary_encode()
         keys, codes = coded.dictionary, coded.indices.to_numpy()
+        del flat
         ends = np.cumsum(np.append(pc.list_value_length(split).to_numpy(), [len(u) for u in odd]).astype(np.int64))
         begins = np.append(0, ends[:-1])
 
@@ -122,7 +126,7 @@ class UnitCache:
         later[begins] = False
         used = np.bincount(codes[later], minlength=len(keys)) > 0
         firsts, places = np.unique(codes[begins], return_inverse=True)
-        rows = (np.cumsum(used) - 1)[codes]
+        rows = (np.cumsum(used, dtype=np.int32) - 1)[codes]
         rows[begins] = np.count_nonzero(used) + places
         behind, sizes = self._table(self.ids, keys.filter(pa.array(used)), CACHE_SIZE, self._encode_behind)
         ahead, more = self._table(self.started, keys.take(pa.array(firsts)), CACHE_SIZE // 4, self._encode)
@@ -149,13 +153,13 @@ class UnitCache:
         new = [mark for mark in tails if mark not in self.marks]
         self.marks.update(zip(new, self._encode(new)))
         found = known.find(_listed(heads.dictionary), size, encode)
-        parts = np.full((len(keys), 2), len(found) + len(tails))
+        parts = np.full((len(keys), 2), len(found) + len(tails), dtype=np.int32)
         parts[:, 0] = heads.indices.to_numpy()
         parts[apart.to_numpy(zero_copy_only=False), 1] = [len(found) + tails[mark] for mark in marks]
         found += [*(self.marks[mark] for mark in tails), b""]
         if len(self.marks) > CACHE_SIZE // 10:
             self.marks.clear()
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
         ids, borders = _gather(np.frombuffer(b"".join(found), "<u4"), sizes, parts.ravel())
         return ids, np.diff(borders[::2])
 
@@ -235,6 +239,7 @@ def pieces(
                 if with_ids:
                     arrays, names = [*arrays, pa.array(columns[5], pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
+                give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long"
