@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockcast.llm import mixing, packing, simhash, suffix_dedup, toxicity
 from stockcast.llm.queries import vocabulary
-from stockcast.session import recorded_stages, remove_stages, shared_dir
+from stockcast.session import recorded_stages, remove_stages, send_texts_in_small_batches, shared_dir
 from stockcast.sources.panel import table
 
 
@@ -19,9 +19,13 @@ _left: list[str] = []  # folders of the working tables that the last stage has w
 
 
 def stage(made: Stage) -> Stage:
-    """A stage that first removes the working tables of the stage before it, whose result is written by then."""
+    """A stage that first removes the working tables of the stage before it, whose result is written by then.
+
+    From the first stage on, the session sends its rows to Python workers in small batches.
+    """
     @wraps(made)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        send_texts_in_small_batches(spark)
         remove_stages(spark, _left)
         _left.clear()
         with recorded_stages() as own:

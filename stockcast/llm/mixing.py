@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockcast.llm.order import hash_bucket, unit_interval
-from stockcast.operators.hot_groups import pinned
+from stockcast.operators.hot_groups import MAX_LISTED
 from stockcast.session import write_stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,8 +91,10 @@ def copies_per_document(
     keys = ["doc_id", "source", "size", "hash"]
     numbered = sized.withColumn("twin", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
     numbered = write_stage(numbered, "mix-rows")
-    targets, known = pinned(source_targets(numbered, weights, share, cap), "mix-targets")
-    rows = max((r["source_rows"] for r in known), default=0) if known is not None else numbered.count()
+    targets = write_stage(source_targets(numbered, weights, share, cap), "mix-targets")  # a list would pass Python workers
+    n_sources, rows = targets.agg(F.count(F.lit(1)), F.coalesce(F.max("source_rows"), F.lit(0))).first()
+    if n_sources <= MAX_LISTED:
+        targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + EPS))
     targets = targets.withColumn("part", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))

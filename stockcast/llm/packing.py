@@ -164,9 +164,12 @@ class UnitCache:
         return ids, np.diff(borders[::2])
 
     def _encode(self, keys: list[str]) -> list[bytes]:
-        """Ids of texts, each on its own."""
-        found = self.tokenizer.encode_batch_fast(keys, add_special_tokens=False) if keys else []
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        """Ids of texts, each on its own. The tokenizer's results are large, so few are held at a time."""
+        out: list[bytes] = []
+        for low in range(0, len(keys), JOINED):
+            found = self.tokenizer.encode_batch_fast(keys[low:low + JOINED], add_special_tokens=False)
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return out
 
     def _encode_behind(self, keys: list[str]) -> list[bytes]:
         """Ids of units behind others. Those of one white-space character and a word are joined to texts whose units they are."""
@@ -177,12 +180,10 @@ class UnitCache:
         for i, ids in zip(places, self._encode([full[i] for i in places])):
             out[i] = ids
         places = list(compress(range(len(keys)), short))
-        parts = [places[low:low + JOINED] for low in range(0, len(places), JOINED)]
-        texts = ["".join([full[i] for i in part]) for part in parts]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
-            ids = np.array(found.ids, dtype="<u4")
+        for part in (places[low:low + JOINED] for low in range(0, len(places), JOINED)):
+            raw, = self._encode(["".join([full[i] for i in part])])
+            ids = np.frombuffer(raw, "<u4")
             borders = (4 * np.append(np.flatnonzero(self.begins[ids]), len(ids))).tolist()
-            raw = ids.tobytes()
             if len(borders) != len(part) + 1:
                 raise ValueError("the tokenizer does not begin a token at white space")
             for i, a, b in zip(part, borders, borders[1:]):

@@ -10,6 +10,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARK_BATCH = "67108864b"  # what Spark answers if nothing is set
+TEXT_BATCH = 4 << 20  # bytes of texts that go to a Python worker at once
+
 _written: list[str] = []          # folders of this driver's stages
 _recorders: list[list[str]] = []  # lists that are told of every new one
 
@@ -33,6 +37,16 @@ def build_session(app: str = "stockcast", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
+def send_texts_in_small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by ``TEXT_BATCH`` bytes, from Spark's own bound of 64 MiB.
+
+    A batch of long texts stands in the executor (in buffers that double) and in its Python worker, once per task.
+    Results do not depend on it. A session that has set a bound of its own keeps it.
+    """
+    if spark.conf.get(ARROW_BYTES) == SPARK_BATCH:
+        spark.conf.set(ARROW_BYTES, str(TEXT_BATCH))
+
+
 def is_local(spark: SparkSession) -> bool:
     """True when driver and executors are one process, so a temporary folder is seen by all of them."""
     return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None

@@ -3,6 +3,7 @@
 import collections
 
 import duckdb
+import pyarrow as pa
 import pytest
 from cases import docs, empty, odd_rows
 from test_shard_mix import brute_targets
@@ -12,6 +13,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from compare import canonical
 from stockcast.llm import queries
+from stockcast.session import ARROW_BYTES, TEXT_BATCH
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS = {"op1": "pages", "op2": "documents", "op3": "documents", "op4": "documents", "op6": "documents", "op7": "documents",
@@ -78,3 +80,30 @@ def test_stages_against_brute_force(spark, tmp_path):
     want = brute_targets(sizes)
     assert all(abs(taken[s] - want[s]) <= largest for s in sizes)
     assert {tuple(r) for r in mixed} <= set(cut)
+
+
+def test_stages_send_texts_in_small_batches(spark, tmp_path):
+    """Each batch of a stage has about the bound at most; a session's own bound stays."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [len(batch)], "bytes": [batch.nbytes]})
+
+    @corpus_pipeline.stage
+    def measured(spark, rows, folder):
+        return rows.mapInArrow(sizes, "rows long, bytes long")
+
+    long = spark.range(200, numPartitions=1).selectExpr("id AS doc_id", "repeat('x', 100000) AS text")
+    spark.conf.unset(ARROW_BYTES)
+    found = measured(spark, long, str(tmp_path)).collect()
+    assert sum(r.rows for r in found) == 200 and all(r.bytes <= TEXT_BATCH + 200_000 for r in found)
+    for own, most in ("1000", 1), ("1g", 200):
+        spark.conf.set(ARROW_BYTES, own)
+        assert max(r.rows for r in measured(spark, long, str(tmp_path)).collect()) == most
+    spark.conf.unset(ARROW_BYTES)
+
+
+def test_mixing_starts_no_python_worker(spark, tmp_path):
+    docs(spark, clashes=False).write.parquet(f"{tmp_path}/docs")
+    mixed = dict(corpus_pipeline.STAGES)["source_mixing"](spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
+    plan = mixed._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "BroadcastHashJoin" in plan

@@ -57,6 +57,23 @@ def test_distinct_units_are_looked_up_once(monkeypatch):
     assert all(len(set(keys)) == len(keys) for keys in asked)
 
 
+def test_new_units_are_encoded_in_parts(monkeypatch):
+    """The tokenizer gets few texts, or one text of few units, at a time."""
+    monkeypatch.setattr(packing, "JOINED", 7)
+    library, cache, sizes = Tokenizer.from_file(BYTES), packing.UnitCache(BYTES), []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(max(len(texts), *(text.count(" ") for text in texts), 0))
+            return library.encode_batch_fast(texts, **options)
+
+    cache.tokenizer = Spy()
+    texts = [" ".join(f"w{i}x{j}" for i in range(50)) + f" \t{j}" for j in range(30)]
+    for text, ids in zip(texts, cache.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 0 < max(sizes) <= 7
+
+
 def test_marks_behind_every_letter():
     library, cache = Tokenizer.from_file(BYTES), packing.UnitCache(BYTES)
     letters = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalnum()]
