@@ -143,7 +143,13 @@ class Scan:
     """One inducing scan: what has been scanned puts predecessors of one kind into the queue."""
 
     def __init__(self, text: np.ndarray, kinds: np.ndarray, want: bool, sigma: int, cap: int, memory: int):
-        self.text, self.kinds, self.want, self.cap, self.memory = text, kinds, want, cap, memory
+        self.cap, self.memory = cap, memory
+        # the character before each position if its suffix is of the kind, else 0: no character but the last is 0
+        self.before = scratch(len(text), text.dtype, memory)
+        self.before[0] = 0
+        for low in range(0, len(text) - 1, memory):
+            high = min(low + memory, len(text) - 1)
+            self.before[low + 1:high + 1] = text[low:high] * (kinds[low:high] == want)
         self.queue = BucketQueue(memory)
         self.least = np.full(sigma if cap else 0, 255, np.uint8)  # since the last arrival under each character
         self.begun = np.zeros(sigma if cap else 0, np.bool_)
@@ -154,13 +160,13 @@ class Scan:
             self._batch(pos[low:low + self.memory], lcp[low:low + self.memory])
 
     def _batch(self, pos: np.ndarray, lcp: np.ndarray) -> None:
-        before = np.maximum(pos - 1, 0)
-        picked = np.flatnonzero((self.kinds[before] == self.want) & (pos > 0))
-        chars = self.text[before[picked]]
+        chars = self.before[pos]
+        picked = np.flatnonzero(chars)
+        chars = chars[picked]
         order = np.argsort(chars, kind="stable")
         picked, chars = picked[order], chars[order]
         starts = np.flatnonzero(np.append(True, chars[1:] != chars[:-1])) if len(chars) else np.zeros(0, np.int64)
-        made = before[picked]
+        made = pos[picked] - 1
         if self.cap:
             common = self._common(lcp, picked, chars, starts)
         else:
@@ -310,13 +316,23 @@ def sorted_lms(text: np.ndarray, kinds: np.ndarray, sigma: int, cap: int, memory
     if len(lms) <= 1:
         return lms
     seeds = lms[np.argsort(text[lms], kind="stable")]
-    order = np.concatenate([
-        pos[kinds[pos] & (pos > 0) & ~kinds[np.maximum(pos - 1, 0)]] for pos, _ in induce(text, kinds, sigma, seeds, None, 0, memory)])
-    place = np.searchsorted(lms, order)
+    index = scratch(n, lms.dtype, memory)
+    index[:] = -1
+    index[lms] = np.arange(len(lms), dtype=lms.dtype)
+    place = np.concatenate([index[pos] for pos, _ in induce(text, kinds, sigma, seeds, None, 0, memory)])
+    place = place[place >= 0]
+    order = lms[place]
     length = np.append(np.diff(lms), 0)[place]  # the last one, the end, is unique
     equal = np.append(False, length[1:] == length[:-1])
-    at = np.flatnonzero(equal)
     step = 0
+    if text.dtype == np.uint8 and n > 8:  # eight bytes at once, as far as they belong to the substring
+        step = 8
+        first = _words(text)[np.minimum(order, n - 8)]
+        first >>= (8 * np.maximum(order - (n - 8), 0)).astype(np.uint64)
+        first &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(7 - length, 0)).astype(np.uint64)
+        equal[1:] &= first[1:] == first[:-1]
+    at = np.flatnonzero(equal)
+    at = at[length[at] >= step]
     while len(at):
         same = text[order[at] + step] == text[order[at - 1] + step]
         equal[at[~same]] = False
@@ -332,15 +348,30 @@ def sorted_lms(text: np.ndarray, kinds: np.ndarray, sigma: int, cap: int, memory
     return lms[inner]
 
 
-def suffixes(text: np.ndarray, sigma: int, cap: int = 0, memory: int = MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def leading(order: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Those of the sorted LMS positions from which a wanted suffix is induced: the first one behind it."""
+    ascending = np.sort(order)
+    asked = np.zeros(len(wanted), np.bool_)  # by LMS position
+    asked[ascending[1:]] = np.logical_or.reduceat(wanted, ascending)[:-1]
+    asked[ascending[0]] = wanted[:ascending[0]].any()
+    return order[asked[order]]
+
+
+def suffixes(
+    text: np.ndarray, sigma: int, cap: int = 0, memory: int = MEMORY, wanted: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Suffix array of ``text`` in parts of (positions, common-prefix lengths up to ``cap``).
 
     The last character must be 0 and occur nowhere else; all are below ``sigma``. With ``cap`` the text
-    must be of bytes, and suffixes that agree in ``cap`` characters may stand in any order.
+    must be of bytes, and suffixes that agree in ``cap`` characters may stand in any order. With ``wanted``,
+    a mask, suffixes are induced only where it takes them to come to all wanted ones: each comes out once,
+    others may be missing, and lengths are those in common with the suffix that comes out before.
     """
     kinds = s_types(text, memory)
     order = sorted_lms(text, kinds, sigma, cap, memory)
-    if not len(order):  # no S run but the end: every suffix is larger than the next
+    if wanted is not None and len(order):
+        order = leading(order, wanted)
+    elif not len(order):  # no S run but the end: every suffix is larger than the next
         order = np.array([len(text) - 1])
     lcp = neighbour_lengths(text, order, cap, memory) if cap else None
     yield from induce(text, kinds, sigma, order, lcp, cap, memory)

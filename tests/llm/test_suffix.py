@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import PASSAGE, docs, empty, odd_rows
 
@@ -114,3 +115,52 @@ def test_texts_without_repeats(spark):
     assert got[2] is None and got[3] == "" and cut.count() == df.count()
     assert suffix_dedup.without_repeats(empty(spark)).count() == 0
     assert suffix_dedup.removal_report(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("memory", [5, 1_000])
+def test_only_wanted_suffixes_are_induced(memory):
+    """Wanted ones come in order, with lengths by the suffix that comes before; other ones are mostly left out."""
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        pieces = [rng.integers(2, rng.integers(4, 7), rng.integers(9, 40)).astype(np.uint8) for _ in range(rng.integers(1, 6))]
+        text = np.concatenate([*[np.append(p, 1) for p in pieces], [0]]).astype(np.uint8)
+        wanted = np.concatenate([*[np.arange(len(p) + 1) < len(p) - 8 for p in pieces], [False]])
+        raw = text.tobytes()
+        parts = list(suffixes(text, 8, 9, memory, wanted))
+        order, lcp = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        assert len(set(order.tolist())) == len(order) and set(np.flatnonzero(wanted)) <= set(order.tolist())
+        for i, j, n in zip(order, order[1:], lcp[1:]):
+            a, b = raw[i:i + 9], raw[j:j + 9]
+            assert a <= b and n == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    text = np.append(np.tile([2, 3], 500), [1, 0]).astype(np.uint8)
+    assert sum(len(p) for p, _ in suffixes(text, 8, 9, memory, np.arange(len(text)) < 20)) < 40
+
+
+def test_single_windows_of_split_values_are_not_sorted(monkeypatch):
+    """In a shard of split values a window that one distinct segment has is nowhere else; only others are sorted."""
+    sorted_ones = []
+    real = suffix_dedup.covered_elsewhere
+    monkeypatch.setattr(suffix_dedup, "covered_elsewhere", lambda s, *rest: sorted_ones.extend(s) or real(s, *rest))
+    rng = random.Random(3)
+    single = [bytes(rng.choices(b"abcdef ", k=50)) for _ in range(40)]
+    twice = [b"=" * 53, b"=" * 60]
+    runs = suffix_dedup.covered_in_shard([*single, *twice], np.array([*range(5, 45), 9, 4]), False, 1_000)
+    assert sorted_ones == twice and runs == [[]] * 40 + [[(0, 4)], []]
+
+
+@pytest.mark.parametrize("block", [7, 1 << 15])
+def test_segments_do_not_depend_on_blocks(monkeypatch, block):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcd ", k=rng.choice([0, 49, 50, 51, 200]))) for _ in range(30)] + ["z" * 300, "", "é" * 60]
+    batch = suffix_dedup.Batch(pa.table({"doc_id": pa.array(range(len(texts))), "text": texts}), 1, 0)
+    got = list(zip(*(c.tolist() for c in batch.segments())))
+    expected, raws = [], [t.encode() for t in texts]
+    for d, (raw, at) in enumerate(zip(raws, np.cumsum([0, *map(len, raws)]).tolist())):
+        for p in range(len(raw) - 49):
+            value = int(suffix_dedup.least_grams(np.frombuffer(raw[p:p + 50], np.uint8))[0])  # of this window alone
+            if p and expected[-1][0] == value:
+                expected[-1][3] += 1
+            else:
+                expected.append([value, d, at + p, 1])
+    assert got == [tuple(e) for e in expected]
